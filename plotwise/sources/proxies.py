@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plotwise.functions.numeric import sig, sig_sql
 from plotwise.sources.tables import read_table
 
 # FIXED VALUES: proxy point formula and the amenity type of each p_type.
@@ -136,10 +137,12 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("l_extendedprice").alias("ys"),
         F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("p"),
     )
+    # sums are rounded to 12 significant digits so the order of addition
+    # (partition layout) cannot change a bit of the result
     return g.select(
         F.col("l_orderkey").alias("id"),
-        F.when(F.col("l_orderkey") % 97 == 0, F.lit(0.0)).otherwise(F.col("ys")).alias("y"),
-        F.col("p"),
+        F.when(F.col("l_orderkey") % 97 == 0, F.lit(0.0)).otherwise(sig(F.col("ys"), 12)).alias("y"),
+        sig(F.col("p"), 12).alias("p"),
         F.when(F.col("l_orderkey") % 10 < 7, "train").otherwise("test").alias("split"),
     )
 
@@ -148,11 +151,11 @@ def distances(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Properties with the twelve distance columns (km), some NULL, one
     district entirely NULL."""
     from plotwise.config import DISTANCE_COLS
-    props = properties(spark, sf_dir)
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    nk = o.join(c, o.o_custkey == c.c_custkey).select(F.col("o_orderkey").alias("rid"), "c_nationkey")
-    base = props.select("records_id", "district").join(nk, F.col("records_id") == F.col("rid")).drop("rid")
+    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    base = (o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+             .select(F.col("o_orderkey").alias("records_id"), F.col("n_name").alias("district"), "c_nationkey"))
     k = F.col("records_id")
     cols = [
         F.when(((k + i) % 7 == 0) | (F.col("c_nationkey") == 3), F.lit(None).cast("double"))
@@ -329,10 +332,10 @@ SELECT l_shipdate AS date, l_returnflag AS service,
 FROM lineitem
 """
 
-SQL["predictions"] = """
+SQL["predictions"] = f"""
 SELECT l_orderkey AS id,
-       CASE WHEN l_orderkey % 97 = 0 THEN CAST(0.0 AS DOUBLE) ELSE sum(l_extendedprice) END AS y,
-       sum(l_extendedprice * (1 - l_discount)) AS p,
+       CASE WHEN l_orderkey % 97 = 0 THEN CAST(0.0 AS DOUBLE) ELSE {sig_sql('sum(l_extendedprice)', 12)} END AS y,
+       {sig_sql('sum(l_extendedprice * (1 - l_discount))', 12)} AS p,
        CASE WHEN l_orderkey % 10 < 7 THEN 'train' ELSE 'test' END AS split
 FROM lineitem GROUP BY l_orderkey
 """

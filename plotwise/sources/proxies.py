@@ -28,6 +28,7 @@ PTYPE_TO_AMENITY = {
     "STANDARD": "rail station",
 }
 ALL_STATIONS = "A0: All Stations"
+NODE_SPREAD = 0.01
 HIGHWAY_CLASSES = ["motorway", "trunk", "primary", "secondary", "tertiary",
                    "residential", "service", "footway", "cycleway", "path"]
 
@@ -243,10 +244,13 @@ def way_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def osm_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Node coordinates; every 11th node is missing from the extract."""
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey").filter(F.col("o_orderkey") % 11 != 0)
-    k = F.col("o_orderkey")
-    return o.select(k.alias("node_id"), lat_of(k).alias("lat"), lon_of(k).alias("lon"))
+    """Node coordinates near the way's customer point (ways stay local);
+    every 11th node is missing from the extract."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").filter(F.col("o_orderkey") % 11 != 0)
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    return o.select(k.alias("node_id"),
+                    (lat_of(c) + ((k * 7919) % 1000).cast("double") / 1000.0 * NODE_SPREAD).alias("lat"),
+                    (lon_of(c) + ((k * 104729) % 1000).cast("double") / 1000.0 * NODE_SPREAD).alias("lon"))
 
 
 def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -262,7 +266,7 @@ def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(kind == 0, "node").when(kind == 1, "relation").otherwise("way").alias("osm_type"),
         (k * 10 + rk).alias("osm_id"),
         F.concat(F.lit("Address "), k.cast("string"), F.lit("/"), rk.cast("string")).alias("address"),
-        lat_of(k * 10 + rk).alias("lat"),
+        (lat_of(k * 10 + rk) + F.when((k % 5 == 0) & (rk == 1), F.lit(1.5)).otherwise(F.lit(0.0))).alias("lat"),
         lon_of(k * 10 + rk).alias("lon"),
     )
 
@@ -398,7 +402,9 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey
 SQL["way_nodes"] = "SELECT o_custkey AS way_id, o_orderkey AS pos, o_orderkey AS node_id FROM orders"
 
 SQL["osm_nodes"] = f"""
-SELECT o_orderkey AS node_id, {_lat_sql('o_orderkey')} AS lat, {_lon_sql('o_orderkey')} AS lon
+SELECT o_orderkey AS node_id,
+       {_lat_sql('o_custkey')} + CAST((o_orderkey * 7919) % 1000 AS DOUBLE) / 1000.0 * {_d(NODE_SPREAD)} AS lat,
+       {_lon_sql('o_custkey')} + CAST((o_orderkey * 104729) % 1000 AS DOUBLE) / 1000.0 * {_d(NODE_SPREAD)} AS lon
 FROM orders WHERE o_orderkey % 11 <> 0
 """
 
@@ -407,7 +413,8 @@ SELECT 'road_' || CAST(c_custkey AS VARCHAR) AS query, r AS rank,
        CASE WHEN (c_custkey + r) % 4 = 0 THEN 'node' WHEN (c_custkey + r) % 4 = 1 THEN 'relation' ELSE 'way' END AS osm_type,
        c_custkey * 10 + r AS osm_id,
        'Address ' || CAST(c_custkey AS VARCHAR) || '/' || CAST(r AS VARCHAR) AS address,
-       {_lat_sql('c_custkey * 10 + r')} AS lat, {_lon_sql('c_custkey * 10 + r')} AS lon
+       {_lat_sql('c_custkey * 10 + r')} + CASE WHEN c_custkey % 5 = 0 AND r = 1 THEN 1.5 ELSE 0.0 END AS lat,
+       {_lon_sql('c_custkey * 10 + r')} AS lon
 FROM customer, (SELECT unnest([1, 2, 3]) AS r) ranks
 WHERE c_custkey % 17 <> 0
 """

@@ -10,7 +10,7 @@ broadcasts it when small, else keeps a sort-merge join with skew splitting.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plotwise.config import DISTANCE_COLS, MAX_DISTANCE_KM
@@ -40,17 +40,55 @@ def ridership_tier(df: DataFrame, col: str = "total_ridership", out: str = "ride
     return df.withColumn(out, tier)
 
 
-def top_percentile_band(df: DataFrame, col: str = "price_m2", q: float = 0.90,
-                        out: str = "price_band") -> DataFrame:
-    """Rows at or above the q-quantile (linear) → 'top'; others normalised
-    (p − min) / (max − min) over the rows below; equal values → divisor 1.
-    Non-numeric/NULL price → NULL. Thresholds are scalar subqueries."""
+def top_percentile_band(df: DataFrame, col: str = "price_m2", q: float = 0.90) -> DataFrame:
+    """Rows at or above the q-quantile (linear) → ``is_top``; the others get
+    ``price_norm`` = (p − min) / (max − min) over the rows below (divisor 1
+    when they are all equal). NULL price → NULL for both. The threshold and
+    the range are scalar subqueries, not driver round trips."""
     p = F.col(col).cast("double")
     thr = df.select(F.percentile(p, q)).scalar()
     below = df.filter(p < thr)
     lo = below.select(F.min(p)).scalar()
     hi = below.select(F.max(p)).scalar()
     span = F.when((hi - lo) == 0, F.lit(1.0)).otherwise(hi - lo)
-    norm = F.format_number((p - lo) / span, 6)
-    band = F.when(p.isNull(), F.lit(None)).when(p >= thr, F.lit("top")).otherwise(norm)
-    return df.withColumn(out, band)
+    return df.withColumns({
+        "is_top": F.when(p.isNotNull(), p >= thr),
+        "price_norm": F.when(p < thr, (p - lo) / span),
+    })
+
+
+def global_index(df: DataFrame, order_cols: list[str], out: str = "rank_index", partitions: int | None = None) -> DataFrame:
+    """0-based position in the total order of ``order_cols`` without a
+    single-partition window: range-partition, sort each partition, number
+    rows by their in-partition id, add per-partition offsets (one small
+    aggregate: one row per partition, so its size is bounded)."""
+    n = partitions or df.sparkSession.sparkContext.defaultParallelism
+    ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+    tagged = ranged.withColumns({"_pid": F.spark_partition_id(), "_mid": F.monotonically_increasing_id()})
+    # materialise once: range boundaries come from sampling, and both uses
+    # below must see the same partitioning (reliable checkpoint, shared dir)
+    tagged = tagged.withColumn("_local", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)).checkpoint()
+    sizes = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    offs = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_pid", "_off")
+    return (tagged.join(F.broadcast(offs), "_pid")  # ≤ one row per partition
+                  .withColumn(out, F.col("_off") + F.col("_local"))
+                  .drop("_pid", "_mid", "_local", "_off"))
+
+
+def residual_histogram(df: DataFrame, y: str = "y", p: str = "p", bins: int = 50) -> DataFrame:
+    """Equal-width histogram of residuals y − p over [min, max]; the last bin
+    is closed. Min and max are scalar subqueries."""
+    r = F.col(y) - F.col(p)
+    lo = df.select(F.min(r)).scalar()
+    hi = df.select(F.max(r)).scalar()
+    width = F.when(hi > lo, hi - lo).otherwise(F.lit(1.0))
+    idx = F.least(F.floor((r - lo) * (F.lit(float(bins)) / width)), F.lit(bins - 1)).cast("int")
+    return (df.filter(r.isNotNull()).groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("count")))
+
+
+def model_ranking(metrics: DataFrame, score: str = "test_r2", name: str = "model") -> DataFrame:
+    """Rank models by score (desc, name as tie-break). One row per model, so
+    the single global window partition is the right plan here."""
+    w = Window.orderBy(F.desc(score), F.asc(name))
+    return metrics.withColumn("rank", F.row_number().over(w))

@@ -27,3 +27,9 @@ def npround_sql(expr: str, digits: int) -> str:
 def sig_cols(df, cols, digits: int = 10):
     """Round the named double columns to ``digits`` significant digits."""
     return df.withColumns({c: sig(F.col(c), digits) for c in cols})
+
+
+def KM_DEG(km: float) -> str:  # noqa: N802 - reads like a unit
+    """The reference's buffer radius in degrees (km / 111) as a DOUBLE literal."""
+    from plotwise.config import KM_PER_DEGREE
+    return f"{km / KM_PER_DEGREE:.17e}"

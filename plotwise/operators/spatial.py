@@ -101,7 +101,7 @@ def _extent(df: DataFrame, la: str, lo: str):
 def nearest(points: DataFrame, targets: DataFrame, point_id: str, metric: str = "haversine",
             start_radius: float = 1.0, lat: str = "lat", lon: str = "lon",
             t_lat: str = "r_lat", t_lon: str = "r_lon", group_col: str | None = None,
-            dist_col: str = "dist", checkpoint: bool = True) -> DataFrame:
+            dist_col: str = "dist", checkpoint: bool = True, target_id: str | None = None) -> DataFrame:
     """Distance from each point to its nearest target (per ``group_col`` if given).
 
     Expanding rings: at radius r the 3×3 cell block holds every target within
@@ -110,8 +110,9 @@ def nearest(points: DataFrame, targets: DataFrame, point_id: str, metric: str =
     block covers every target, so the last round is exact for all the rest.
     Each round's survivors are checkpointed to the shared checkpoint dir, so
     lineage stays short and a lost executor recomputes one round only.
-    Returns (point_id[, group_col], dist) for pairs that have a target;
-    callers left-join and fill the rest.
+    Returns (point_id[, group_col], dist[, target_id]) for pairs that have a
+    target (``target_id``: the nearest one, ties → smallest id); callers
+    left-join and fill the rest.
     """
     p_ext, t_ext = _extent(points, lat, lon), _extent(targets, t_lat, t_lon)
     gkeys = [group_col] if group_col else []
@@ -120,13 +121,15 @@ def nearest(points: DataFrame, targets: DataFrame, point_id: str, metric: str =
         empty = points.select(point_id).limit(0)
         if group_col:
             empty = empty.withColumn(group_col, F.lit(None).cast("string"))
-        return empty.withColumn(dist_col, F.lit(None).cast("double"))
+        empty = empty.withColumn(dist_col, F.lit(None).cast("double"))
+        return empty.withColumn(target_id, F.lit(None).cast("bigint")) if target_id else empty
     span_deg = (max(p_ext["b"], t_ext["b"]) - min(p_ext["a"], t_ext["a"])
                 + max(p_ext["d"], t_ext["d"]) - min(p_ext["c"], t_ext["c"]))
     span = span_deg * KM_PER_DEG_LAT * 1.05 if metric == "haversine" else span_deg * 1.05
     span = max(span, start_radius)
 
-    tg = targets.select(*(gkeys + [t_lat, t_lon]))
+    tcols = gkeys + [t_lat, t_lon] + ([target_id] if target_id else [])
+    tg = targets.select(*tcols)
     pending = points.select(point_id, lat, lon)
     if group_col:
         # category list: bounded and small, collected as a scalar list
@@ -137,7 +140,11 @@ def nearest(points: DataFrame, targets: DataFrame, point_id: str, metric: str =
     while True:
         last = r >= span
         cand = radius_join(pending, tg, r, metric, lat, lon, t_lat, t_lon, dist_col, extra_keys=gkeys)
-        best = cand.groupBy(*schema_cols).agg(F.min(dist_col).alias(dist_col))
+        if target_id:
+            best = (cand.groupBy(*schema_cols).agg(F.min(F.struct(dist_col, target_id)).alias("_b"))
+                        .select(*schema_cols, F.col(f"_b.{dist_col}").alias(dist_col), F.col(f"_b.{target_id}").alias(target_id)))
+        else:
+            best = cand.groupBy(*schema_cols).agg(F.min(dist_col).alias(dist_col))
         if last:
             resolved.append(best)
             break

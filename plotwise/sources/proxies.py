@@ -447,3 +447,102 @@ def with_views(body: str, *names: str) -> str:
     """Prefix ``body`` with the named proxy CTEs."""
     ctes = ",\n".join(f"{n} AS ({SQL[n]})" for n in names)
     return f"WITH {ctes}\n{body}" if names else body
+
+
+# ---------------------------------------------------------------------------
+# OSM-shaped extracts (elements with tags, relation memberships, boundary ways)
+# ---------------------------------------------------------------------------
+
+def _tags_spark(k: Column) -> Column:
+    cat = k % 7
+    kv = (F.when(cat == 0, F.create_map(F.lit("amenity"), F.lit("school")))
+           .when(cat == 1, F.create_map(F.lit("shop"), F.lit("mall")))
+           .when(cat == 2, F.create_map(F.lit("leisure"), F.lit("park")))
+           .when(cat == 3, F.create_map(F.lit("waterway"), F.lit("river")))
+           .when((cat == 4) & (k % 2 == 0), F.create_map(F.lit("natural"), F.lit("water"), F.lit("water"), F.lit("lake")))
+           .when(cat == 4, F.create_map(F.lit("natural"), F.lit("water")))
+           .when(cat == 5, F.create_map(F.lit("railway"), F.lit("station")))
+           .otherwise(F.create_map(F.lit("highway"), F.lit("bus_stop"))))
+    name = F.when(k % 5 == 0, F.create_map()).otherwise(
+        F.create_map(F.lit("name"), F.concat(F.lit("Place "), k.cast("string"))))
+    return F.map_concat(kv, name.cast("map<string,string>"))
+
+
+def osm_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overpass-style elements: (osm_id, osm_type, tags, coords) where coords
+    is ARRAY<ARRAY<DOUBLE>> of [lat, lon]: one pair for a node or a relation
+    centre (missing for some relations), the node list for a way (closed for
+    some ways)."""
+    c = read_table(spark, sf_dir, "customer").select("c_custkey")
+    k = F.col("c_custkey")
+    kind = F.when(k % 3 == 0, "node").when(k % 3 == 1, "way").otherwise("relation")
+    wn = way_nodes(spark, sf_dir).join(osm_nodes(spark, sf_dir), "node_id")
+    lines = (wn.groupBy("way_id").agg(F.array_sort(F.collect_list(F.struct("pos", "lat", "lon"))).alias("_p"))
+               .select(F.col("way_id").alias("c_custkey"),
+                       F.transform("_p", lambda p: F.array(p["lat"], p["lon"])).alias("_line")))
+    pair = F.array(F.array(lat_of(k), lon_of(k)))
+    closed = F.when(F.size("_line") > 0, F.concat(F.col("_line"), F.array(F.col("_line")[0])))
+    coords = (F.when(kind == "node", pair)
+               .when(kind == "relation", F.when(k % 4 == 0, F.lit(None)).otherwise(pair))
+               .otherwise(F.when(k % 4 == 1, closed).otherwise(F.col("_line"))))
+    return (c.join(lines, "c_custkey", "left")
+             .select(k.alias("osm_id"), kind.alias("osm_type"), _tags_spark(k).alias("tags"), coords.alias("coords")))
+
+
+def relation_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transit-line relations: (relation_id, pos, member_type, ref, role)."""
+    s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    return s.select((F.col("s_nationkey") % 3).cast("bigint").alias("relation_id"),
+                    F.col("s_suppkey").alias("pos"),
+                    F.when(F.col("s_suppkey") % 10 == 0, "way").otherwise("node").alias("member_type"),
+                    F.col("s_suppkey").alias("ref"),
+                    F.when(F.col("s_suppkey") % 10 == 0, "").otherwise("stop").alias("role"))
+
+
+def relation_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = read_table(spark, sf_dir, "nation").select("n_nationkey").filter(F.col("n_nationkey") < 3)
+    r = F.col("n_nationkey").cast("bigint")
+    return n.select(r.alias("relation_id"), F.create_map(
+        F.lit("name"), F.concat(F.lit("Line "), r.cast("string")),
+        F.lit("alt_name"), F.concat(F.lit("L"), r.cast("string")),
+        F.lit("from"), F.concat(F.lit("Terminal A"), r.cast("string")),
+        F.lit("to"), F.concat(F.lit("Terminal B"), r.cast("string"))).alias("tags"))
+
+
+def station_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Node extract of the stations; every 9th lacks coordinates."""
+    st = stations(spark, sf_dir)
+    bad = F.col("osm_id") % 9 == 0
+    return st.select(F.col("osm_id").alias("node_id"),
+                     F.when(bad, F.lit(None).cast("double")).otherwise(F.col("lat")).alias("lat"),
+                     F.when(bad, F.lit(None).cast("double")).otherwise(F.col("lon")).alias("lon"),
+                     F.create_map(F.lit("name"), F.col("name"), F.lit("ref"),
+                                  F.concat(F.lit("S"), F.col("station_id"))).alias("tags"))
+
+
+def boundary_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """District boundary relations as member ways with node lists:
+    (relation_id, way_id, role, pts ARRAY<STRUCT<lon,lat>>). The outer square
+    is split into two ways (the second reversed on odd ids); every 4th
+    district has a square hole."""
+    d = districts(spark, sf_dir).select("district_id", F.col("rings")[0].alias("r"))
+    rid = F.col("district_id").cast("bigint")
+    r = F.col("r")
+    a = F.array(r[0], r[1], r[2])
+    b = F.when(rid % 2 == 1, F.array(r[0], r[3], r[2])).otherwise(F.array(r[2], r[3], r[0]))
+    lo = F.lit(DISTRICT_DLON * 0.25)
+    la = F.lit(DISTRICT_DLAT * 0.25)
+
+    def pt(x, y):
+        return F.struct(x.alias("lon"), y.alias("lat"))
+
+    x0, y0 = r[0]["lon"] + lo, r[0]["lat"] + la
+    x1, y1 = r[2]["lon"] - lo, r[2]["lat"] - la
+    hole = F.array(pt(x0, y0), pt(x0, y1), pt(x1, y1), pt(x1, y0), pt(x0, y0))
+    parts = F.array(F.struct(F.lit(1).alias("k"), F.lit("outer").alias("role"), a.alias("pts")),
+                    F.struct(F.lit(2).alias("k"), F.lit("outer").alias("role"), b.alias("pts")),
+                    F.struct(F.lit(3).alias("k"), F.lit("inner").alias("role"), hole.alias("pts")))
+    m = d.select(rid.alias("relation_id"), F.explode(parts).alias("m"))
+    m = m.filter((F.col("m.k") < 3) | (F.col("relation_id") % 4 == 0))
+    return m.select("relation_id", (F.col("relation_id") * 10 + F.col("m.k")).alias("way_id"),
+                    F.col("m.role").alias("role"), F.col("m.pts").alias("pts"))

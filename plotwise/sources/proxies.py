@@ -207,6 +207,7 @@ def roads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (c.join(n, c.c_nationkey == n.n_nationkey)
              .select(F.concat(F.lit("road_"), k.cast("string")).alias("road_name"),
                      k.alias("road_id"), F.col("n_name").alias("district"),
+                     F.col("c_nationkey").alias("nation_key"),
                      F.element_at(F.array(*[F.lit(h) for h in HIGHWAY_CLASSES]),
                                   (k % len(HIGHWAY_CLASSES) + 1).cast("int")).alias("highway"),
                      lat.alias("lat"), lon.alias("lon")))
@@ -391,7 +392,7 @@ SELECT (c_custkey + 1) % (SELECT count(*) FROM customer) AS src, c_custkey AS ds
 
 SQL["roads"] = f"""
 SELECT 'road_' || CAST(c_custkey AS VARCHAR) AS road_name, c_custkey AS road_id, n_name AS district,
-       {_highway_sql('c_custkey')} AS highway,
+       c_nationkey AS nation_key, {_highway_sql('c_custkey')} AS highway,
        CASE WHEN c_custkey % 29 = 0 THEN {_lat_sql('c_custkey * 13 + 7')}
             ELSE {_lat_sql('(c_custkey % 20) * 37 + 5')} + CAST((c_custkey * 7919) % 1000 AS DOUBLE) / 1000.0 * {_d(0.02)} END AS lat,
        CASE WHEN c_custkey % 29 = 0 THEN {_lon_sql('c_custkey * 13 + 7')}

@@ -39,6 +39,13 @@ def amenity_pairs(props: DataFrame, amenities: DataFrame, radius_km: float = AME
     return radius_join(p, a, radius, metric, lat, lon, "r_lat", "r_lon").select(prop_id, "a_id", "a_type", "dist")
 
 
+def _distinct_points(props: DataFrame, lat: str, lon: str) -> DataFrame:
+    """Sales geocoded to the same road share one point: join each distinct
+    point once, then map results back with an equi-join on (lat, lon)."""
+    return props.select(lat, lon).filter(F.col(lat).isNotNull() & F.col(lon).isNotNull()).distinct() \
+                .withColumn("_pt", F.struct(lat, lon))
+
+
 def radius_count(props: DataFrame, amenities: DataFrame, radius_km: float = AMENITY_RADIUS_KM,
                  metric: str = "degrees", types: list[str] | None = None, prop_id: str = "records_id",
                  amen_id: str = "osm_id", type_col: str = "feature_type", train_type: str = TRAIN_TYPE_NAME,
@@ -46,14 +53,17 @@ def radius_count(props: DataFrame, amenities: DataFrame, radius_km: float = AMEN
     """Adds ``{type}_count`` per amenity type, ``total_amenity_count`` and
     ``train_ids`` (distinct ids of the train type, ascending, joined ', ')."""
     types = AMENITY_TYPES if types is None else types
-    pairs = amenity_pairs(props, amenities, radius_km, metric, prop_id, amen_id, type_col, lat, lon, a_lat, a_lon)
+    pts = props.select(lat, lon).filter(F.col(lat).isNotNull() & F.col(lon).isNotNull()).distinct()
+    radius = radius_km / KM_PER_DEGREE if metric == "degrees" else radius_km
+    pairs = radius_join(pts, _amenity_side(amenities, amen_id, type_col, a_lat, a_lon), radius, metric,
+                        lat, lon, "r_lat", "r_lon")
     t = F.lower(F.col("a_type"))
     aggs = [F.count_if(F.col("a_type") == ty).cast("int").alias(f"{type_slug(ty)}_count") for ty in types]
     aggs.append(F.count(F.lit(1)).cast("int").alias("total_amenity_count"))
     train = F.array_sort(F.collect_set(F.when(t == train_type.lower(), F.col("a_id"))))
     aggs.append(F.array_join(F.transform(train, lambda x: x.cast("string")), ", ").alias("train_ids"))
-    per_prop = pairs.groupBy(prop_id).agg(*aggs)
-    out = props.join(per_prop, prop_id, "left")
+    per_pt = pairs.groupBy(lat, lon).agg(*aggs)
+    out = props.join(per_pt, [lat, lon], "left")
     fills = {f"{type_slug(ty)}_count": 0 for ty in types}
     fills["total_amenity_count"] = 0
     fills["train_ids"] = ""
@@ -78,13 +88,15 @@ def nearest_amenity(props: DataFrame, amenities: DataFrame, prop_id: str = "reco
     """Great-circle km to the nearest amenity (per type); none → +inf."""
     tg = amenities.select(*( [F.col(type_col).alias("a_type")] if type_col else []),
                           F.col(a_lat).alias("r_lat"), F.col(a_lon).alias("r_lon"))
-    best = nearest(props.select(prop_id, lat, lon), tg, prop_id, "haversine", start_km, lat, lon,
+    pts = _distinct_points(props, lat, lon)
+    best = nearest(pts, tg, "_pt", "haversine", start_km, lat, lon,
                    group_col="a_type" if type_col else None, dist_col="dist")
+    best = pts.join(best, "_pt").drop("_pt")
     if not type_col:
-        out = props.join(best, prop_id, "left")
+        out = props.join(best, [lat, lon], "left")
         return out.withColumn(f"{out_prefix}km", F.coalesce(F.col("dist"), F.lit(float("inf")))).drop("dist")
     types = AMENITY_TYPES if types is None else types
-    wide = best.groupBy(prop_id).pivot("a_type", types).agg(F.min("dist"))
-    out = props.join(wide, prop_id, "left")
+    wide = best.groupBy(lat, lon).pivot("a_type", types).agg(F.min("dist"))
+    out = props.join(wide, [lat, lon], "left")
     cols = {f"{out_prefix}{type_slug(t)}": F.coalesce(F.col(f"`{t}`"), F.lit(float("inf"))) for t in types}
     return out.withColumns(cols).drop(*types)

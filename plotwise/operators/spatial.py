@@ -95,7 +95,8 @@ def radius_join(left: DataFrame, right: DataFrame, radius: float, metric: str =
 
 
 def _extent(df: DataFrame, la: str, lo: str):
-    return df.agg(F.min(la).alias("a"), F.max(la).alias("b"), F.min(lo).alias("c"), F.max(lo).alias("d")).first()
+    return df.agg(F.min(la).alias("a"), F.max(la).alias("b"), F.min(lo).alias("c"), F.max(lo).alias("d"),
+                  F.count(F.lit(1)).alias("n")).first()
 
 
 def nearest(points: DataFrame, targets: DataFrame, point_id: str, metric: str = "haversine",
@@ -127,6 +128,11 @@ def nearest(points: DataFrame, targets: DataFrame, point_id: str, metric: str =
                 + max(p_ext["d"], t_ext["d"]) - min(p_ext["c"], t_ext["c"]))
     span = span_deg * KM_PER_DEG_LAT * 1.05 if metric == "haversine" else span_deg * 1.05
     span = max(span, start_radius)
+    # start near the radius that holds ~one target per group if spread evenly
+    tw = (t_ext["b"] - t_ext["a"]) * (t_ext["d"] - t_ext["c"])
+    per_group = max(t_ext["n"] / 6.0 if group_col else t_ext["n"], 1.0)
+    dens = (tw / per_group) ** 0.5 * (KM_PER_DEG_LAT if metric == "haversine" else 1.0)
+    start_radius = min(max(start_radius, dens), span)
 
     tcols = gkeys + [t_lat, t_lon] + ([target_id] if target_id else [])
     tg = targets.select(*tcols)
@@ -152,9 +158,8 @@ def nearest(points: DataFrame, targets: DataFrame, point_id: str, metric: str =
         if checkpoint:
             done = done.checkpoint(eager=True)
         resolved.append(done)
+        # one anti-join per round (rounds ≤ log2(span / start)); "done" is checkpointed
         pending = pending.join(done.select(*schema_cols), schema_cols, "left_anti")
-        if checkpoint:
-            pending = pending.checkpoint(eager=True)
         if pending.isEmpty():
             break
         r = min(r * 2.0, span)

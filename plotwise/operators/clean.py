@@ -80,7 +80,8 @@ def parse_dates(df: DataFrame, cols: tuple[str, ...] = ("date",), fmt: str | Non
         if c not in df.columns:
             continue
         src = F.col(c).cast("string") if fmt is None else F.col(c)
-        conv[c] = F.try_to_timestamp(src) if fmt is None else F.try_to_timestamp(src, F.lit(fmt))
+        ts = F.try_to_timestamp(src) if fmt is None else F.try_to_timestamp(src, F.lit(fmt))
+        conv[c] = ts.cast("timestamp_ntz")  # wall-clock time, independent of the session zone
     return df.withColumns(conv) if conv else df
 
 

@@ -20,7 +20,7 @@ from plotwise.sources.proxies import ALL_STATIONS
 def monthly_ridership(od: DataFrame, since: str = "2022-01-01", date: str = "date") -> DataFrame:
     """Sum passengers by month ('yyyy-MM'), service, origin, destination.
     The date filter is on the raw column, so it reaches the parquet scan."""
-    f = od.filter(F.col(date) >= F.lit(since).cast("timestamp")) if since else od
+    f = od.filter(F.col(date) >= F.lit(since).cast("timestamp_ntz")) if since else od
     return (f.withColumn("year_month", F.date_format(F.col(date), "yyyy-MM"))
              .groupBy("year_month", "service", "origin", "destination")
              .agg(F.sum("passengers").alias("passengers"))

@@ -90,7 +90,7 @@ SELECT year_month, count(*) AS n_rows
 FROM (SELECT strftime(date, '%Y-%m') AS year_month FROM od_ridership WHERE date >= TIMESTAMP '1996-01-01')
 GROUP BY year_month""", "od_ridership"))
 def q_month_key(spark, sf):
-    od = proxies.od_ridership(spark, sf).filter(F.col("date") >= F.lit("1996-01-01").cast("timestamp"))
+    od = proxies.od_ridership(spark, sf).filter(F.col("date") >= F.lit("1996-01-01").cast("timestamp_ntz"))
     return clean.month_key(od).groupBy("year_month").agg(F.count(F.lit(1)).alias("n_rows"))
 
 

@@ -76,7 +76,7 @@ SELECT date, service, origin, destination, passengers FROM od_ridership WHERE da
                                                "od_ridership"))
 def q_scan_parquet_month_filter(spark, sf):
     od = proxies.od_ridership(spark, sf)
-    return od.filter(F.col("date") >= F.lit(SINCE).cast("timestamp"))
+    return od.filter(F.col("date") >= F.lit(SINCE).cast("timestamp_ntz"))
 
 
 @query("monthly_ridership", with_views("\nSELECT * FROM monthly", "od_ridership", "monthly"))

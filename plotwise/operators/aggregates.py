@@ -16,12 +16,15 @@ from pyspark.sql import functions as F
 
 def road_centroids(df: DataFrame, road: str = "road_name", lat: str = "lat", lon: str = "lon",
                    district: str = "district", order_col: str = "records_id") -> DataFrame:
-    """Per road: median lat/lon (exact, linear) and the first non-NULL district."""
-    return (df.filter(F.col(road).isNotNull())
-              .groupBy(road)
-              .agg(F.median(lat).alias("lat"), F.median(lon).alias("lon"),
-                   F.min_by(F.col(district), F.when(F.col(district).isNotNull(), F.col(order_col))).alias(district),
-                   F.count(F.lit(1)).alias("n_properties")))
+    """Per road: median lat/lon (exact, linear; skew-safe) and the first non-NULL district."""
+    from plotwise.operators.quantiles import exact_percentiles
+    d = df.filter(F.col(road).isNotNull())
+    la = exact_percentiles(d, lat, [0.5], [road]).withColumnRenamed("p0", lat)
+    lo = exact_percentiles(d, lon, [0.5], [road]).withColumnRenamed("p0", lon)
+    rest = d.groupBy(road).agg(
+        F.min_by(F.col(district), F.when(F.col(district).isNotNull(), F.col(order_col))).alias(district),
+        F.count(F.lit(1)).alias("n_properties"))
+    return rest.join(la, road).join(lo, road).select(road, lat, lon, district, "n_properties")
 
 
 def value_counts(df: DataFrame, col: str, top: int | None = 10) -> DataFrame:
@@ -50,8 +53,10 @@ def distinct_ids_concat(pairs: DataFrame, key: str, id_col: str, out: str = "ids
 
 
 def prediction_summary(df: DataFrame, col: str = "prediction") -> DataFrame:
+    from plotwise.operators.quantiles import exact_percentiles
     c = F.col(col)
-    return df.agg(F.count(c).alias("count"), F.avg(c).alias("mean"), F.median(c).alias("median"),
+    med = exact_percentiles(df, col, [0.5]).first()[0]
+    return df.agg(F.count(c).alias("count"), F.avg(c).alias("mean"), F.lit(med).cast("double").alias("median"),
                   F.min(c).alias("min"), F.max(c).alias("max"))
 
 

@@ -69,9 +69,11 @@ def k_distance(points: DataFrame, id_col: str = "road_id", k: int = DBSCAN_MIN_S
 
 def optimal_eps(kdist: DataFrame, lo: float = DBSCAN_EPS_PERCENTILE_MIN, hi: float = DBSCAN_EPS_PERCENTILE_MAX) -> DataFrame:
     """One row: linear percentiles of the k-distances and ε = their mean (km and radians)."""
-    q = kdist.agg(F.percentile("kdist_km", F.array(F.lit(lo), F.lit(hi))).alias("_q"), F.count(F.lit(1)).alias("n"))
-    eps = (F.col("_q")[0] + F.col("_q")[1]) / 2
-    return q.select("n", F.col("_q")[0].alias("kdist_p90_km"), F.col("_q")[1].alias("kdist_p95_km"),
+    from plotwise.operators.quantiles import exact_percentiles
+    q = exact_percentiles(kdist, "kdist_km", [lo, hi]).first()
+    n = kdist.agg(F.count(F.lit(1)).alias("n"))
+    eps = (F.lit(q[0]) + F.lit(q[1])) / 2
+    return n.select("n", F.lit(q[0]).cast("double").alias("kdist_p90_km"), F.lit(q[1]).cast("double").alias("kdist_p95_km"),
                     eps.alias("eps_km"), (eps / EARTH_RADIUS_KM).alias("eps_rad"))
 
 
@@ -194,11 +196,16 @@ def cluster_back_join(props: DataFrame, roads: DataFrame, road: str = "road_name
 
 def cluster_stats(df: DataFrame, cluster: str = "market_cluster_id", price: str = "price_m2",
                   size: str = "property_m2", district: str = "district", order_col: str = "records_id") -> DataFrame:
+    from plotwise.operators.quantiles import exact_percentiles
     p = F.col(price)
+    med = exact_percentiles(df, price, [0.5], [cluster]).withColumnRenamed("p0", "median_price_m2")
     return (df.groupBy(cluster)
               .agg(F.count(p).alias("property_count"), F.avg(p).alias("avg_price_m2"),
-                   F.median(p).alias("median_price_m2"), F.stddev_samp(p).alias("std_price_m2"),
+                   F.stddev_samp(p).alias("std_price_m2"),
                    F.min(p).alias("min_price_m2"), F.max(p).alias("max_price_m2"),
                    F.avg(size).alias("avg_property_size"),
                    F.min_by(F.col(district), F.when(F.col(district).isNotNull(), F.col(order_col))).alias(district))
+              .join(med, cluster, "left")
+              .select(cluster, "property_count", "avg_price_m2", "median_price_m2", "std_price_m2", "min_price_m2",
+                      "max_price_m2", "avg_property_size", district)
               .orderBy(F.desc("property_count"), F.asc(cluster)))

@@ -45,8 +45,9 @@ def top_percentile_band(df: DataFrame, col: str = "price_m2", q: float = 0.90) -
     ``price_norm`` = (p − min) / (max − min) over the rows below (divisor 1
     when they are all equal). NULL price → NULL for both. The threshold and
     the range are scalar subqueries, not driver round trips."""
+    from plotwise.operators.quantiles import exact_percentiles
     p = F.col(col).cast("double")
-    thr = df.select(F.percentile(p, q)).scalar()
+    thr = F.lit(exact_percentiles(df.select(p.alias("_p")), "_p", [q]).first()[0]).cast("double")
     below = df.filter(p < thr)
     lo = below.select(F.min(p)).scalar()
     hi = below.select(F.max(p)).scalar()

@@ -27,44 +27,54 @@ def _targets(points: DataFrame, id_col: str, lat: str, lon: str) -> DataFrame:
     return points.select(F.col(id_col).alias("_nid"), F.col(lat).alias("r_lat"), F.col(lon).alias("r_lon"))
 
 
+def _locations(points: DataFrame, id_col: str, lat: str, lon: str) -> DataFrame:
+    """Distinct locations with their multiplicity: points stacked on one spot
+    join once, so a hot spot cannot make the neighbour join quadratic."""
+    return (points.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
+                  .groupBy(lat, lon).agg(F.min(id_col).alias("_loc"), F.count(F.lit(1)).alias("_w")))
+
+
 def k_distance(points: DataFrame, id_col: str = "road_id", k: int = DBSCAN_MIN_SAMPLES,
                lat: str = "lat", lon: str = "lon", start_km: float | None = None) -> DataFrame:
     """Great-circle km to the k-th nearest point, the point itself counted
-    first: (id, kdist_km). Expanding rings as in ``spatial.nearest``: a point
-    is final once k candidates lie within the current radius."""
-    pts = points.select(id_col, lat, lon)
-    ext = pts.agg(F.min(lat), F.max(lat), F.min(lon), F.max(lon), F.count(F.lit(1))).first()
-    n = ext[4]
+    first: (id, kdist_km). Works on weighted distinct locations with
+    expanding rings as in ``spatial.nearest``: a location is final once the
+    weights of candidates within the current radius reach k."""
+    loc = _locations(points, id_col, lat, lon).checkpoint()
+    ext = loc.agg(F.min(lat), F.max(lat), F.min(lon), F.max(lon), F.sum("_w"), F.count(F.lit(1))).first()
+    n = ext[4] or 0
     if n == 0:
-        return pts.select(id_col).withColumn("kdist_km", F.lit(None).cast("double"))
+        return points.select(id_col).withColumn("kdist_km", F.lit(None).cast("double"))
     span = ((ext[1] - ext[0]) + (ext[3] - ext[2])) * KM_PER_DEG_LAT * 1.05 + 1e-9
     if start_km is None:
         # radius expected to hold ~k points if they were spread evenly
         area = max((ext[1] - ext[0]) * (ext[3] - ext[2]) * KM_PER_DEG_LAT ** 2, 1e-6)
-        start_km = max((area * k / max(n, 1)) ** 0.5, span / 4096)
-    tg = _targets(points, id_col, lat, lon)
+        start_km = max((area * k / max(ext[5], 1)) ** 0.5, span / 4096)
+    kk = min(k, n)
+    tg = loc.select(F.col("_loc").alias("_nid"), F.col("_w").alias("_nw"), F.col(lat).alias("r_lat"),
+                    F.col(lon).alias("r_lon"))
     r = min(start_km, span)
-    pending = pts
+    pending = loc.select("_loc", lat, lon)
     done = []
     while True:
         last = r >= span
         cand = radius_join(pending, tg, r, "haversine", lat, lon, "r_lat", "r_lon", "d")
-        w = Window.partitionBy(id_col).orderBy("d", "_nid")
-        kth = (cand.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == min(k, n))
-                   .select(id_col, F.col("d").alias("kdist_km")))
-        if last:
-            done.append(kth)
-            break
+        w = Window.partitionBy("_loc").orderBy("d", "_nid").rowsBetween(Window.unboundedPreceding, 0)
+        kth = (cand.withColumn("_cw", F.sum("_nw").over(w)).filter(F.col("_cw") >= kk)
+                   .groupBy("_loc").agg(F.min("d").alias("kdist_km")))
         kth = kth.checkpoint()
         done.append(kth)
-        pending = pending.join(kth.select(id_col), id_col, "left_anti").checkpoint()
+        if last:
+            break
+        pending = pending.join(kth.select("_loc"), "_loc", "left_anti")
         if pending.isEmpty():
             break
         r = min(r * 2.0, span)
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
-    return out
+    per_loc = loc.join(out, "_loc").select(lat, lon, "kdist_km")
+    return points.select(id_col, lat, lon).join(per_loc, [lat, lon]).select(id_col, "kdist_km")
 
 
 def optimal_eps(kdist: DataFrame, lo: float = DBSCAN_EPS_PERCENTILE_MIN, hi: float = DBSCAN_EPS_PERCENTILE_MAX) -> DataFrame:
@@ -115,24 +125,29 @@ def connected_components(vertices: DataFrame, edges: DataFrame, id_col: str = "i
 def dbscan(points: DataFrame, eps_km: float, id_col: str = "road_id", min_samples: int = DBSCAN_MIN_SAMPLES,
            lat: str = "lat", lon: str = "lon") -> DataFrame:
     """(id, market_cluster, is_core, is_noise): labels 0.. by smallest member
-    id of each cluster, noise −1; neighbours within ε inclusive, self counted."""
-    pts = points.select(id_col, lat, lon)
-    pairs = radius_join(pts, _targets(points, id_col, lat, lon), eps_km, "haversine", lat, lon, "r_lat", "r_lon", "d")
-    pairs = pairs.select(id_col, "_nid").checkpoint()
-    counts = pairs.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n"))
-    core = counts.filter(F.col("_n") >= min_samples).select(id_col)
-    core_n = core.select(F.col(id_col).alias("_nid"))
-    ce = (pairs.join(core, id_col, "left_semi").join(core_n, "_nid", "left_semi")
-               .filter(F.col(id_col) < F.col("_nid")).select(F.col(id_col).alias("src"), F.col("_nid").alias("dst")))
-    comp = connected_components(core.withColumnRenamed(id_col, "id"), ce, "id").withColumnRenamed("id", id_col)
-    border = (pairs.join(core, id_col, "left_anti")
-                   .join(comp.select(F.col(id_col).alias("_nid"), "component"), "_nid")
-                   .groupBy(id_col).agg(F.min("component").alias("component")))
+    id of each cluster, noise −1; neighbours within ε inclusive, self counted.
+    Runs on weighted distinct locations (stacked points share one verdict)."""
+    loc = _locations(points, id_col, lat, lon).checkpoint()
+    pts = loc.select("_loc", lat, lon)
+    tg = loc.select(F.col("_loc").alias("_nid"), F.col("_w").alias("_nw"), F.col(lat).alias("r_lat"),
+                    F.col(lon).alias("r_lon"))
+    pairs = radius_join(pts, tg, eps_km, "haversine", lat, lon, "r_lat", "r_lon", "d")
+    pairs = pairs.select("_loc", "_nid", "_nw").checkpoint()
+    counts = pairs.groupBy("_loc").agg(F.sum("_nw").alias("_n"))
+    core = counts.filter(F.col("_n") >= min_samples).select("_loc")
+    core_n = core.select(F.col("_loc").alias("_nid"))
+    ce = (pairs.join(core, "_loc", "left_semi").join(core_n, "_nid", "left_semi")
+               .filter(F.col("_loc") < F.col("_nid")).select(F.col("_loc").alias("src"), F.col("_nid").alias("dst")))
+    comp = connected_components(core.withColumnRenamed("_loc", "id"), ce, "id").withColumnRenamed("id", "_loc")
+    border = (pairs.join(core, "_loc", "left_anti")
+                   .join(comp.select(F.col("_loc").alias("_nid"), "component"), "_nid")
+                   .groupBy("_loc").agg(F.min("component").alias("component")))
     labelled = comp.unionByName(border)
     from plotwise.operators.windows import global_index
     numbers = global_index(labelled.select("component").distinct(), ["component"], "market_cluster")
-    out = (points.select(id_col).join(labelled, id_col, "left").join(numbers, "component", "left")
-                 .join(core.withColumn("is_core", F.lit(True)), id_col, "left"))
+    per_loc = (loc.select("_loc", lat, lon).join(labelled, "_loc", "left").join(numbers, "component", "left")
+                  .join(core.withColumn("is_core", F.lit(True)), "_loc", "left"))
+    out = points.select(id_col, lat, lon).join(per_loc, [lat, lon], "left")
     return out.select(id_col, F.coalesce(F.col("market_cluster").cast("int"), F.lit(-1)).alias("market_cluster"),
                       F.coalesce("is_core", F.lit(False)).alias("is_core"),
                       F.col("component").isNull().alias("is_noise"))

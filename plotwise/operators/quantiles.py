@@ -5,12 +5,12 @@
 group holding a third of the data does not fit. Instead, per group and
 target rank:
 
-1. if the group has at most ``LIMIT`` values, their distinct values and
-   counts are ranked directly;
+1. if the group has at most ``LIMIT`` distinct values, their (value, count)
+   pairs are ranked directly;
 2. otherwise a bounded-memory ``percentile_approx`` sketch (partial
    aggregation) brackets the target rank, rows below the bracket are
    counted, and only the bracket is kept. This repeats until the bracket
-   holds at most ``LIMIT`` values. The sketch's rank error is bounded, so the
+   holds at most ``LIMIT`` distinct values. The sketch's rank error is bounded, so the
    margin around the target rank keeps the true value inside, and the
    counts check it (a miss widens the bracket).
 
@@ -52,17 +52,18 @@ def exact_percentiles(df: DataFrame, col: str, qs: list[float], by: list[str] |
         st_side = F.broadcast(state) if glob else state
         inb = (base.join(st_side, by).filter((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
                    .select(*keys, "_v"))
-        size = inb.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"))
-        st = state.join(size, keys, "left").fillna(0, subset=["_c"]).checkpoint()
+        # (value, count) pairs in each bracket: ties collapse to one row
+        vcount = inb.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_k")).checkpoint()
+        size = vcount.groupBy(*keys).agg(F.sum("_k").alias("_c"), F.count(F.lit(1)).alias("_d"))
+        st = state.join(size, keys, "left").fillna(0, subset=["_c", "_d"]).checkpoint()
         valid = (F.col("_below") <= F.col("_r")) & (F.col("_r") < F.col("_below") + F.col("_c"))
-        small = st.filter(valid & (F.col("_c") <= limit))
-        big = st.filter(valid & (F.col("_c") > limit))
+        small = st.filter(valid & (F.col("_d") <= limit))
+        big = st.filter(valid & (F.col("_d") > limit))
         miss = st.filter(~valid)
-        # exact selection on (value, count) pairs inside small brackets
-        vc = (inb.join(small.select(*keys), keys, "left_semi")
-                 .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_k")))
+        # exact selection: running count over the bracket's distinct values
         w = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-        vc = vc.join(small.select(*keys, "_below"), keys).withColumn("_cum", F.col("_below") + F.sum("_k").over(w))
+        vc = (vcount.join(small.select(*keys, "_below"), keys)
+                    .withColumn("_cum", F.col("_below") + F.sum("_k").over(w)))
         done.append(vc.filter(F.col("_cum") > F.col("_r")).groupBy(*keys).agg(F.min("_v").alias("_val")).checkpoint())
         if big.isEmpty() and miss.isEmpty():
             break

@@ -82,3 +82,20 @@ def test_shortest_paths_are_consistent(spark):
     for e in edges.collect():  # d(u) <= w(u,v) + d(v)
         if e.dst in d:
             assert d[e.src] <= e.length_m + d[e.dst] + 1e-9
+
+
+def test_dbscan_with_stacked_points(spark):
+    """A third of the points on one spot: weighted locations keep the
+    definition (core = ≥ min_samples within ε, self counted)."""
+    rng = np.random.default_rng(7)
+    pts = [(i, 3.0, 101.5) for i in range(60)]
+    pts += [(100 + i, 3.0 + rng.random() * 0.02, 101.5 + rng.random() * 0.02) for i in range(120)]
+    df = spark.createDataFrame(pts, "road_id long, lat double, lon double")
+    eps = 0.3
+    lab = {r.road_id: r for r in cl.dbscan(df, eps, "road_id").collect()}
+    xy = [(a, b) for _, a, b in pts]
+    for i, (rid, a, b) in enumerate(pts):
+        nb = [j for j, (c, d) in enumerate(xy) if hav(a, b, c, d) <= eps]
+        assert lab[rid].is_core == (len(nb) >= 5)
+    kd = {r.road_id: r.kdist_km for r in cl.k_distance(df, "road_id").collect()}
+    assert all(kd[i] == 0.0 for i in range(60))

@@ -109,7 +109,9 @@ def connected_components(vertices: DataFrame, edges: DataFrame, id_col: str = "i
         small = (smaller.join(m2, "u").select(F.col("v").alias("u"), F.col("_m").alias("v"))
                  .unionByName(m2.select("u", F.col("_m").alias("v"))))
         new = small.filter(F.col("u") != F.col("v")).distinct().checkpoint()
-        same = new.exceptAll(e).isEmpty() and e.exceptAll(new).isEmpty()
+        # one job: any edge present on only one side means the set changed
+        same = (new.withColumn("_a", F.lit(1)).join(e.withColumn("_b", F.lit(1)), ["u", "v"], "full")
+                   .filter(F.col("_a").isNull() | F.col("_b").isNull()).isEmpty())
         e = new
         if same:
             break

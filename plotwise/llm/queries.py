@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from plotwise.llm.common import documents
 from plotwise.llm.line_dedup import drop_repeated_lines
 from plotwise.llm.mixing import mix
+from plotwise.llm.near_dedup import near_duplicates
 from plotwise.llm.packing import best_fit_pack
 
 #: Word pattern of the contracts, for DuckDB.
@@ -22,6 +23,11 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_pack(documents(spark, sf_dir))
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near-duplicate documents."""
+    return near_duplicates(documents(spark, sf_dir))
+
+
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entropy-balanced mix of all documents."""
     return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -83,6 +89,7 @@ FROM k LEFT JOIN s USING (key) GROUP BY doc_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
+    "op4_near_dedup": op4_near_dedup,
     "op9_mix": op9_mix,
     "op10_line_dedup": op10_line_dedup,
 }

@@ -12,6 +12,7 @@ from plotwise.llm.line_dedup import drop_repeated_lines
 from plotwise.llm.mixing import mix
 from plotwise.llm.near_dedup import near_duplicates
 from plotwise.llm.packing import best_fit_pack
+from plotwise.llm.token_counts import token_counts
 
 #: Word pattern of the contracts, for DuckDB.
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -28,6 +29,11 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact token counts of every document."""
+    return token_counts(documents(spark, sf_dir))
+
+
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entropy-balanced mix of all documents."""
     return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -90,6 +96,7 @@ FROM k LEFT JOIN s USING (key) GROUP BY doc_id
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
     "op4_near_dedup": op4_near_dedup,
+    "op7_token_counts": op7_token_counts,
     "op9_mix": op9_mix,
     "op10_line_dedup": op10_line_dedup,
 }

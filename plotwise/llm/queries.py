@@ -13,6 +13,7 @@ from plotwise.llm.mixing import mix
 from plotwise.llm.near_dedup import near_duplicates
 from plotwise.llm.packing import best_fit_pack
 from plotwise.llm.token_counts import token_counts
+from plotwise.llm.toxicity import toxicity
 
 #: Word pattern of the contracts, for DuckDB.
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -24,6 +25,11 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_pack(documents(spark, sf_dir))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels that aren't held out."""
+    return toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of near-duplicate documents."""
     return near_duplicates(documents(spark, sf_dir))
@@ -95,6 +101,7 @@ FROM k LEFT JOIN s USING (key) GROUP BY doc_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
+    "op3_toxicity": op3_toxicity,
     "op4_near_dedup": op4_near_dedup,
     "op7_token_counts": op7_token_counts,
     "op9_mix": op9_mix,

@@ -15,14 +15,15 @@ from plotwise.llm.line_dedup import drop_repeated_lines
 from plotwise.llm.mixing import apply_mix, mix
 from plotwise.llm.near_dedup import near_duplicates
 from plotwise.llm.packing import best_fit_pack
-from plotwise.llm.toxicity import toxicity
+from plotwise.llm.toxicity import fit, score
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go, with all rows of their id; rows with a null id stay or go together."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    toxic = toxicity(docs, labels).filter("predicted = 1").select(F.col("doc_id").alias("_tox")).distinct()
-    return docs.join(toxic, F.col("doc_id").eqNullSafe(F.col("_tox")), "left_anti")
+    """Documents that the classifier rejects go; every row is judged by its own text, whatever its id."""
+    model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    keyed = docs.withColumn("_key", F.concat_ws(":", F.col("doc_id").cast("string"), F.xxhash64("text").cast("string")))
+    toxic = score(keyed, model, "_key").filter("predicted = 1").select("_key").distinct()
+    return keyed.join(toxic, "_key", "left_anti").select(*docs.columns)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,6 +12,7 @@ from plotwise.llm.line_dedup import drop_repeated_lines
 from plotwise.llm.mixing import mix
 from plotwise.llm.near_dedup import near_duplicates
 from plotwise.llm.packing import best_fit_pack
+from plotwise.llm.quality import quality
 from plotwise.llm.token_counts import token_counts
 from plotwise.llm.toxicity import toxicity
 
@@ -25,6 +26,11 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_pack(documents(spark, sf_dir))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality cascade over every document."""
+    return quality(documents(spark, sf_dir)).drop("rejected_by")
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from the labels that aren't held out."""
     return toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -101,10 +107,31 @@ FROM k LEFT JOIN s USING (key) GROUP BY doc_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
+    "op2_quality": op2_quality,
     "op3_toxicity": op3_toxicity,
     "op4_near_dedup": op4_near_dedup,
     "op7_token_counts": op7_token_counts,
     "op9_mix": op9_mix,
     "op10_line_dedup": op10_line_dedup,
 }
-ORACLES: dict[str, str] = {"op9_mix": OP9_SQL, "op10_line_dedup": OP10_SQL}
+#: op2: the rules of the cascade are evaluated in any order, so SQL needs none.
+OP2_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
+win AS (SELECT doc_id, i, list_aggregate(w[i:i + 4], 'string_agg', chr(10)) AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)),
+rep AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+cov AS (SELECT doc_id, CAST(sum(least(5, coalesce(nxt - i, 5))) AS BIGINT) AS n_repeat_words
+  FROM (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS nxt FROM rep) GROUP BY doc_id),
+l AS (SELECT doc_id, list_filter(string_split(t, chr(10)), x -> trim(x, {_WS}) <> '') AS l FROM d),
+f AS (SELECT d.doc_id, t, w, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, len(l) AS n_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM d JOIN l USING (doc_id) LEFT JOIN cov USING (doc_id)),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+    n_symbols * 100 > n_words * 10 OR word_chars < n_words * 3 OR word_chars > n_words * 10 OR n_dup_lines * 3 > n_lines
+    OR (length(t) - length(regexp_replace(t, '\\p{{Lu}}+', '', 'g'))) * 100 > word_chars * 30
+    OR (length(t) - length(regexp_replace(t, '!+', '', 'g'))) * 100 > n_words * 10
+    OR len(list_filter(range(2, len(w) + 1), i -> w[i] = w[i - 1])) * 100 > n_words * 20 AS bad FROM f)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT bad AS kept FROM b
+"""
+
+ORACLES: dict[str, str] = {"op2_quality": OP2_SQL, "op9_mix": OP9_SQL, "op10_line_dedup": OP10_SQL}

@@ -121,7 +121,7 @@ win AS (SELECT doc_id, i, list_aggregate(w[i:i + 4], 'string_agg', chr(10)) AS g
 rep AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
 cov AS (SELECT doc_id, CAST(sum(least(5, coalesce(nxt - i, 5))) AS BIGINT) AS n_repeat_words
   FROM (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS nxt FROM rep) GROUP BY doc_id),
-l AS (SELECT doc_id, list_filter(string_split(t, chr(10)), x -> trim(x, {_WS}) <> '') AS l FROM d),
+l AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: trim(x, {_WS}) <> '') AS l FROM d),
 f AS (SELECT d.doc_id, t, w, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
     CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
     CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, len(l) AS n_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
@@ -130,7 +130,7 @@ b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_fail
     n_symbols * 100 > n_words * 10 OR word_chars < n_words * 3 OR word_chars > n_words * 10 OR n_dup_lines * 3 > n_lines
     OR (length(t) - length(regexp_replace(t, '\\p{{Lu}}+', '', 'g'))) * 100 > word_chars * 30
     OR (length(t) - length(regexp_replace(t, '!+', '', 'g'))) * 100 > n_words * 10
-    OR len(list_filter(range(2, len(w) + 1), i -> w[i] = w[i - 1])) * 100 > n_words * 20 AS bad FROM f)
+    OR len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) * 100 > n_words * 20 AS bad FROM f)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT bad AS kept FROM b
 """
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plotwise.llm.common import documents
+from plotwise.llm.fingerprints import edited_fingerprints
 from plotwise.llm.line_dedup import drop_repeated_lines
 from plotwise.llm.mixing import mix
 from plotwise.llm.near_dedup import near_duplicates
@@ -41,6 +42,11 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Syncmer fingerprints of every document and of its edited text."""
+    return edited_fingerprints(documents(spark, sf_dir))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact token counts of every document."""
     return token_counts(documents(spark, sf_dir))
@@ -110,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op3_toxicity": op3_toxicity,
     "op4_near_dedup": op4_near_dedup,
+    "op5_fingerprints": op5_fingerprints,
     "op7_token_counts": op7_token_counts,
     "op9_mix": op9_mix,
     "op10_line_dedup": op10_line_dedup,

@@ -13,6 +13,7 @@ from plotwise.llm.line_dedup import drop_repeated_lines
 from plotwise.llm.mixing import mix
 from plotwise.llm.near_dedup import near_duplicates
 from plotwise.llm.packing import best_fit_pack
+from plotwise.llm.pii import personal_data
 from plotwise.llm.quality import quality
 from plotwise.llm.token_counts import token_counts
 from plotwise.llm.toxicity import toxicity
@@ -52,6 +53,12 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return (personal_data(documents(spark, sf_dir)).withColumn("base_sha256", F.sha2("base_spans", 256))
+            .select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"))
+
+
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entropy-balanced mix of all documents."""
     return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -118,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_near_dedup": op4_near_dedup,
     "op5_fingerprints": op5_fingerprints,
     "op7_token_counts": op7_token_counts,
+    "op8_pii": op8_pii,
     "op9_mix": op9_mix,
     "op10_line_dedup": op10_line_dedup,
 }

@@ -9,9 +9,9 @@ sets, 100 * |A & B| >= 75 * |A | B|.
 
 No bucket is expanded into all its pairs. Copies with equal shingle sets are one
 representative from the start. A bucket is searched from leaders: first all
-members against its smallest id; only where members still lie in different
-components, against eight more leaders drawn by hash, then 64, and so on
-until the bucket is one component or every member has been a leader. So a
+members against its least node; where some do not join that node's component,
+up to eight of those lead in turn, drawn by hash, then 64, and so on
+until the bucket is one component or all of them have led. So a
 group of near copies costs one pair per member, and every pair that shares a
 band and is not yet joined by other links is verified.
 """
@@ -129,9 +129,8 @@ def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
             a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint8).reshape(-1, COORDS) for c in (2, 3))
-            keep = (a == b).sum(axis=1) >= LEAST_EQUAL
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep)), batch.column(1).filter(pa.array(keep))],
-                                             names=["a", "b"])
+            keep = pa.array((a == b).sum(axis=1) >= LEAST_EQUAL)
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in (0, 1, 4, 5)], names=["a", "b", "id_a", "id_b"])
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -139,7 +138,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     component_id is the smallest id reachable over links, kept says that the row
     is it. Null or empty text and text without words has an empty set and is linked
-    with nothing. Rows of one id are one node and get one component; a row with a null id is linked with
+    with nothing. Rows of one id are one document; a row with a null id is linked with
     nothing, has a null component and is kept. Extra columns are not read. An
     empty table gives an empty table.
     """
@@ -147,16 +146,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sketches = materialise(src.mapInArrow(
         _sketch, "id long, n_shingles long, node binary, bands array<long>, sig binary"), "near-sketch")
     named = sketches.filter("id is not null and node is not null")
-    heads = named.select("node", "n_shingles", "bands", "sig").dropDuplicates(["node"])     # equal sets are one node
     rows = named.select("id", "node")
-    several = rows.groupBy("id").agg(F.min("node").alias("first"), F.max("node").alias("last")).filter("first != last")
-    ties = (several.select("id", "first").join(rows, "id").filter("node != first")
-                   .select(F.col("first").alias("src"), F.col("node").alias("dst")))
-    edges = _links(src, rows, heads).unionByName(ties)
+    # equal sets are one node; ids with several texts tie their nodes together
+    heads = named.groupBy("node").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("n_shingles", "bands", "sig")])
+    ties = (rows.groupBy("id").agg(F.min("node").alias("src"), F.max("node").alias("last")).filter("src != last")
+                .join(rows, "id").filter("node != src").select("src", F.col("node").alias("dst")))
+    edges = _links(src, heads).unionByName(ties)
     comps = connected_components(_ends(edges), edges, "node").withColumnRenamed("node", "n")
     placed = rows.join(comps, F.col("node") == F.col("n"), "left").select("id", "node", F.coalesce("component", "node").alias("component"))
     smallest = placed.groupBy("component").agg(F.min("id").alias("component_id"))
-    of_node = placed.select("node", "component").distinct().join(smallest, "component").select(F.col("node").alias("n"), "component_id")
+    of_node = (placed.select("node", "component").distinct().join(smallest, "component")
+                     .select(F.col("node").alias("n"), "component_id"))
     return (sketches.select("id", "n_shingles", "node").join(of_node, F.col("node") == F.col("n"), "left")
                     .withColumn("component_id", F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")))
                     .select(F.col("id").alias(id_col), "n_shingles", "component_id",
@@ -167,52 +167,64 @@ def _ends(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("src").alias("node")).unionByName(edges.select(F.col("dst").alias("node"))).distinct()
 
 
-def _links(src: DataFrame, names: DataFrame, heads: DataFrame) -> DataFrame:
+def _labels(links: DataFrame) -> DataFrame:
+    """node, label: least node within two links. Equal labels mean one
+    component; different ones may still be one, which only costs further tests."""
+    both = links.unionByName(links.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    one = both.groupBy("src").agg(F.least(F.min("dst"), F.col("src")).alias("near"))
+    two = (both.join(one.withColumnRenamed("src", "via"), F.col("dst") == F.col("via"))
+               .groupBy("src").agg(F.least(F.min("near"), F.col("src")).alias("label")))
+    return two.withColumnRenamed("src", "labelled")
+
+
+def _links(src: DataFrame, heads: DataFrame) -> DataFrame:
     """src, dst (nodes): verified links that join all nodes that LSH brings together."""
-    spark = src.sparkSession
     met = heads.select("node", F.explode("bands").alias("bucket"))
     buckets = met.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("first")).filter("n > 1")
-    unit = F.pmod(F.xxhash64("node", "bucket"), F.lit(1 << 40)) / float(1 << 40)
-    # place: 0 for the least node, else a number in (0, 1) that a hash draws; leaders of a round have place < quota / n
-    members = materialise(met.join(buckets, "bucket").select(
-        "bucket", "n", "node", F.when(F.col("node") == F.col("first"), 0.0).otherwise(F.greatest(unit, F.lit(1e-12))).alias("place")), "near-buckets")
-    facts = materialise(heads.select("node", "n_shingles", "sig").join(members.select("node").distinct(), "node"), "near-facts")
-    links = spark.createDataFrame([], "src binary, dst binary")
-    open_members = members.withColumn("comp", F.col("node"))
-    low, high, quota = F.lit(0.0), F.lit(1e-12), LEADERS
+    members = materialise(met.join(buckets, "bucket"), "near-buckets")
+    facts = materialise(heads.drop("bands").join(members.select("node").distinct(), "node"), "near-facts")
+    # first every member against the least node of its bucket; a bucket of two is then done
+    pairs = members.filter("node != first").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    links = _verify(src, facts, pairs)
+    low, quota = F.lit(0.0), LEADERS
+    place = F.pmod(F.xxhash64("node", "bucket"), F.lit(1 << 40)) / float(1 << 40)
     while True:
-        # leaders new in this round, against members that were no leaders before
-        fresh = open_members.filter(F.col("place") >= low)
-        lead = fresh.filter(F.col("place") < high).select(F.col("bucket").alias("lb"), F.col("node").alias("lnode"), F.col("comp").alias("lcomp"))
-        pairs = (fresh.join(lead, (F.col("bucket") == F.col("lb")) & (F.col("comp") != F.col("lcomp")))
-                      .select(F.least("node", "lnode").alias("a"), F.greatest("node", "lnode").alias("b")).distinct())
-        links = materialise(links.unionByName(_verify(src, names, facts, pairs)), "near-links")
-        comps = connected_components(_ends(links), links, "node").withColumnRenamed("node", "cnode")
-        tagged = (members.filter((F.col("n") > 2) & (F.lit(1.0) >= high))
-                         .join(comps, F.col("node") == F.col("cnode"), "left")
-                         .select("bucket", "n", "node", "place", F.coalesce("component", "node").alias("comp")))
-        split = (tagged.groupBy("bucket").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"))
-                       .filter("c1 != c2").select(F.col("bucket").alias("sb")))
-        open_members = materialise(tagged.join(split, F.col("bucket") == F.col("sb"), "left_semi"), "near-open")
-        if open_members.isEmpty():
+        labels = _labels(links)
+        of_first = labels.select(F.col("labelled").alias("f"), F.col("label").alias("first_label"))
+        tagged = (members.filter("n > 2").join(labels, F.col("node") == F.col("labelled"), "left")
+                         .join(of_first, F.col("first") == F.col("f"), "left")
+                         .select("bucket", "node", F.coalesce("label", "node").alias("label"), place.alias("place"),
+                                 (F.coalesce("label", "node") != F.coalesce("first_label", "first")).alias("apart")))
+        # pairs still to test have a member apart from the first's component: these lead in turn, drawn by hash
+        apart = tagged.groupBy("bucket").agg(F.count_if("apart").alias("m")).filter("m > 0").withColumnRenamed("bucket", "ob")
+        left = materialise(tagged.join(apart, F.col("bucket") == F.col("ob")).drop("ob"), "near-open")
+        high = F.lit(float(quota)) / F.col("m")
+        lead = (left.filter(F.col("apart") & (F.col("place") >= low) & (F.col("place") < high))
+                    .select(F.col("bucket").alias("lb"), F.col("node").alias("lnode"), F.col("label").alias("llabel")))
+        pairs = (left.join(lead, (F.col("bucket") == F.col("lb")) & (F.col("label") != F.col("llabel")))
+                     .select(F.least("node", "lnode").alias("a"), F.greatest("node", "lnode").alias("b")))
+        largest = left.agg(F.max("m")).first()[0]
+        if not largest:
+            return links
+        links = materialise(links.unionByName(_verify(src, facts, pairs)), "near-links")
+        if quota >= largest:
             return links
-        low, high, quota = high, F.lit(float(quota)) / F.col("n"), quota * LEADERS
+        low, quota = F.lit(0.0), quota * LEADERS
 
 
-def _verify(src: DataFrame, names: DataFrame, facts: DataFrame, pairs: DataFrame) -> DataFrame:
+def _verify(src: DataFrame, facts: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs whose full shingle sets are similar enough, as src, dst."""
-    fa = facts.select(F.col("node").alias("a"), F.col("n_shingles").alias("na"), F.col("sig").alias("sa"))
-    fb = facts.select(F.col("node").alias("b"), F.col("n_shingles").alias("nb"), F.col("sig").alias("sb"))
-    sized = (pairs.join(fa, "a").join(fb, "b")
-                  .filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * THRESHOLD).select("a", "b", "sa", "sb"))
-    likely = materialise(sized.mapInArrow(_alike, "a binary, b binary"), "near-pairs")
-    wanted = likely.select(F.col("a").alias("w")).unionByName(likely.select(F.col("b").alias("w"))).distinct()
-    holders = src.join(names.join(wanted, F.col("node") == F.col("w"), "left_semi").groupBy("node").agg(F.min("id").alias("hid"))
-                       .select("hid").distinct(), F.col("id") == F.col("hid"), "left_semi").select("text")
+    fa, fb = (facts.select(F.col("node").alias(x), F.col("id").alias(f"id_{x}"), F.col("n_shingles").alias(f"n{x}"), F.col("sig").alias(f"s{x}"))
+              for x in "ab")
+    sized = (pairs.distinct().join(fa, "a").join(fb, "b")
+                  .filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * THRESHOLD).select("a", "b", "sa", "sb", "id_a", "id_b"))
+    likely = materialise(sized.mapInArrow(_alike, "a binary, b binary, id_a long, id_b long"), "near-pairs")
+    wanted = likely.select(F.explode(F.array("id_a", "id_b")).alias("wid")).distinct()
+    holders = src.join(wanted, F.col("id") == F.col("wid"), "left_semi").select("text")
     sets = materialise(holders.mapInArrow(_sets, "node binary, shingles array<long>").dropDuplicates(["node"]), "near-sets")
     sa = sets.select(F.col("node").alias("a"), F.col("shingles").alias("xa"))
     sb = sets.select(F.col("node").alias("b"), F.col("shingles").alias("xb"))
     both = F.size(F.array_intersect("xa", "xb"))
-    return (likely.join(sa, "a").join(sb, "b")
-                  .filter(both * 100 >= (F.size("xa") + F.size("xb") - both) * THRESHOLD)
-                  .select(F.col("a").alias("src"), F.col("b").alias("dst")))
+    return materialise(likely.select("a", "b").join(sa, "a").join(sb, "b")
+                       .filter(both * 100 >= (F.size("xa") + F.size("xb") - both) * THRESHOLD)
+                       .select(F.col("a").alias("src"), F.col("b").alias("dst")), "near-verified")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from plotwise.llm.common import documents
 from plotwise.llm.fingerprints import edited_fingerprints
+from plotwise.llm.html_text import extract
 from plotwise.llm.line_dedup import drop_repeated_lines
 from plotwise.llm.mixing import mix
 from plotwise.llm.near_dedup import near_duplicates
@@ -48,6 +49,11 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(documents(spark, sf_dir))
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact token counts of every document."""
     return token_counts(documents(spark, sf_dir))
@@ -124,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_near_dedup": op4_near_dedup,
     "op5_fingerprints": op5_fingerprints,
+    "op6_html_text": op6_html_text,
     "op7_token_counts": op7_token_counts,
     "op8_pii": op8_pii,
     "op9_mix": op9_mix,

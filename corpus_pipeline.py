@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plotwise.llm.common import materialise
+from plotwise.llm.common import materialise, without
 from plotwise.llm.line_dedup import drop_repeated_lines
 from plotwise.llm.mixing import apply_mix, mix
 from plotwise.llm.near_dedup import near_duplicates
@@ -21,9 +21,9 @@ from plotwise.llm.toxicity import fit, score
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go; every row is judged by its own text, whatever its id."""
     model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    keyed = docs.withColumn("_key", F.concat_ws(":", F.col("doc_id").cast("string"), F.xxhash64("text").cast("string")))
-    toxic = score(keyed, model, "_key").filter("predicted = 1").select("_key").distinct()
-    return keyed.join(toxic, "_key", "left_anti").select(*docs.columns)
+    key = F.concat_ws(":", F.col("doc_id").cast("string"), F.xxhash64("text").cast("string"))
+    scored = score(docs.select(key.alias("key"), "text"), model, "key")
+    return without(docs, key, scored.filter("predicted = 1").select("key"))
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,8 +35,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, the one of smallest id."""
-    gone = near_duplicates(docs).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    return without(docs, F.col("doc_id"), near_duplicates(docs).filter("not kept").select("doc_id"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

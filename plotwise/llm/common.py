@@ -55,3 +55,11 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def without(docs: DataFrame, key: Column, gone: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose ``key`` isn't in the one column of ``gone``. Rows travel as one
+    struct, so no column of theirs can clash with the join's."""
+    bad = gone.toDF("gone").distinct()
+    return (docs.select(F.struct(*docs.columns).alias("row"), key.alias("key"))
+                .join(bad, F.col("key") == F.col("gone"), "left_anti").select("row.*"))

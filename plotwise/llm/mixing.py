@@ -172,6 +172,7 @@ def _repair(rows: DataFrame) -> DataFrame:
 
 def apply_mix(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` repeated as often as ``mixed`` says (0 drops them)."""
-    copies = (mixed.groupBy(F.col(id_col).alias("_mid")).agg(F.max("copies").alias("_copies")))
-    return (docs.join(copies, F.col(id_col).eqNullSafe(F.col("_mid"))).filter("_copies > 0")
-                .withColumn("_c", F.explode(F.sequence(F.lit(1), "_copies"))).select(*docs.columns))
+    copies = mixed.groupBy(F.col(id_col).alias("mid")).agg(F.max("copies").alias("copies")).filter("copies > 0")
+    return (docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("rid"))
+                .join(copies, F.col("rid").eqNullSafe(F.col("mid")))
+                .withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*"))

@@ -27,7 +27,9 @@ from plotwise.llm.common import materialise, text_of
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 BASE_KINDS = 4
-LABELERS = ("pattern", "check", "gazetteer", "cue", "counter_cue", "shape", "border")
+#: Labelers with the share of right votes that estimation starts from; it counts as STRENGTH votes.
+LABELERS = {"pattern": 0.95, "check": 0.95, "gazetteer": 0.75, "cue": 0.65, "counter_cue": 0.75, "shape": 0.7, "border": 0.65}
+STRENGTH = 20
 ROUNDS = 200            # of expectation-maximisation, which stops earlier once nothing moves
 ACCEPT = 0.5
 
@@ -180,8 +182,9 @@ def _decode(code: int) -> tuple[list[int], int, int]:
 def reliabilities(kinds: np.ndarray, v: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Expectation-maximisation on counted vote patterns: probability that each pattern is
     personal data, and per kind the labelers' shares of right votes. Votes are taken as
-    independent given the truth; a prior of ten right votes in twelve keeps unused labelers sane."""
-    post, right = np.full(len(n), 0.5), np.full((len(KINDS), v.shape[1]), 0.8)
+    independent given the truth; the shares that estimation starts from also hold rarely used labelers."""
+    start = np.asarray(list(LABELERS.values()))
+    post, right = np.full(len(n), 0.5), np.tile(start, (len(KINDS), 1))
     prior = np.full(len(KINDS), 0.5)
     for _ in range(ROUNDS):
         logit = np.log(prior[kinds] / (1 - prior[kinds])) + (v * np.log(right[kinds] / (1 - right[kinds]))).sum(axis=1)
@@ -193,7 +196,7 @@ def reliabilities(kinds: np.ndarray, v: np.ndarray, n: np.ndarray) -> tuple[np.n
                 w, p, x = n[at][:, None], post[at][:, None], v[at]
                 good = (w * (p * (x == 1) + (1 - p) * (x == -1))).sum(axis=0)
                 said = (w * (x != 0)).sum(axis=0)
-                right[k] = np.clip((good + 10) / (said + 12), 0.05, 0.99)
+                right[k] = np.clip((good + STRENGTH * start) / (said + STRENGTH), 0.05, 0.99)
                 prior[k] = np.clip(((w * p).sum() + 1) / (w.sum() + 2), 0.02, 0.98)
         if moved < 1e-9:
             break
@@ -224,7 +227,7 @@ def train(counts: list[tuple[int, int, int]]) -> SpanModel:
     """Fit on (kind, code, count) patterns: reliabilities, then a logistic regression on their posteriors (Newton, ridge 1)."""
     width = len(KINDS) + 2 * len(LABELERS) + 12
     if not counts:
-        return SpanModel(np.zeros(width), np.full((len(KINDS), len(LABELERS)), 0.8))
+        return SpanModel(np.zeros(width), np.tile(np.asarray(list(LABELERS.values())), (len(KINDS), 1)))
     counts = sorted(counts)
     kinds, n = np.asarray([c[0] for c in counts]), np.asarray([c[2] for c in counts], dtype=float)
     v = np.asarray([_decode(c[1])[0] for c in counts], dtype=float)

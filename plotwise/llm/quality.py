@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from plotwise.llm.common import let, strip_ws, text_of, word_array
 
-#: Rows of the sample that costs and selectivities are estimated on (first by hash of the text).
+#: Rows of the sample that costs and selectivities are estimated on (first by hash).
 SAMPLE_ROWS = 2000
 WINDOW = 5
 #: Base limits (words; per cent of words in repeated windows) and symbols.
@@ -90,7 +90,10 @@ def plan_cascade(docs: DataFrame, text_col: str = "text", rules: dict[str, Calla
     """Rule names in the order of rejection per cost, greedily: what counts for
     a rule is what the rules before it leave."""
     rules = rules or RULES
-    picked = docs.select(F.col(text_col).alias("text")).withColumn("_h", F.xxhash64("text")).orderBy("_h").limit(sample_rows).select("text")
+    # the cut is found on hashes alone, so that no task gathers texts beyond the sample
+    place = F.xxhash64(*docs.columns)
+    last = docs.select(place.alias("h")).orderBy("h").limit(sample_rows).agg(F.max("h")).first()[0]
+    picked = docs.filter(place <= F.lit(last)).select(F.col(text_col).alias("text")).limit(sample_rows)
     sample = features(picked).filter(~F.col("base_failed")).select(
         "_text", "_words", "_lines", "n_words", "word_chars", "n_symbols", "n_dup_lines").persist()
     try:
@@ -126,7 +129,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Null ids and repeated rows are kept as rows; extra columns are not read. An empty table gives an empty table.
     """
     rules = rules or RULES
-    order = order or plan_cascade(docs, text_col, rules)
+    order = order or plan_cascade(docs.select(id_col, text_col), text_col, rules)
     f = features(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")))
     cascade = F.when(F.col("base_failed"), "base")
     for n in order:

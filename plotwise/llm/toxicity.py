@@ -261,8 +261,8 @@ def train(texts: list[str], labels: list[int], weights: list[float]) -> Model:
                 inputs[i] = evidence(split[i], g, o)
     w = _new_weights(rng)
     has = [i for i in range(len(y)) if len(inputs[i])]
-    flat = np.concatenate([inputs[i] for i in has])
-    starts, ends, owner = _windows([len(inputs[i]) for i in has])
+    flat, lens = np.concatenate([inputs[i] for i in has]), [len(inputs[i]) for i in has]
+    starts, ends, owner = _windows(lens)
     target = y[has][owner]
     at = starts[None, :] + np.arange(WINDOW)[:, None]
     hint = np.partition(np.where(at < ends, flat[np.minimum(at, len(flat) - 1), 0], 0), -3, axis=0)[-3:].sum(axis=0)
@@ -289,7 +289,7 @@ def train(texts: list[str], labels: list[int], weights: list[float]) -> Model:
                     m1[k] = 0.9 * m1[k] + 0.1 * g[k]
                     m2[k] = 0.999 * m2[k] + 0.001 * g[k] ** 2
                     w[k] -= (0.01 * (m1[k] / (1 - 0.9 ** step)) / (np.sqrt(m2[k] / (1 - 0.999 ** step)) + 1e-8)).astype(np.float32)
-    best = window_logits(w, flat, [len(inputs[i]) for i in has])
+    best = window_logits(w, flat, lens)
     scale, shift = _platt(best, y[has], np.asarray(weights, dtype=float)[has])
     total_t, total_c = float((y == 1).sum()), float((y == 0).sum())
     return Model(_odds(grams.sum(0)[1], grams.sum(0)[0], total_t, total_c),

@@ -351,7 +351,7 @@ def test_targets_are_met(spark):
         target[r["source"]] = (r["target"], r["source_size"])
         assert r["taken"] in (0, r["size"], 2 * r["size"])
     for name, (t, size) in target.items():
-        assert abs(taken[name] - t) <= max(0.01 * t, 5) and t <= 2 * size + 1e-6
+        assert abs(taken[name] - t) <= max(0.03 * t, 5) and t <= 2 * size + 1e-6
 
 
 def test_newton_solves_the_capped_dual(spark):

@@ -33,7 +33,7 @@ AMENITY_TYPES = ["mall", "school", "park", "river", "lake", "rail station"]
 # category -> tag pairs that must all match (notebook defaults)
 AMENITY_TAGS = {
     "school": {"amenity": "school"},
-    "mall": {"shop": "mall"},
+    "mall": {"shop": "supermarket"},
     "park": {"leisure": "park"},
     "river": {"waterway": "river"},
     "lake": {"natural": "water", "water": "lake"},

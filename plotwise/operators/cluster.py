@@ -20,8 +20,6 @@ from plotwise.config import (CLUSTER_PREFIXES, DBSCAN_EPS_PERCENTILE_MAX, DBSCAN
 from plotwise.functions.geo import KM_PER_DEG_LAT
 from plotwise.operators.spatial import radius_join
 
-MAX_CC_ROUNDS = 200
-
 
 def _targets(points: DataFrame, id_col: str, lat: str, lon: str) -> DataFrame:
     return points.select(F.col(id_col).alias("_nid"), F.col(lat).alias("r_lat"), F.col(lon).alias("r_lon"))
@@ -87,17 +85,21 @@ def optimal_eps(kdist: DataFrame, lo: float = DBSCAN_EPS_PERCENTILE_MIN, hi: flo
                     eps.alias("eps_km"), (eps / EARTH_RADIUS_KM).alias("eps_rad"))
 
 
-def connected_components(vertices: DataFrame, edges: DataFrame, id_col: str = "id",
-                         max_rounds: int = MAX_CC_ROUNDS) -> DataFrame:
+def connected_components(vertices: DataFrame, edges: DataFrame, id_col: str = "id") -> DataFrame:
     """Component = smallest vertex id, by alternating large-star and
-    small-star edge rewrites until the edge set stops changing."""
+    small-star edge rewrites until the edge set stops changing (its size and
+    the xor of its edges' hashes, one aggregate over the checkpointed edges)."""
     e = (edges.select(F.col("src").alias("u"), F.col("dst").alias("v")).filter(F.col("u") != F.col("v"))
               .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct().checkpoint())
 
     def sym(x):
         return x.unionByName(x.select(F.col("v").alias("u"), F.col("u").alias("v")))
 
-    for _ in range(max_rounds):
+    def state(x):
+        return tuple(x.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
+
+    before = state(e)
+    while before[0]:
         s = sym(e)
         m = s.groupBy("u").agg(F.min("v").alias("_m")).withColumn("_m", F.least("_m", "u"))
         large = (s.filter(F.col("v") > F.col("u")).join(m, "u")
@@ -109,14 +111,10 @@ def connected_components(vertices: DataFrame, edges: DataFrame, id_col: str = "i
         small = (smaller.join(m2, "u").select(F.col("v").alias("u"), F.col("_m").alias("v"))
                  .unionByName(m2.select("u", F.col("_m").alias("v"))))
         new = small.filter(F.col("u") != F.col("v")).distinct().checkpoint()
-        # one job: any edge present on only one side means the set changed
-        same = (new.withColumn("_a", F.lit(1)).join(e.withColumn("_b", F.lit(1)), ["u", "v"], "full")
-                   .filter(F.col("_a").isNull() | F.col("_b").isNull()).isEmpty())
-        e = new
-        if same:
+        e, after = new, state(new)
+        if after == before:
             break
-    else:
-        raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
+        before = after
     # at the fixed point every non-root vertex has one edge to its root
     root = e.groupBy("u").agg(F.min("v").alias("component"))
     v = vertices.select(F.col(id_col).alias("u")).distinct()

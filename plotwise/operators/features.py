@@ -23,8 +23,13 @@ def temporal_split(df: DataFrame, split_year: int = TEMPORAL_SPLIT_YEAR, year_co
     return df.filter(F.col(year_col) < split_year), df.filter(F.col(year_col) >= split_year)
 
 
+#: Modulus and multiplier of the congruential hash that any SQL engine can repeat on integer ids.
+HASH_MODULUS, HASH_FACTOR = 2147483647, 48271
+
+
 def hash_fraction(id_col: str, seed: int = RANDOM_STATE, buckets: int = 1000):
-    return F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(buckets))
+    spread = F.pmod(F.col(id_col).cast("long"), F.lit(HASH_MODULUS)) * HASH_FACTOR + seed
+    return spread % HASH_MODULUS % buckets
 
 
 def random_split(df: DataFrame, id_col: str = "records_id", test_size: float = TEST_SIZE,
@@ -38,7 +43,7 @@ def random_split(df: DataFrame, id_col: str = "records_id", test_size: float = T
 
 def fold_column(df: DataFrame, id_col: str = "records_id", k: int = 10, seed: int = RANDOM_STATE,
                 out: str = "fold") -> DataFrame:
-    return df.withColumn(out, F.pmod(F.xxhash64(F.col(id_col), F.lit(seed + 1)), F.lit(k)).cast("int"))
+    return df.withColumn(out, hash_fraction(id_col, seed + 1, 1000 * k) % k)
 
 
 def _round_sig(v: float, digits: int | None) -> float:

@@ -7,9 +7,11 @@ node and way extracts); every lookup is an equi-join on the name or id.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plotwise.functions.geo import KM_PER_DEG_LAT
+
 # FIXED VALUE: highway classes the road search ignores (unanchored regex)
 EXCLUDED_HIGHWAY_REGEX = ("footway|cycleway|pedestrian|path|steps|corridor|bridleway|proposed|"
                           "construction|abandoned|platform|raceway")
@@ -122,18 +124,55 @@ def names_except(df: DataFrame, geom_col: str = "line", name_col: str = "road_na
     return names.subtract(ok)
 
 
+#: Grid of the segment search, in degrees: a few times the radius, so that most segments touch one to four cells.
+SEGMENT_CELL_DEG = 0.005
+
+
 def nearest_road(points: DataFrame, way_nodes: DataFrame, nodes: DataFrame, roads: DataFrame,
                  point_id: str = "records_id", radius_m: float = 50.0, lat: str = "lat", lon: str = "lon") -> DataFrame:
-    """Point → road whose nearest vertex is closest, among ways with a vertex
-    within ``radius_m`` (great-circle metres); ties → smaller way id. Adds
-    ``near_way_id``, ``near_road_name`` ('' if unnamed), ``near_road_type``
-    ('' if unclassed) and ``near_dist_m``; none → NULLs."""
-    from plotwise.operators.spatial import radius_join
-    verts = way_nodes.join(nodes, "node_id", "inner").select("way_id", F.col("lat").alias("r_lat"), F.col("lon").alias("r_lon"))
-    p = points.select(point_id, F.col(lat).alias("_plat"), F.col(lon).alias("_plon"))
-    pairs = radius_join(p, verts, radius_m / 1000.0, "haversine", "_plat", "_plon", "r_lat", "r_lon", "d_km")
-    best = pairs.groupBy(point_id).agg(F.min(F.struct("d_km", "way_id")).alias("_b"))
-    best = best.select(point_id, F.col("_b.way_id").alias("near_way_id"), (F.col("_b.d_km") * 1000.0).alias("near_dist_m"))
-    r = roads.select(F.col("road_id").alias("near_way_id"), F.coalesce("road_name", F.lit("")).alias("near_road_name"),
-                     F.coalesce("highway", F.lit("")).alias("near_road_type"))
-    return points.join(best.join(r, "near_way_id", "left"), point_id, "left")
+    """Point → road: among roads of a drivable class in the search box
+    (``road_class_filter``) that pass within ``radius_m`` of the point with any
+    segment, the one with the nearest vertex (great-circle); ties → smaller way
+    id. Adds ``near_way_id``, ``near_road_name`` ('' if unnamed),
+    ``near_road_type`` ('' if unclassed) and ``near_dist_m`` (to that vertex);
+    none → NULLs.
+
+    Each distinct point is searched once. Segments go to the grid cells that
+    their box, widened by the radius, covers; points only to their own.
+    """
+    from pyspark.sql import Window
+
+    from plotwise.functions.geo import haversine_km
+    allowed = road_class_filter(roads).select(F.col("road_id").alias("way_id"), F.coalesce("road_name", F.lit("")).alias("near_road_name"),
+                                              F.coalesce("highway", F.lit("")).alias("near_road_type"))
+    verts = (way_nodes.join(allowed.select("way_id"), "way_id", "left_semi").join(nodes, "node_id")
+                      .select("way_id", "pos", F.col("lat").alias("vlat"), F.col("lon").alias("vlon")))
+    # a way has at most 2,000 nodes; its last vertex closes as a segment of length 0, so one-vertex ways count too
+    step = Window.partitionBy("way_id").orderBy("pos")
+    segs = verts.select("way_id", "vlat", "vlon", F.coalesce(F.lead("vlat").over(step), "vlat").alias("wlat"),
+                        F.coalesce(F.lead("vlon").over(step), "vlon").alias("wlon"))
+    km = radius_m / 1000.0
+    reach_lat = km / KM_PER_DEG_LAT
+    reach_lon = F.lit(reach_lat) / F.cos(F.radians(F.greatest(F.abs("vlat"), F.abs("wlat")) + reach_lat))
+
+    def cells(x: str, y: str, reach) -> Column:
+        c = SEGMENT_CELL_DEG
+        return F.sequence(F.floor((F.least(x, y) - reach) / c), F.floor((F.greatest(x, y) + reach) / c))
+
+    dealt = (segs.withColumn("cell_r", F.explode(cells("vlat", "wlat", reach_lat)))
+                 .withColumn("cell_c", F.explode(cells("vlon", "wlon", reach_lon))))
+    pts = (points.select(F.col(lat).alias("_plat"), F.col(lon).alias("_plon")).distinct()
+                 .withColumns({"cell_r": F.floor(F.col("_plat") / SEGMENT_CELL_DEG), "cell_c": F.floor(F.col("_plon") / SEGMENT_CELL_DEG)}))
+    # plane around the point: exact to centimetres over a street
+    flat = F.cos(F.radians("_plat"))
+    ax, ay = (F.col("vlon") - F.col("_plon")) * flat, F.col("vlat") - F.col("_plat")
+    bx, by = (F.col("wlon") - F.col("_plon")) * flat, F.col("wlat") - F.col("_plat")
+    dx, dy = bx - ax, by - ay
+    t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(F.try_divide(-(ax * dx + ay * dy), dx * dx + dy * dy), F.lit(0.0))))
+    away = F.hypot(ax + t * dx, ay + t * dy) * KM_PER_DEG_LAT
+    passed = pts.join(dealt, ["cell_r", "cell_c"]).filter(away <= km).select("_plat", "_plon", "way_id").distinct()
+    best = (passed.join(verts, "way_id").withColumn("d_km", haversine_km("_plat", "_plon", "vlat", "vlon"))
+                  .groupBy("_plat", "_plon").agg(F.min(F.struct("d_km", "way_id")).alias("_b"))
+                  .select("_plat", "_plon", F.col("_b.way_id").alias("near_way_id"), (F.col("_b.d_km") * 1000.0).alias("near_dist_m")))
+    found = best.join(allowed.withColumnRenamed("way_id", "near_way_id"), "near_way_id")
+    return (points.join(found, (F.col(lat) == F.col("_plat")) & (F.col(lon) == F.col("_plon")), "left").drop("_plat", "_plon"))

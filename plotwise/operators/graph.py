@@ -16,13 +16,13 @@ executor costs at most four rounds.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plotwise.operators.spatial import nearest
 
-MAX_ROUNDS = 10_000
-
 
 def collapse_edges(edges: DataFrame) -> DataFrame:
     return edges.groupBy("src", "dst").agg(F.min("length_m").alias("length_m"))
@@ -45,14 +45,14 @@ def snap_to_nodes(points: DataFrame, nodes: DataFrame, point_id: str, lat: str =
     return best
 
 
-def multi_source_distances(edges: DataFrame, sources: DataFrame, cutoff_m: float | None = None,
-                           max_rounds: int = MAX_ROUNDS) -> DataFrame:
+def multi_source_distances(edges: DataFrame, sources: DataFrame, cutoff_m: float | None = None) -> DataFrame:
     """Shortest directed distance (m) from every node TO the nearest source of
-    each group: ``sources(node_id, grp)`` → ``(node_id, grp, dist_m)``."""
+    each group: ``sources(node_id, grp)`` → ``(node_id, grp, dist_m)``. Rounds end
+    when no distance improves, which any graph with lengths ≥ 0 reaches."""
     e = collapse_edges(edges).select(F.col("src").alias("_u"), F.col("dst").alias("_w"), "length_m")
     dist = sources.select("node_id", "grp").distinct().withColumn("dist_m", F.lit(0.0)).checkpoint()
     frontier = dist
-    for rnd in range(max_rounds):
+    for rnd in count():
         cand = (frontier.join(e, frontier["node_id"] == e["_w"])
                         .select(F.col("_u").alias("node_id"), "grp", (F.col("dist_m") + F.col("length_m")).alias("dist_m")))
         if cutoff_m is not None:
@@ -68,7 +68,6 @@ def multi_source_distances(edges: DataFrame, sources: DataFrame, cutoff_m: float
         if rnd % 4 == 3:  # the frontier is checkpointed every round; the full table every 4th
             dist = dist.checkpoint()
         frontier = improved
-    raise RuntimeError(f"shortest paths did not converge in {max_rounds} rounds")
 
 
 def network_distance(props: DataFrame, amenities: DataFrame, nodes: DataFrame, edges: DataFrame,

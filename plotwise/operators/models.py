@@ -9,11 +9,8 @@ The scikit-learn parameter meanings are mapped explicitly:
 * trees: unlimited depth is capped at Spark's maximum of 30;
 * the forest considers all features per split (``featureSubsetStrategy='all'``).
 
-k-nearest-neighbours has no Spark estimator; ``knn_predict`` is exact: it
-projects features onto their leading principal components (a contraction, so
-projected distance ≤ true distance), finds candidates with an expanding grid
-on the projection, and accepts a point once its k-th true distance is within
-the searched radius.
+k-nearest-neighbours has no Spark estimator; ``KnnModel`` searches exactly, in
+blocks of queries against blocks of training rows.
 """
 
 from __future__ import annotations
@@ -81,7 +78,7 @@ def fit(name: str, preprocessor: PipelineModel, train: DataFrame, label: str = "
 
 def train_models(preprocessor: PipelineModel, train: DataFrame, names: list[str] | None = None,
                  label: str = "label", **overrides) -> dict:
-    """Fit each named model; a failing model is logged and skipped."""
+    """(model, seconds) per name; a model that fails is logged and its exception stands in the result."""
     out = {}
     for name in names or MODEL_NAMES:
         t0 = time.perf_counter()
@@ -89,6 +86,7 @@ def train_models(preprocessor: PipelineModel, train: DataFrame, names: list[str]
             out[name] = (fit(name, preprocessor, train, label, **overrides), time.perf_counter() - t0)
         except Exception as exc:  # noqa: BLE001 - the reference logs and continues
             log.warning("model %s failed: %s", name, exc)
+            out[name] = (exc, time.perf_counter() - t0)
     return out
 
 
@@ -135,9 +133,12 @@ def cv_metrics(name: str, preprocessor: PipelineModel, train: DataFrame, id_col:
 
 def grid_search(preprocessor: PipelineModel, train: DataFrame, grid: dict, label: str = "label",
                 folds: int = CV_FOLDS, seed: int = RANDOM_STATE, parallelism: int = 4):
-    """Forest grid search by R² with Spark's CrossValidator. Keys:
-    numTrees, maxDepth, minInstancesPerNode (``min_samples_split`` has no
-    Spark twin)."""
+    """Forest grid search by R² with Spark's CrossValidator. Keys: numTrees,
+    maxDepth, minInstancesPerNode. ``min_samples_split`` has no Spark twin and
+    is left out of the grid, with a log line."""
+    if "min_samples_split" in grid:
+        log.warning("min_samples_split has no Spark twin; the grid is searched without it")
+        grid = {k: v for k, v in grid.items() if k != "min_samples_split"}
     from pyspark.ml.evaluation import RegressionEvaluator
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
     feats = preprocessor.transform(train).cache()
@@ -167,15 +168,19 @@ def feature_importance(model: PipelineModel, names: list[str], top_n: int | None
 
 
 def save_model(model, path: str, metadata: dict, spark) -> None:
-    """PipelineModel (preprocessing and estimator together) + one-row JSON metadata."""
-    model.write().overwrite().save(f"{path}/model")
+    """Preprocessing and estimator together + one-row JSON metadata."""
+    if isinstance(model, KnnModel):
+        model.save(f"{path}/knn")
+    else:
+        model.write().overwrite().save(f"{path}/model")
+    metadata = {**metadata, "kind": "knn" if isinstance(model, KnnModel) else "pipeline"}
     spark.createDataFrame([(json.dumps(metadata, default=str),)], "metadata string") \
          .write.mode("overwrite").json(f"{path}/metadata")
 
 
 def load_model(path: str, spark):
-    model = PipelineModel.load(f"{path}/model")
     meta = json.loads(spark.read.json(f"{path}/metadata").first()["metadata"])
+    model = KnnModel.load(f"{path}/knn", spark) if meta.get("kind") == "knn" else PipelineModel.load(f"{path}/model")
     return model, meta
 
 
@@ -183,106 +188,91 @@ def load_model(path: str, spark):
 # exact k-nearest-neighbours regression
 # ---------------------------------------------------------------------------
 
-KNN_BROADCAST_MAX_ROWS = 50_000
+#: Rows per block of the search; a block of 300 features takes 5 MB.
+KNN_BLOCK_ROWS = 2_000
+
+
+def _blocks(df: DataFrame, n: int, *cols: str) -> DataFrame:
+    """(block, <cols as one array per block>): rows dealt into blocks of bounded expected size by a hash of their id."""
+    blocks = max(1, -(-n // KNN_BLOCK_ROWS))
+    return (df.withColumn("block", F.pmod(F.xxhash64(cols[0]), F.lit(blocks)).cast("int"))
+              .groupBy("block").agg(F.collect_list(F.struct(*cols)).alias("rows")))
 
 
 class KnnModel:
-    """Mean label of the k nearest training rows (Euclidean, ties by position).
+    """Mean label of the k nearest training rows: Euclidean distance, ties by id.
 
-    Two exact paths: when the training set is at most
-    ``KNN_BROADCAST_MAX_ROWS`` rows (checked with a count) its matrix is
-    broadcast and each query partition is scored in NumPy blocks via
-    ``mapInPandas``; beyond that bound the expanding PCA-grid search runs.
+    Nearest neighbours in hundreds of dimensions leave nothing to prune, so
+    the search is exact and exhaustive: every block of queries meets every
+    block of training rows in a task of its own, keeps its k best per query,
+    and the best of all blocks are merged by a grouped top k. One path for
+    every size; nothing passes through the driver but two counts.
     """
 
     def __init__(self, preprocessor: PipelineModel, train_feats: DataFrame, label: str, k: int = 5,
-                 dims: int = 2, features: str = "features"):
-        from pyspark.ml.feature import PCA
-        self.preprocessor, self.k, self.features = preprocessor, k, features
-        self.n_train = train_feats.count()
-        self.bc = None
-        if self.n_train <= KNN_BROADCAST_MAX_ROWS:
-            import numpy as np
-            from pyspark.ml.functions import vector_to_array
-            pdf = train_feats.select(vector_to_array(features).alias("v"), F.col(label).alias("y")).toPandas()
-            mat = np.vstack(pdf["v"].to_numpy()) if len(pdf) else np.zeros((0, 0))
-            sc = train_feats.sparkSession.sparkContext
-            self.bc = sc.broadcast((mat.astype("float64"), pdf["y"].to_numpy(dtype="float64")))
-            self.stages = preprocessor.stages
-            return
-        self.pca = PCA(k=dims, inputCol=features, outputCol="_pc").fit(train_feats)
+                 id_col: str = "records_id", features: str = "features"):
         from pyspark.ml.functions import vector_to_array
-        self.train = (self.pca.transform(train_feats.withColumn("_tid", F.monotonically_increasing_id()))
-                      .select("_tid", F.col(label).alias("_y"), vector_to_array(features).alias("_tv"),
-                              vector_to_array("_pc").alias("_tp"))).checkpoint()
+        self.preprocessor, self.k, self.features, self.id_col = preprocessor, k, features, id_col
+        self.train = train_feats.select(F.col(id_col).alias("tid"), vector_to_array(features).alias("tv"),
+                                        F.col(label).cast("double").alias("y")).checkpoint()
         self.stages = preprocessor.stages
 
-    def _transform_broadcast(self, df: DataFrame) -> DataFrame:
-        import numpy as np
-        import pandas as pd
-        from pyspark.ml.functions import vector_to_array
-        bc, k = self.bc, self.k
-        feats = self.preprocessor.transform(df)
-        q = feats.select(*df.columns, vector_to_array(self.features).alias("_qv"))
-        out_schema = q.drop("_qv").schema.add("prediction_log", "double")
-
-        def score(batches):
-            mat, ys = bc.value
-            sq = (mat * mat).sum(axis=1)
-            kk = min(k, len(ys))
-            for pdf in batches:
-                if len(pdf) == 0:
-                    continue
-                qm = np.vstack(pdf["_qv"].to_numpy())
-                res = np.empty(len(pdf))
-                for i in range(0, len(pdf), 256):
-                    blk = qm[i:i + 256]
-                    d2 = (blk * blk).sum(axis=1)[:, None] + sq[None, :] - 2.0 * blk @ mat.T
-                    part = np.argpartition(d2, kk - 1, axis=1)[:, :kk] if kk < len(ys) else \
-                        np.tile(np.arange(len(ys)), (len(blk), 1))
-                    res[i:i + 256] = ys[part].mean(axis=1)
-                yield pdf.drop(columns=["_qv"]).assign(prediction_log=res)
-
-        return q.mapInPandas(score, out_schema)
+    def save(self, path: str) -> None:
+        """Preprocessing, training rows and k; ``load`` reads them back."""
+        self.preprocessor.write().overwrite().save(f"{path}/preprocessor")
+        self.train.write.mode("overwrite").parquet(f"{path}/train")
+        self.train.sparkSession.createDataFrame([(self.k, self.features, self.id_col)], "k int, features string, id_col string") \
+            .write.mode("overwrite").json(f"{path}/settings")
+
+    @classmethod
+    def load(cls, path: str, spark) -> "KnnModel":
+        row = spark.read.schema("k int, features string, id_col string").json(f"{path}/settings").first()
+        out = cls.__new__(cls)
+        out.preprocessor = PipelineModel.load(f"{path}/preprocessor")
+        out.k, out.features, out.id_col, out.stages = row["k"], row["features"], row["id_col"], out.preprocessor.stages
+        out.train = spark.read.parquet(f"{path}/train")
+        return out
 
     def transform(self, df: DataFrame) -> DataFrame:
-        if self.bc is not None:
-            return self._transform_broadcast(df)
+        """``df`` with ``prediction_log``; rows are told apart by the id column."""
         from pyspark.ml.functions import vector_to_array
-        from plotwise.operators.spatial import radius_join
-        feats = self.preprocessor.transform(df).withColumn("_qid", F.monotonically_increasing_id())
-        q = self.pca.transform(feats).withColumns({"_qv": vector_to_array(self.features),
-                                                   "_qp": vector_to_array("_pc")}).checkpoint()
-        tr = self.train.select("_tid", "_y", "_tv", F.col("_tp")[0].alias("r_x"), F.col("_tp")[1].alias("r_y"))
-        ext = q.agg(F.min(F.col("_qp")[0]), F.max(F.col("_qp")[0]), F.min(F.col("_qp")[1]), F.max(F.col("_qp")[1])).first()
-        tx = tr.agg(F.min("r_x"), F.max("r_x"), F.min("r_y"), F.max("r_y"), F.count(F.lit(1))).first()
-        span = (max(ext[1], tx[1]) - min(ext[0], tx[0]) + max(ext[3], tx[3]) - min(ext[2], tx[2])) * 1.05 + 1e-9
-        n = tx[4]
-        k = min(self.k, n)
-        r = max(span / max(n ** 0.5, 1.0), 1e-6)
-        pending = q.select("_qid", "_qv", F.col("_qp")[0].alias("q_x"), F.col("_qp")[1].alias("q_y"))
-        done = []
         from pyspark.sql import Window
-        while True:
-            last = r >= span
-            # the query side is the exploded (3×3) one: it is the smaller side
-            cand = radius_join(tr, pending, r, "planar", "r_y", "r_x", "q_y", "q_x", "_pd")
-            d2 = F.aggregate(F.zip_with("_qv", "_tv", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, x: acc + x)
-            cand = cand.select("_qid", "_tid", "_y", F.sqrt(d2).alias("_d"))
-            w = Window.partitionBy("_qid").orderBy("_d", "_tid")
-            top = cand.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k)
-            per = top.groupBy("_qid").agg(F.count(F.lit(1)).alias("_n"), F.max("_d").alias("_kd"),
-                                          F.avg("_y").alias("prediction_log"))
-            ok = per if last else per.filter((F.col("_n") == k) & (F.col("_kd") <= r))
-            ok = ok.select("_qid", "prediction_log").checkpoint()
-            done.append(ok)
-            if last:
-                break
-            pending = pending.join(ok, "_qid", "left_anti").checkpoint()
-            if pending.isEmpty():
-                break
-            r = min(r * 2.0, span)
-        preds = done[0]
-        for d in done[1:]:
-            preds = preds.unionByName(d)
-        return q.join(preds, "_qid", "left").select(*df.columns, "prediction_log")
+        k = self.k
+        q = self.preprocessor.transform(df).select(F.col(self.id_col).alias("qid"), vector_to_array(self.features).alias("qv")) \
+            .dropDuplicates(["qid"]).checkpoint()
+        nq, nt = q.count(), self.train.count()
+        ids = (q.schema["qid"].dataType.simpleString(), self.train.schema["tid"].dataType.simpleString())
+        n_blocks = max(1, -(-nt // KNN_BLOCK_ROWS))
+        queries = _blocks(q, nq, "qid", "qv").select(F.col("rows").alias("queries"), F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"))
+        pairs = queries.join(_blocks(self.train, nt, "tid", "tv", "y"), "block")
+
+        def nearest(batches):
+            import numpy as np
+            import pyarrow as pa
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    qs, ts = batch.column("queries")[i].values, batch.column("rows")[i].values
+                    qid, tid, y = qs.field("qid").to_numpy(zero_copy_only=False), ts.field("tid").to_numpy(zero_copy_only=False), ts.field("y").to_numpy(zero_copy_only=False)
+                    a = qs.field("qv").flatten().to_numpy().reshape(len(qid), -1)
+                    b = ts.field("tv").flatten().to_numpy().reshape(len(tid), -1)
+                    bb, top = (b * b).sum(axis=1), min(k, len(tid))
+                    out_q, out_t, out_d, out_y = [], [], [], []
+                    for row in range(len(qid)):
+                        # the expanded square rounds: it only narrows down, the choice is made on exact differences
+                        rough = bb - 2.0 * (b @ a[row]) + a[row] @ a[row]
+                        limit = np.partition(rough, top - 1)[top - 1] + 1e-9 * (a[row] @ a[row] + bb.max() + 1.0)
+                        near = np.flatnonzero(rough <= limit)
+                        d = ((b[near] - a[row]) ** 2).sum(axis=1)
+                        best = near[np.lexsort((tid[near], d))[:top]]
+                        out_q += [qid[row]] * top
+                        out_t += tid[best].tolist()
+                        out_d += ((b[best] - a[row]) ** 2).sum(axis=1).tolist()
+                        out_y += y[best].tolist()
+                    yield pa.RecordBatch.from_arrays([pa.array(out_q), pa.array(out_t), pa.array(out_d, pa.float64()), pa.array(out_y, pa.float64())],
+                                                     names=["qid", "tid", "d", "y"])
+
+        best = pairs.mapInArrow(nearest, f"qid {ids[0]}, tid {ids[1]}, d double, y double")
+        # row_number <= k is planned as a group limit before the shuffle
+        rank = F.row_number().over(Window.partitionBy("qid").orderBy("d", "tid"))
+        preds = best.withColumn("rn", rank).filter(F.col("rn") <= k).groupBy("qid").agg(F.avg("y").alias("prediction_log"))
+        return df.join(preds.withColumnRenamed("qid", "_qid"), F.col(self.id_col) == F.col("_qid"), "left").drop("_qid")

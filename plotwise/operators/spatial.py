@@ -109,7 +109,7 @@ def nearest(points: DataFrame, targets: DataFrame, point_id: str, metric: str =
     r, so a point whose best candidate is ≤ r is final. Unresolved points go on
     with 2r. Once r spans the joint bounding box of points and targets the
     block covers every target, so the last round is exact for all the rest.
-    Each round's survivors are checkpointed to the shared checkpoint dir, so
+    Each round's results and survivors are checkpointed to the shared checkpoint dir, so
     lineage stays short and a lost executor recomputes one round only.
     Returns (point_id[, group_col], dist[, target_id]) for pairs that have a
     target (``target_id``: the nearest one, ties → smallest id); callers
@@ -158,8 +158,10 @@ def nearest(points: DataFrame, targets: DataFrame, point_id: str, metric: str =
         if checkpoint:
             done = done.checkpoint(eager=True)
         resolved.append(done)
-        # one anti-join per round (rounds ≤ log2(span / start)); "done" is checkpointed
+        # one anti-join per round (rounds ≤ log2(span / start)); both sides are checkpointed
         pending = pending.join(done.select(*schema_cols), schema_cols, "left_anti")
+        if checkpoint:
+            pending = pending.checkpoint(eager=True)
         if pending.isEmpty():
             break
         r = min(r * 2.0, span)

@@ -10,16 +10,12 @@ from plotwise.plans.registry import ORACLES, QUERIES
 
 _MODULES = (
     "flagship", "scans", "cleaning", "validation", "joins", "aggregates",
-    "windows", "setops", "geometry", "transit", "graph", "clustering",
+    "windows", "geometry", "transit", "graph", "clustering",
     "modelling", "evaluation",
 )
 
 for _m in _MODULES:
-    try:
-        import_module(f"plotwise.plans.{_m}")
-    except ModuleNotFoundError as exc:  # module not written yet
-        if exc.name != f"plotwise.plans.{_m}":
-            raise
+    import_module(f"plotwise.plans.{_m}")
 
 
 def all_queries():

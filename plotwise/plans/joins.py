@@ -197,13 +197,27 @@ def q_apply_corrections(spark, sf):
     return geo.apply_corrections(p, proxies.corrections(spark, sf))
 
 
+# drivable roads in the box, written out: no class of the excluded list, centre inside the four bounds
+_DRIVABLE = """SELECT road_id FROM roads WHERE highway IS NOT NULL
+  AND NOT regexp_matches(highway, 'footway|cycleway|pedestrian|path|steps|corridor|bridleway|proposed|construction|abandoned|platform|raceway')
+  AND lat >= 2.471 AND lat <= 3.801 AND lon >= 100.775 AND lon <= 102.637"""
+
+
 @query("nearest_road", with_views(f"""
 , pts AS (SELECT DISTINCT lat, lon FROM properties),
-verts AS (SELECT w.way_id, n.lat AS vlat, n.lon AS vlon FROM way_nodes w JOIN osm_nodes n USING (node_id)),
-pairs AS (SELECT pts.lat, pts.lon, verts.way_id, {hav('pts.lat', 'pts.lon', 'verts.vlat', 'verts.vlon')} AS d
-          FROM pts, verts WHERE abs(pts.lat - verts.vlat) < 0.01 AND abs(pts.lon - verts.vlon) < 0.01),
-best AS (SELECT lat, lon, arg_min(way_id, (d, way_id)) AS near_way_id, min(d) AS d FROM pairs WHERE d <= 0.05
-         GROUP BY lat, lon)
+v AS (SELECT w.way_id, w.pos, n.lat AS vlat, n.lon AS vlon FROM way_nodes w JOIN osm_nodes n USING (node_id)
+      WHERE w.way_id IN ({_DRIVABLE})),
+s AS (SELECT way_id, vlat, vlon, coalesce(lead(vlat) OVER o, vlat) AS wlat, coalesce(lead(vlon) OVER o, vlon) AS wlon
+      FROM v WINDOW o AS (PARTITION BY way_id ORDER BY pos)),
+-- metres east and north of the point, then the foot of the perpendicular held to the segment
+m AS (SELECT pts.lat, pts.lon, way_id, (vlon - lon) * cos(radians(lat)) * 111194.92664455873 AS x0, (vlat - lat) * 111194.92664455873 AS y0,
+             (wlon - vlon) * cos(radians(lat)) * 111194.92664455873 AS ex, (wlat - vlat) * 111194.92664455873 AS ey
+      FROM pts, s WHERE lat BETWEEN least(vlat, wlat) - 0.001 AND greatest(vlat, wlat) + 0.001
+                    AND lon BETWEEN least(vlon, wlon) - 0.001 AND greatest(vlon, wlon) + 0.001),
+f AS (SELECT *, CASE WHEN ex * ex + ey * ey = 0 THEN 0 ELSE greatest(0, least(1, -(x0 * ex + y0 * ey) / (ex * ex + ey * ey))) END AS t FROM m),
+near AS (SELECT DISTINCT lat, lon, way_id FROM f WHERE sqrt((x0 + t * ex) * (x0 + t * ex) + (y0 + t * ey) * (y0 + t * ey)) <= 50.0),
+d AS (SELECT near.lat, near.lon, way_id, {hav('near.lat', 'near.lon', 'v.vlat', 'v.vlon')} AS d FROM near JOIN v USING (way_id)),
+best AS (SELECT lat, lon, arg_min(way_id, (d, way_id)) AS near_way_id, min(d) AS d FROM d GROUP BY lat, lon)
 SELECT p.records_id, b.near_way_id, {sig_sql('b.d * 1000.0')} AS near_dist_m,
        CASE WHEN b.near_way_id IS NULL THEN NULL ELSE coalesce(r.road_name, '') END AS near_road_name,
        CASE WHEN b.near_way_id IS NULL THEN NULL ELSE coalesce(r.highway, '') END AS near_road_type

@@ -9,6 +9,7 @@ tests) do we pick a private directory ourselves.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -48,7 +49,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached in local runs and tests: the cluster always names one.
+        # a machine-local folder would lose data with its machine: fine for one process, an error on a cluster
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="plotwise-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -457,7 +457,7 @@ def with_views(body: str, *names: str) -> str:
 def _tags_spark(k: Column) -> Column:
     cat = k % 7
     kv = (F.when(cat == 0, F.create_map(F.lit("amenity"), F.lit("school")))
-           .when(cat == 1, F.create_map(F.lit("shop"), F.lit("mall")))
+           .when(cat == 1, F.create_map(F.lit("shop"), F.lit("supermarket")))
            .when(cat == 2, F.create_map(F.lit("leisure"), F.lit("park")))
            .when(cat == 3, F.create_map(F.lit("waterway"), F.lit("river")))
            .when((cat == 4) & (k % 2 == 0), F.create_map(F.lit("natural"), F.lit("water"), F.lit("water"), F.lit("lake")))

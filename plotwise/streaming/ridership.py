@@ -44,9 +44,14 @@ def monthly_ridership_stream(spark: SparkSession, sf_dir: str, since: str = "199
     the final result table."""
     from plotwise.operators.transit import monthly_ridership
     agg = monthly_ridership(od_stream(spark, sf_dir), since=since)
-    name = query_name or f"monthly_ridership_{os.getpid()}"
-    q = (agg.writeStream.outputMode("complete").format("memory").queryName(name)
+    out = scratch_path(spark, "stream-ridership")
+
+    def write(batch: DataFrame, _epoch: int) -> None:
+        # complete mode: each batch holds the whole result so far, written by the executors
+        batch.write.mode("overwrite").parquet(out)
+
+    q = (agg.writeStream.outputMode("complete").foreachBatch(write).queryName(query_name or f"monthly_ridership_{os.getpid()}")
             .option("checkpointLocation", scratch_path(spark, "stream-ckpt"))
             .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.table(name)
+    return spark.read.schema(agg.schema).parquet(out)

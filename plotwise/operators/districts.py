@@ -2,9 +2,9 @@
 length, boundary tables.
 
 District tables are small dimension tables (one row per administrative
-district). They are broadcast only after their row count is checked against
-``MAX_BROADCAST_POLYGONS``; beyond it, the same plans run as shuffled
-equi-joins on grid cells.
+district). Their rings are broadcast only after their vertices are summed up
+against ``MAX_BROADCAST_BYTES``; beyond it, the same plans run as shuffled
+equi-joins on the district's key.
 """
 
 from __future__ import annotations
@@ -14,15 +14,16 @@ from pyspark.sql import functions as F
 
 from plotwise.functions.geometry import edges_sql, pip_sql, seg_inside_len_sql, seg_len_sql
 
-MAX_BROADCAST_POLYGONS = 10_000
+MAX_BROADCAST_BYTES = 32 << 20
+#: Bytes of a ring vertex (two doubles and their place in a row's array of structs) and of a row without rings.
+VERTEX_BYTES, ROW_BYTES = 40, 200
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_POLYGONS) -> DataFrame:
-    """Broadcast ``df`` only when a (cheap) count proves it small. Meant for
-    dimension tables read straight from storage, not for aggregates of big
-    data (those are left to AQE, which measures them at the shuffle)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def maybe_broadcast(df: DataFrame, rings: str, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast a polygon table only when its summed vertices prove it small; beyond that it is left to a shuffled join.
+    Meant for dimension tables read straight from storage."""
+    size = df.agg(F.sum(F.aggregate(rings, F.lit(0).cast("long"), lambda a, r: a + F.size(r)) * VERTEX_BYTES + ROW_BYTES)).first()[0]
+    return F.broadcast(df) if (size or 0) <= max_bytes else df
 
 
 def with_bbox(polys: DataFrame, rings: str = "rings") -> DataFrame:
@@ -39,7 +40,7 @@ def point_in_polygon(points: DataFrame, polys: DataFrame, key: str = "district",
                      lon: str = "lon", out: str = "in_expected_district") -> DataFrame:
     """Flag whether each point lies inside the polygon of its own ``key``
     (equi-join on the key, then an even–odd ray cast over all rings)."""
-    pl = maybe_broadcast(polys.select(F.col(key).alias("_k"), F.col("rings").alias("_rings")))
+    pl = maybe_broadcast(polys.select(F.col(key).alias("_k"), F.col("rings").alias("_rings")), "_rings")
     j = points.join(pl, points[key] == pl["_k"], "left")
     flag = F.when(F.col("_rings").isNull(), F.lit(False)).otherwise(F.expr(pip_sql(lon, lat, edges_sql("_rings"))))
     return j.withColumn(out, flag).drop("_k", "_rings")
@@ -74,10 +75,12 @@ def district_of_road(roads: DataFrame, polys: DataFrame, road_key: list[str], ex
     pb = with_bbox(polys.select(F.col("district").alias("_district"), F.col("district_id").alias("_did"), "rings"))
     pc = (pb.withColumn("_cx", F.explode(_cells_between("_lon0", "_lon1", cell)))
             .withColumn("_cy", F.explode(_cells_between("_lat0", "_lat1", cell)))
-            .select("_district", "_did", F.col("rings").alias("_rings"), "_cx", "_cy"))
+            .select("_did", "_cx", "_cy"))
+    # ids meet on cells; the rings come in only after each (segment, district) pair is left once
     pairs = (segc.join(pc, ["_cx", "_cy"], "inner")
                  .dropDuplicates(road_key + ["seg_no", "_did"]))
-    inside = pairs.withColumn("_len", F.expr(seg_inside_len_sql("ax", "ay", "bx", "by", edges_sql("_rings"))))
+    rings = maybe_broadcast(pb.select("_did", "_district", F.col("rings").alias("_rings")), "_rings")
+    inside = pairs.join(rings, "_did").withColumn("_len", F.expr(seg_inside_len_sql("ax", "ay", "bx", "by", edges_sql("_rings"))))
     per = inside.groupBy(*road_key, "_district", "_did").agg(F.sum("_len").alias("_ov"))
     best = (per.filter(F.col("_ov") > 0)
                .groupBy(*road_key)

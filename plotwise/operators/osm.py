@@ -76,34 +76,37 @@ ASSEMBLY_SCHEMA = ("relation_id long, polygon_no int, ring_no int, role string,
                    "area double, ring array<struct<lon:double,lat:double>>")
 
 
-def _stitch(ways: list[list[tuple[float, float]]]) -> tuple[list[list[tuple[float, float]]], int]:
-    """Join open ways end to end into closed rings; returns (rings, unclosed)."""
-    pending = [list(w) for w in ways if len(w) >= 2]
-    rings, unclosed = [], 0
-    while pending:
-        cur = pending.pop(0)
-        progress = True
-        while cur[0] != cur[-1] and progress:
-            progress = False
-            for i, w in enumerate(pending):
-                if w[0] == cur[-1]:
-                    cur += w[1:]
-                elif w[-1] == cur[-1]:
-                    cur += w[::-1][1:]
-                elif w[-1] == cur[0]:
-                    cur = w[:-1] + cur
-                elif w[0] == cur[0]:
-                    cur = w[::-1][:-1] + cur
-                else:
-                    continue
-                pending.pop(i)
-                progress = True
+def _stitch(ways: list[list[tuple[float, float]]]) -> tuple[list[list[tuple[float, float]]], list[list[tuple[float, float]]]]:
+    """Join open ways end to end; returns (closed rings, lines that no way closes).
+    Ends are looked up in a dict, so the work is linear in the member ways."""
+    ways = [list(w) for w in ways if len(w) >= 2]
+    at_end: dict[tuple[float, float], list[int]] = {}
+    for i, w in enumerate(ways):
+        at_end.setdefault(w[0], []).append(i)
+        at_end.setdefault(w[-1], []).append(i)
+    free = [True] * len(ways)
+
+    def take(point):
+        for i in at_end.get(point, ()):
+            if free[i]:
+                free[i] = False
+                return ways[i] if ways[i][0] == point else ways[i][::-1]
+        return None
+
+    rings, open_lines = [], []
+    for i, w in enumerate(ways):
+        if not free[i]:
+            continue
+        free[i] = False
+        cur = list(w)
+        for _ in (0, 1):                    # grow at the end, then, turned round, at the start
+            while cur[0] != cur[-1] and (nxt := take(cur[-1])) is not None:
+                cur += nxt[1:]
+            if cur[0] == cur[-1]:
                 break
-        if cur[0] == cur[-1] and len(cur) >= 4:
-            rings.append(cur)
-        else:
-            unclosed += 1
-    return rings, unclosed
+            cur.reverse()
+        (rings if cur[0] == cur[-1] and len(cur) >= 4 else open_lines).append(cur)
+    return rings, open_lines
 
 
 def _signed_area(ring) -> float:
@@ -126,26 +129,30 @@ def _assemble(pdf: pd.DataFrame) -> pd.DataFrame:
     rid = int(pdf["relation_id"].iloc[0])
     ways = {role: [[(float(p["lon"]), float(p["lat"])) for p in pts] for pts in grp["pts"]]
             for role, grp in pdf.groupby("role")}
-    outers, _ = _stitch(ways.get("outer", []))
-    inners, _ = _stitch(ways.get("inner", []))
-    rows = []
+    (outers, open_outer), (inners, open_inner) = _stitch(ways.get("outer", [])), _stitch(ways.get("inner", []))
+    rows, free = [], list(inners)
+
+    def row(polygon, ring_no, role, area, ring):
+        rows.append((rid, polygon, ring_no, role, len(ring), area, [{"lon": x, "lat": y} for x, y in ring]))
+
     for pi, outer in enumerate(outers):
         if _signed_area(outer) < 0:
             outer = outer[::-1]  # outer rings counter-clockwise
-        rows.append((rid, pi, 0, "outer", len(outer), abs(_signed_area(outer)),
-                     [{"lon": x, "lat": y} for x, y in outer]))
-        holes = [h for h in inners if _inside(h[0], outer)]
+        row(pi, 0, "outer", abs(_signed_area(outer)), outer)
+        holes = [h for h in free if all(_inside(p, outer) for p in h)]
+        free = [h for h in free if h not in holes]      # a hole belongs to the first outer ring that holds it wholly
         for hi, hole in enumerate(holes, start=1):
-            if _signed_area(hole) > 0:
-                hole = hole[::-1]  # holes clockwise
-            rows.append((rid, pi, hi, "inner", len(hole), -abs(_signed_area(hole)),
-                         [{"lon": x, "lat": y} for x, y in hole]))
+            row(pi, hi, "inner", -abs(_signed_area(hole)), hole if _signed_area(hole) <= 0 else hole[::-1])  # holes clockwise
+    for k, (role, line) in enumerate([("stray inner", h) for h in free] + [("unclosed outer", x) for x in open_outer]
+                                     + [("unclosed inner", x) for x in open_inner]):
+        row(-1, k, role, None, line)
     return pd.DataFrame(rows, columns=["relation_id", "polygon_no", "ring_no", "role", "n_points", "area", "ring"])
 
 
 def polygon_assembly(members: DataFrame) -> DataFrame:
     """Member ways (relation_id, role, pts) → one row per ring: outer rings
-    counter-clockwise, holes clockwise with negative area, holes assigned to
-    the outer ring that contains them. Invalid (unclosable) rings are
-    dropped, not repaired."""
+    counter-clockwise, holes clockwise with negative area, each hole in the
+    first outer ring that holds it wholly. What can't be used is reported as
+    rows of polygon -1 without area: lines that no member way closes
+    (``unclosed outer`` / ``unclosed inner``) and holes in no outer ring (``stray inner``)."""
     return members.select("relation_id", "role", "pts").groupBy("relation_id").applyInPandas(_assemble, ASSEMBLY_SCHEMA)

@@ -99,3 +99,15 @@ def test_dbscan_with_stacked_points(spark):
         assert lab[rid].is_core == (len(nb) >= 5)
     kd = {r.road_id: r.kdist_km for r in cl.k_distance(df, "road_id").collect()}
     assert all(kd[i] == 0.0 for i in range(60))
+
+
+def test_nearest_road_takes_no_excluded_class_and_long_segments(spark):
+    from plotwise.operators.geocode import nearest_road
+    nodes = spark.createDataFrame([(1, 3.0, 101.0), (2, 3.0, 101.1), (3, 3.0002, 101.05), (4, 3.0002, 101.0501), (5, 3.5, 102.0)], "node_id long, lat double, lon double")
+    ways = spark.createDataFrame([(10, 0, 1), (10, 1, 2), (20, 0, 3), (20, 1, 4), (30, 0, 5)], "way_id long, pos int, node_id long")
+    roads = spark.createDataFrame([(10, "long road", "primary", 3.0, 101.05), (20, "path", "footway", 3.0002, 101.05), (30, None, "service", 3.5, 102.0)],
+                                  "road_id long, road_name string, highway string, lat double, lon double")
+    points = spark.createDataFrame([(1, 3.0003, 101.05), (2, 3.5, 102.0), (3, 3.2, 101.5)], "records_id long, lat double, lon double")
+    got = {r["records_id"]: (r["near_way_id"], r["near_road_name"]) for r in nearest_road(points, ways, nodes, roads).collect()}
+    # 33 m from the middle of a segment of 11 km, whose vertices are far off; a footway is nearer but no road
+    assert got == {1: (10, "long road"), 2: (30, ""), 3: (None, None)}

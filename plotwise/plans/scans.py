@@ -35,7 +35,7 @@ def q_scan_stage(spark, sf):
     return files.load_stage(spark, base, "geocoded")
 
 
-@query("scan_training")
+@query("scan_training", with_views(f"\nSELECT {', '.join(_PROP_COLS)} FROM properties", "properties"))
 def q_scan_training(spark, sf):
     """Without a clustered stage the merged one is used."""
     base = scratch_path(spark, "stages")
@@ -43,7 +43,7 @@ def q_scan_training(spark, sf):
     return files.load_training(spark, base)
 
 
-@query("sink_stage")
+@query("sink_stage", with_views(f"\nSELECT 'raw' AS stage, count(*) AS rows, CAST({len(_PROP_COLS)} AS INTEGER) AS columns FROM properties", "properties"))
 def q_sink_stage(spark, sf):
     base = scratch_path(spark, "stages")
     rep = files.save_stage(proxies.properties(spark, sf).select(*_PROP_COLS), base, "raw")

@@ -185,7 +185,11 @@ def q_failed_geocodes(spark, sf):
     return validate.failed_geocodes(g).select("records_id", "way_id", "coords_valid")
 
 
-@query("feature_guard")
+@query("feature_guard", with_views("""
+, v AS (SELECT [CAST(transaction_price AS DOUBLE), property_m2, land_m2, unit_level, lat, lon] AS x FROM properties)
+SELECT CAST(min(len(x)) AS BIGINT) AS min_n, CAST(max(len(x)) AS BIGINT) AS max_n,
+       CAST(sum(len(list_filter(x, lambda a: isnan(a)))) AS BIGINT) AS n_nan,
+       CAST(sum(len(list_filter(x, lambda a: isinf(a)))) AS BIGINT) AS n_inf FROM v""", "properties"))
 def q_feature_guard(spark, sf):
     """Assemble the numeric columns, run the guard (raises on bad input),
     return its counts as one row."""

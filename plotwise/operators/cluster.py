@@ -1,11 +1,11 @@
 """Market segmentation of road centroids: k-distance ε, DBSCAN, K-means,
 cluster ids and statistics.
 
-DBSCAN is expressed as Spark jobs: the ε-neighbourhood is a grid self-join
-(no nested loop), core points are a grouped count, clusters are the connected
-components of core–core edges (large-star / small-star, O(log² n) rounds,
-each round checkpointed), and border points take the smallest component
-among their core neighbours (scikit-learn gives the first one that reaches
+DBSCAN is expressed as Spark jobs over grid cells whose points are all
+neighbours: full cells are core at once, points of thin cells count theirs in a
+grid join, clusters are the connected components of cells (large-star /
+small-star, O(log² n) rounds, each round checkpointed), and border points take
+the smallest component among their core neighbours (scikit-learn gives the first one that reaches
 them; core and noise flags are identical either way).
 """
 
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from plotwise.config import (CLUSTER_PREFIXES, DBSCAN_EPS_PERCENTILE_MAX, DBSCAN_EPS_PERCENTILE_MIN,
                              DBSCAN_MAX_NOISE_THRESHOLD, DBSCAN_MIN_SAMPLES, EARTH_RADIUS_KM,
                              KMEANS_N_CLUSTERS, NOISE_LABEL, RANDOM_STATE, UNKNOWN_PREFIX)
-from plotwise.functions.geo import KM_PER_DEG_LAT
+from plotwise.functions.geo import KM_PER_DEG_LAT, haversine_sql
 from plotwise.operators.spatial import radius_join
 
 
@@ -122,31 +122,92 @@ def connected_components(vertices: DataFrame, edges: DataFrame, id_col: str = "i
              .select(F.col("u").alias(id_col), F.coalesce("component", "u").alias("component")))
 
 
+def _cell_links(core: DataFrame, eps_km: float, lat: str, lon: str) -> DataFrame:
+    """(rep, component): which cells with core points are one cluster; rep is a
+    cell's smallest location id. One pair of core points within ε suffices
+    for a pair of cells, so pairs are looked for in order of promise: the two
+    representatives, then the points nearest to the other's representative, and only between cells
+    not connected by then the points that could reach the other cell at all.
+    The first two steps touch each point once per neighbouring cell."""
+    cells = core.groupBy("cr", "cc").agg(
+        F.min("_loc").alias("rep"), F.min_by(lat, "_loc").alias("y"), F.min_by(lon, "_loc").alias("x"),
+        F.min(lat).alias("y0"), F.max(lat).alias("y1"), F.min(lon).alias("x0"), F.max(lon).alias("x1")).checkpoint()
+    a = cells.select(F.col("rep").alias("a"), F.col("y").alias("ay"), F.col("x").alias("ax"))
+    b = cells.select(F.col("rep").alias("b"), F.col("y").alias("by"), F.col("x").alias("bx"))
+    # points within ε of each other have representatives within 3 ε: a cell's diagonal is at most ε
+    near = radius_join(a, b, 3 * eps_km, "haversine", "ay", "ax", "by", "bx", "d").filter("a < b").checkpoint()
+    members = core.join(cells.select("cr", "cc", "rep"), ["cr", "cc"]).select("rep", F.col(lat).alias("py"), F.col(lon).alias("px"))
+    open_ = near.filter(F.col("d") > eps_km)
+
+    def closest(own: str, oy: str, ox: str, name: str) -> DataFrame:
+        reach = open_.join(members, F.col(own) == F.col("rep"))
+        gap = F.expr(haversine_sql("py", "px", oy, ox))
+        return reach.groupBy("a", "b").agg(F.min(F.struct(gap.alias("g"), "py", "px")).alias(name))
+
+    met = (closest("a", "by", "bx", "pa").join(closest("b", "ay", "ax", "pb"), ["a", "b"])
+           .select("a", "b", *[F.col(f"{k}.{c}").alias(f"{c}_{k}") for k in ("pa", "pb") for c in ("py", "px")])
+           .filter(F.expr(haversine_sql("py_pa", "px_pa", "py_pb", "px_pb")) <= eps_km))
+    links = near.filter(F.col("d") <= eps_km).select("a", "b").unionByName(met.select("a", "b"))
+    vertices = cells.select(F.col("rep").alias("id"))
+    comp = connected_components(vertices, links.select(F.col("a").alias("src"), F.col("b").alias("dst")), "id").checkpoint()
+    ca, cb = (comp.select(F.col("id").alias(k), F.col("component").alias(f"c{k}")) for k in "ab")
+    apart = open_.select("a", "b").join(ca, "a").join(cb, "b").filter("ca != cb").checkpoint()
+    if not apart.isEmpty():
+        # a point can only take part if it is within ε of the other cell's box
+        pad_y = eps_km / KM_PER_DEG_LAT * 1.001
+        box = cells.select(F.col("rep").alias("o"), "y0", "y1", "x0", "x1")
+
+        def facing(own: str, other: str, y: str, x: str) -> DataFrame:
+            pad_x = F.lit(pad_y) / F.cos(F.radians(F.least(F.lit(89.0), F.greatest(F.abs("y0"), F.abs("y1")) + pad_y)))
+            return (apart.join(box, F.col(other) == F.col("o")).join(members, F.col(own) == F.col("rep"))
+                         .filter(F.col("py").between(F.col("y0") - pad_y, F.col("y1") + pad_y)
+                                 & F.col("px").between(F.col("x0") - pad_x, F.col("x1") + pad_x))
+                         .select("a", "b", "ca", "cb", F.col("py").alias(y), F.col("px").alias(x)))
+
+        more = (facing("a", "b", "ya", "xa").join(facing("b", "a", "yb", "xb").drop("ca", "cb"), ["a", "b"])
+                .filter(F.expr(haversine_sql("ya", "xa", "yb", "xb")) <= eps_km)
+                .select(F.col("ca").alias("src"), F.col("cb").alias("dst")).distinct().checkpoint())
+        if not more.isEmpty():
+            upper = connected_components(comp.select(F.col("component").alias("id")), more, "id").withColumnsRenamed({"id": "component", "component": "root"})
+            comp = comp.join(upper, "component").select("id", F.col("root").alias("component"))
+    return cells.select("cr", "cc", "rep").join(comp, F.col("rep") == F.col("id")).select("cr", "cc", "component")
+
+
 def dbscan(points: DataFrame, eps_km: float, id_col: str = "road_id", min_samples: int = DBSCAN_MIN_SAMPLES,
            lat: str = "lat", lon: str = "lon") -> DataFrame:
     """(id, market_cluster, is_core, is_noise): labels 0.. by smallest member
     id of each cluster, noise −1; neighbours within ε inclusive, self counted.
-    Runs on weighted distinct locations (stacked points share one verdict)."""
-    loc = _locations(points, id_col, lat, lon).checkpoint()
-    pts = loc.select("_loc", lat, lon)
-    tg = loc.select(F.col("_loc").alias("_nid"), F.col("_w").alias("_nw"), F.col(lat).alias("r_lat"),
-                    F.col(lon).alias("r_lon"))
-    pairs = radius_join(pts, tg, eps_km, "haversine", lat, lon, "r_lat", "r_lon", "d")
-    pairs = pairs.select("_loc", "_nid", "_nw").checkpoint()
-    counts = pairs.groupBy("_loc").agg(F.sum("_nw").alias("_n"))
-    core = counts.filter(F.col("_n") >= min_samples).select("_loc")
-    core_n = core.select(F.col("_loc").alias("_nid"))
-    ce = (pairs.join(core, "_loc", "left_semi").join(core_n, "_nid", "left_semi")
-               .filter(F.col("_loc") < F.col("_nid")).select(F.col("_loc").alias("src"), F.col("_nid").alias("dst")))
-    comp = connected_components(core.withColumnRenamed("_loc", "id"), ce, "id").withColumnRenamed("id", "_loc")
+
+    Works by cells of side ε/√2, whose points are all within ε of each other: a cell of
+    ``min_samples`` points or more is all core and one piece at once. Only
+    points of thinner cells count their neighbours, at most a
+    bounded number of them around any point, so the pairs grow with the number of points
+    and not with their density. Clusters are connected components of cells.
+    Stacked points are one weighted location.
+    """
+    side = eps_km / 2 ** 0.5 * 0.999 / KM_PER_DEG_LAT
+    row = F.floor(F.col(lat) / side)
+    # degrees of longitude in the side at the row's edge nearest the equator: never wider further out
+    edge = F.when(row >= 0, row * side).otherwise((row + 1) * side)
+    loc = (_locations(points, id_col, lat, lon).withColumn("cr", row)
+           .withColumn("cc", F.floor(F.col(lon) / (F.lit(side) / F.cos(F.radians(edge))))).checkpoint())
+    weight = loc.groupBy("cr", "cc").agg(F.sum("_w").alias("_cw"))
+    loc = loc.join(weight, ["cr", "cc"]).checkpoint()
+    thin = loc.filter(F.col("_cw") < min_samples).select("_loc", F.col(lat).alias("ty"), F.col(lon).alias("tx"))
+    every = loc.select(F.col("_loc").alias("_nid"), F.col("_w").alias("_nw"), F.col(lat).alias("ny"), F.col(lon).alias("nx"))
+    pairs = radius_join(every, thin, eps_km, "haversine", "ny", "nx", "ty", "tx", "d").select("_loc", "_nid", "_nw").checkpoint()
+    thin_core = pairs.groupBy("_loc").agg(F.sum("_nw").alias("_n")).filter(F.col("_n") >= min_samples).select("_loc")
+    core = (loc.filter(F.col("_cw") >= min_samples).select("_loc", "cr", "cc", lat, lon)
+               .unionByName(loc.join(thin_core, "_loc", "left_semi").select("_loc", "cr", "cc", lat, lon))).checkpoint()
+    comp = core.join(_cell_links(core, eps_km, lat, lon), ["cr", "cc"]).select("_loc", "component").checkpoint()
     border = (pairs.join(core, "_loc", "left_anti")
-                   .join(comp.select(F.col("_loc").alias("_nid"), "component"), "_nid")
+                   .join(comp.withColumnRenamed("_loc", "_nid"), "_nid")
                    .groupBy("_loc").agg(F.min("component").alias("component")))
     labelled = comp.unionByName(border)
     from plotwise.operators.windows import global_index
     numbers = global_index(labelled.select("component").distinct(), ["component"], "market_cluster")
     per_loc = (loc.select("_loc", lat, lon).join(labelled, "_loc", "left").join(numbers, "component", "left")
-                  .join(core.withColumn("is_core", F.lit(True)), "_loc", "left"))
+                  .join(core.select("_loc", F.lit(True).alias("is_core")), "_loc", "left"))
     out = points.select(id_col, lat, lon).join(per_loc, [lat, lon], "left")
     return out.select(id_col, F.coalesce(F.col("market_cluster").cast("int"), F.lit(-1)).alias("market_cluster"),
                       F.coalesce("is_core", F.lit(False)).alias("is_core"),

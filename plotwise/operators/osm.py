@@ -156,3 +156,10 @@ def polygon_assembly(members: DataFrame) -> DataFrame:
     rows of polygon -1 without area: lines that no member way closes
     (``unclosed outer`` / ``unclosed inner``) and holes in no outer ring (``stray inner``)."""
     return members.select("relation_id", "role", "pts").groupBy("relation_id").applyInPandas(_assemble, ASSEMBLY_SCHEMA)
+
+
+def member_ways(members: DataFrame, lines: DataFrame) -> DataFrame:
+    """Way members of relations with their lines (way_id, line), as
+    ``polygon_assembly`` takes them; members whose way is not in the extract are left out."""
+    m = members.filter(F.col("member_type") == "way").select("relation_id", F.col("ref").alias("way_id"), "role")
+    return m.join(lines, "way_id").select("relation_id", "way_id", "role", F.col("line").alias("pts"))

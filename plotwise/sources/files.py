@@ -125,3 +125,28 @@ def scan_osm_xml(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame,
     way_tags = (way_raw.select(F.col("_id").alias("way_id"), F.explode_outer("tag").alias("t"))
                        .select("way_id", F.col("t._k").alias("k"), F.col("t._v").alias("v")))
     return nodes, way_nodes, way_tags
+
+
+OSM_XML_RELATION_SCHEMA = ("_id long, member array<struct<_type:string,_ref:long,_role:string>>, "
+                           "tag array<struct<_k:string,_v:string>>")
+
+
+def scan_osm_relations(spark: SparkSession, path: str, fmt: str = "xml") -> tuple[DataFrame, DataFrame]:
+    """Relations of an OSM XML extract or of Overpass JSON lines → members
+    (relation_id, pos, member_type, ref, role; in file order) and tags
+    (relation_id, tags)."""
+    if fmt == "xml":
+        raw = spark.read.format("xml").option("rowTag", "relation").schema(OSM_XML_RELATION_SCHEMA).load(path)
+        rel = raw.select(F.col("_id").alias("relation_id"),
+                         F.transform("member", lambda m: F.struct(m["_type"].alias("type"), m["_ref"].alias("ref"), m["_role"].alias("role"))).alias("members"),
+                         F.map_from_entries(F.transform(F.coalesce("tag", F.array().cast("array<struct<_k:string,_v:string>>")),
+                                                        lambda t: F.struct(t["_k"], t["_v"]))).alias("tags"))
+    elif fmt == "json":
+        rel = (spark.read.schema(OSM_JSON_SCHEMA).json(path).filter(F.col("type") == "relation")
+               .select(F.col("id").alias("relation_id"), "members", "tags"))
+    else:
+        raise ValueError(f"unknown format {fmt!r}; expected xml or json")
+    members = (rel.select("relation_id", F.posexplode("members").alias("pos", "m"))
+                  .select("relation_id", "pos", F.col("m.type").alias("member_type"), F.col("m.ref").alias("ref"),
+                          F.coalesce("m.role", F.lit("")).alias("role")))
+    return members, rel.select("relation_id", "tags")

@@ -32,6 +32,21 @@ def _locations(points: DataFrame, id_col: str, lat: str, lon: str) -> DataFrame:
                   .groupBy(lat, lon).agg(F.min(id_col).alias("_loc"), F.count(F.lit(1)).alias("_w")))
 
 
+#: A first radius is right if no cell of its size holds more locations than this; cells are tried down to span / 2^LEVELS.
+CROWD, LEVELS = 64, 24
+
+
+def _crowded_km(loc: DataFrame, lat: str, lon: str, span_km: float) -> float:
+    """Largest cell (span halved so and so often) that nowhere holds more than
+    ``CROWD`` locations. From there on, rings stay linear: what a radius leaves open
+    has fewer than k neighbours in it, so few open locations lie around any place."""
+    side = F.lit(span_km / KM_PER_DEG_LAT) / F.pow(F.lit(2.0), F.col("lvl"))
+    cells = (loc.select(lat, lon, F.explode(F.sequence(F.lit(0), F.lit(LEVELS))).alias("lvl"))
+                .groupBy("lvl", F.floor(F.col(lat) / side).alias("r"), F.floor(F.col(lon) / side).alias("c")).count())
+    fullest = {r["lvl"]: r["m"] for r in cells.groupBy("lvl").agg(F.max("count").alias("m")).collect()}  # one row per level
+    return span_km / 2 ** min((lv for lv, m in fullest.items() if m <= CROWD), default=LEVELS)
+
+
 def k_distance(points: DataFrame, id_col: str = "road_id", k: int = DBSCAN_MIN_SAMPLES,
                lat: str = "lat", lon: str = "lon", start_km: float | None = None) -> DataFrame:
     """Great-circle km to the k-th nearest point, the point itself counted
@@ -47,7 +62,7 @@ def k_distance(points: DataFrame, id_col: str = "road_id", k: int = DBSCAN_MIN_S
     if start_km is None:
         # radius expected to hold ~k points if they were spread evenly
         area = max((ext[1] - ext[0]) * (ext[3] - ext[2]) * KM_PER_DEG_LAT ** 2, 1e-6)
-        start_km = max((area * k / max(ext[5], 1)) ** 0.5, span / 4096)
+        start_km = min(max((area * k / max(ext[5], 1)) ** 0.5, span / 4096), _crowded_km(loc, lat, lon, span))
     kk = min(k, n)
     tg = loc.select(F.col("_loc").alias("_nid"), F.col("_w").alias("_nw"), F.col(lat).alias("r_lat"),
                     F.col(lon).alias("r_lon"))
@@ -64,7 +79,7 @@ def k_distance(points: DataFrame, id_col: str = "road_id", k: int = DBSCAN_MIN_S
         done.append(kth)
         if last:
             break
-        pending = pending.join(kth.select("_loc"), "_loc", "left_anti")
+        pending = pending.join(kth.select("_loc"), "_loc", "left_anti").checkpoint()
         if pending.isEmpty():
             break
         r = min(r * 2.0, span)

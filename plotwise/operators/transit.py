@@ -84,12 +84,15 @@ def ridership_near(props: DataFrame, stations: DataFrame, station_totals: DataFr
     sr = sr.select("station_id", "month", "incoming", "outgoing", "total_ridership",
                    sx.alias("s_x"), sy.alias("s_y"))
     px, py = utm_xy(lat, lon, zone)
-    p = props.select(prop_id, F.col(prop_date).cast("date").alias("month"), px.alias("p_x"), py.alias("p_y"))
+    # sales of one month at one point share their sums: each distinct (point, month) is searched once
+    p = props.select(F.col(lat).alias("_plat"), F.col(lon).alias("_plon"), F.col(prop_date).cast("date").alias("month"),
+                     px.alias("p_x"), py.alias("p_y")).distinct()
     pairs = radius_join(p, sr, radius_km * 1000.0, "planar", "p_y", "p_x", "s_y", "s_x", extra_keys=["month"])
-    sums = pairs.groupBy(prop_id).agg(F.sum("incoming").alias(RIDERSHIP_OUT[0]),
-                                      F.sum("outgoing").alias(RIDERSHIP_OUT[1]),
-                                      F.sum("total_ridership").alias(RIDERSHIP_OUT[2]))
-    return props.join(sums, prop_id, "left").fillna(0, subset=RIDERSHIP_OUT)
+    sums = pairs.groupBy("_plat", "_plon", F.col("month").alias("_pmonth")).agg(
+        F.sum("incoming").alias(RIDERSHIP_OUT[0]), F.sum("outgoing").alias(RIDERSHIP_OUT[1]),
+        F.sum("total_ridership").alias(RIDERSHIP_OUT[2]))
+    here = (F.col(lat) == F.col("_plat")) & (F.col(lon) == F.col("_plon")) & (F.col(prop_date).cast("date") == F.col("_pmonth"))
+    return props.join(sums, here, "left").drop("_plat", "_plon", "_pmonth").fillna(0, subset=RIDERSHIP_OUT)
 
 
 def ridership_profile(df: DataFrame) -> DataFrame:

@@ -63,7 +63,7 @@ def global_index(df: DataFrame, order_cols: list[str], out: str = "rank_index",
     single-partition window: range-partition, sort each partition, number
     rows by their in-partition id, add per-partition offsets (one small
     aggregate: one row per partition, so its size is bounded)."""
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
     tagged = ranged.withColumns({"_pid": F.spark_partition_id(), "_mid": F.monotonically_increasing_id()})
     # materialise once: range boundaries come from sampling, and both uses

@@ -70,3 +70,12 @@ def test_pairs_stay_linear_in_a_dense_blob(spark, monkeypatch):
         cluster.dbscan(df, 1.0).count()
         totals.append(sum(made))
     assert totals[1] < 12 * totals[0]
+
+
+def test_k_distance_in_a_dense_blob_with_outliers(spark):
+    rng = np.random.default_rng(11)
+    pts = [(3 + y, 101 + x) for y, x in np.concatenate([rng.normal(0, 0.0005, (400, 2)), rng.uniform(-0.5, 0.5, (20, 2))])]
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(pts)], "road_id long, lat double, lon double")
+    got = {r["road_id"]: r["kdist_km"] for r in cluster.k_distance(df).collect()}
+    for i in [*range(0, 400, 40), *range(400, 420)]:
+        assert got[i] == pytest.approx(sorted(hav(pts[i], q) for q in pts)[4], rel=1e-9)

@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import math
 from bisect import bisect_left, insort
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -114,7 +113,7 @@ def best_fit_pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     schema = (f"`{id_col}` {id_type}, piece int, start long, size int, bin_id string, bin_offset int, "
               "capacity int, bin_used int")
 
-    def pack(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def pack(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_at", kind="stable").reset_index(drop=True)
         where, at, cap = pack_sizes(pdf["size"].tolist(), caps)
         pdf["bin_id"] = [f"{key[0]}-{b}" for b in where]

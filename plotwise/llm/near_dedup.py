@@ -7,13 +7,13 @@ Signatures are cut into bands; documents that agree on a band meet in a
 bucket, and a pair becomes a link only by exact Jaccard of the full shingle
 sets, 100 * |A & B| >= 75 * |A | B|.
 
-No bucket is expanded into all its pairs. Copies with equal shingle sets are one
-representative from the start. A bucket is searched from leaders: first all
-members against its least node; where some do not join that node's component,
-up to eight of those lead in turn, drawn by hash, then 64, and so on
-until the bucket is one component or all of them have led. So a
-group of near copies costs one pair per member, and every pair that shares a
-band and is not yet joined by other links is verified.
+Copies with equal shingle sets are one node from the start. Buckets of up to
+eight nodes are compared in full; a larger one is searched from its hub, the member that
+meets most others. Members that don't join the hub's component are compared further only
+where that can matter: what two of them share lies in the hub or beyond it, the first part is
+bounded by what each has of the hub, and where that is too little they must share a shingle
+beyond it, by which they are joined. So a group of near copies costs one pair per member, and
+every pair that shares a band and could link is verified unless other links join it.
 """
 
 from __future__ import annotations
@@ -34,9 +34,10 @@ THRESHOLD = 75          # per cent
 ROWS, BANDS = 4, 32     # a pair at 0.75 shares no band with probability 5e-6
 COORDS = ROWS * BANDS
 #: A pair needs this many equal 8-bit coordinates of 128 to be worth its exact test:
-#: at 0.75 similarity 96 are expected, and fewer than 64 have probability 1e-10.
-LEAST_EQUAL = 64
-LEADERS = 8             # growth of the number of leaders per round
+#: at 0.75 similarity 96 are expected, and fewer than 72 have probability 4e-7.
+LEAST_EQUAL = 72
+FEW = 8                 # buckets of up to this size are compared in full
+HOPS = 3                # links that a label travels between rounds
 BLOCK = 512             # shingles per block of the signature's inner loop
 
 _U64 = np.uint64
@@ -168,48 +169,75 @@ def _ends(edges: DataFrame) -> DataFrame:
 
 
 def _labels(links: DataFrame) -> DataFrame:
-    """node, label: least node within two links. Equal labels mean one
+    """labelled, label: least node within ``HOPS`` links. Equal labels mean one
     component; different ones may still be one, which only costs further tests."""
     both = links.unionByName(links.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    one = both.groupBy("src").agg(F.least(F.min("dst"), F.col("src")).alias("near"))
-    two = (both.join(one.withColumnRenamed("src", "via"), F.col("dst") == F.col("via"))
-               .groupBy("src").agg(F.least(F.min("near"), F.col("src")).alias("label")))
-    return two.withColumnRenamed("src", "labelled")
+    found = both.groupBy("src").agg(F.least(F.min("dst"), F.col("src")).alias("label"))
+    for _ in range(HOPS - 1):
+        found = (both.join(found.withColumnRenamed("src", "via"), F.col("dst") == F.col("via"))
+                     .groupBy("src").agg(F.least(F.min("label"), F.col("src")).alias("label")))
+    return found.withColumnRenamed("src", "labelled")
 
 
 def _links(src: DataFrame, heads: DataFrame) -> DataFrame:
     """src, dst (nodes): verified links that join all nodes that LSH brings together."""
     met = heads.select("node", F.explode("bands").alias("bucket"))
-    buckets = met.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("first")).filter("n > 1")
+    buckets = met.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = materialise(met.join(buckets, "bucket"), "near-buckets")
     facts = materialise(heads.drop("bands").join(members.select("node").distinct(), "node"), "near-facts")
-    # first every member against the least node of its bucket; a bucket of two is then done
-    pairs = members.filter("node != first").select(F.col("first").alias("a"), F.col("node").alias("b"))
-    links = _verify(src, facts, pairs)
-    low, quota = F.lit(0.0), LEADERS
-    place = F.pmod(F.xxhash64("node", "bucket"), F.lit(1 << 40)) / float(1 << 40)
-    while True:
-        labels = _labels(links)
-        of_first = labels.select(F.col("labelled").alias("f"), F.col("label").alias("first_label"))
-        tagged = (members.filter("n > 2").join(labels, F.col("node") == F.col("labelled"), "left")
-                         .join(of_first, F.col("first") == F.col("f"), "left")
-                         .select("bucket", "node", F.coalesce("label", "node").alias("label"), place.alias("place"),
-                                 (F.coalesce("label", "node") != F.coalesce("first_label", "first")).alias("apart")))
-        # pairs still to test have a member apart from the first's component: these lead in turn, drawn by hash
-        apart = tagged.groupBy("bucket").agg(F.count_if("apart").alias("m")).filter("m > 0").withColumnRenamed("bucket", "ob")
-        left = materialise(tagged.join(apart, F.col("bucket") == F.col("ob")).drop("ob"), "near-open")
-        high = F.lit(float(quota)) / F.col("m")
-        lead = (left.filter(F.col("apart") & (F.col("place") >= low) & (F.col("place") < high))
-                    .select(F.col("bucket").alias("lb"), F.col("node").alias("lnode"), F.col("label").alias("llabel")))
-        pairs = (left.join(lead, (F.col("bucket") == F.col("lb")) & (F.col("label") != F.col("llabel")))
-                     .select(F.least("node", "lnode").alias("a"), F.greatest("node", "lnode").alias("b")))
-        largest = left.agg(F.max("m")).first()[0]
-        if not largest:
-            return links
-        links = materialise(links.unionByName(_verify(src, facts, pairs)), "near-links")
-        if quota >= largest:
-            return links
-        low, quota = F.lit(0.0), quota * LEADERS
+    few, many = members.filter(F.col("n") <= FEW), members.filter(F.col("n") > FEW)
+    small = few.select("bucket", "node").join(few.select("bucket", F.col("node").alias("other")), "bucket") \
+               .filter("node < other").select(F.col("node").alias("a"), F.col("other").alias("b"))
+    if many.isEmpty():
+        return _verify(src, facts, small)
+    # a text's bands agree with most of its copies' where it has few edits: the member whose buckets are fullest is the hub
+    score = many.groupBy("node").agg(F.sum("n").alias("score"))
+    hubs = many.join(score, "node").groupBy("bucket").agg(F.max(F.struct("score", "node")).alias("h")) \
+               .select(F.col("bucket").alias("hb"), F.col("h.node").alias("hub"))
+    star = _star(src, facts, many.join(hubs, F.col("bucket") == F.col("hb")).filter("node != hub").select("hub", "node").distinct())
+    links = materialise(_verify(src, facts, small).unionByName(
+        star.filter(F.col("common") * 7 >= (F.col("size") + F.col("hub_size")) * 3).select(F.col("hub").alias("src"), F.col("node").alias("dst"))), "near-links")
+    labels = _labels(links)
+    of_hub = labels.select(F.col("labelled").alias("f"), F.col("label").alias("hub_label"))
+    placed = (star.join(labels, F.col("node") == F.col("labelled"), "left").join(of_hub, F.col("hub") == F.col("f"), "left")
+                  .select("hub", "node", "size", "common", "beyond", F.coalesce("label", "node").alias("label"),
+                          (F.coalesce("label", "node") != F.coalesce("hub_label", "hub")).alias("apart")))
+    placed = materialise(placed, "near-placed")
+    ahead = placed.filter("apart").select(*[F.col(c).alias("l" + c) for c in ("hub", "node", "size", "common", "beyond", "label")])
+    # pairs that the hub's shingles alone could link, then pairs that need others in common and so share one of the least
+    within = (placed.join(ahead.filter("lcommon * 100 >= lsize * 75"), (F.col("hub") == F.col("lhub")) & (F.col("label") != F.col("llabel"))
+                          & (F.least("common", "lcommon") * 7 >= (F.col("size") + F.col("lsize")) * 3)))
+    beyond = (placed.select("hub", "node", "label", F.explode("beyond").alias("s"))
+                    .join(ahead.select("lhub", "lnode", "llabel", F.explode("lbeyond").alias("ls")),
+                          (F.col("hub") == F.col("lhub")) & (F.col("s") == F.col("ls")) & (F.col("label") != F.col("llabel"))))
+    rest = within.select("node", "lnode").unionByName(beyond.select("node", "lnode")) \
+                 .select(F.least("node", "lnode").alias("a"), F.greatest("node", "lnode").alias("b"))
+    return links.unionByName(_verify(src, facts, rest))
+
+
+def _star(src: DataFrame, facts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(hub, node) with size, hub_size, common (shingles of the node in the hub) and beyond, some of its others.
+
+    Two members x, y of a bucket have in common at most min(common_x, common_y)
+    of the hub's shingles; a link asks for 3/7 of the sum of their sizes, so for at
+    least 3/4 size_x - common_x shingles beyond the hub. Two sets that share k elements
+    meet within the first size - k + 1 of each in any order: ``beyond`` holds these.
+    """
+    ids = facts.select("id", "node").join(pairs.select("node").unionByName(pairs.select(F.col("hub").alias("node"))).distinct(), "node", "left_semi")
+    sets = _sets_of(src, ids.select(F.col("id").alias("wid")), "near-star-sets")
+    own, hub = sets.select("node", F.col("shingles").alias("x")), sets.select(F.col("node").alias("hub"), F.col("shingles").alias("h"))
+    least = F.greatest(F.lit(1), F.ceil(F.col("size") * 0.75 - F.col("common"))).cast("int")
+    return materialise(pairs.join(own, "node").join(hub, "hub")
+                       .select("hub", "node", F.size("x").alias("size"), F.size("h").alias("hub_size"), F.array_except("x", "h").alias("others"))
+                       .withColumn("common", F.col("size") - F.size("others"))
+                       .select("hub", "node", "size", "hub_size", "common",
+                               F.slice(F.sort_array("others"), F.lit(1), F.greatest(F.size("others") - least + 1, F.lit(0))).alias("beyond")), "near-star")
+
+
+def _sets_of(src: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+    """node, shingles of the texts of these ids, each set once."""
+    holders = src.join(ids.distinct(), F.col("id") == F.col("wid"), "left_semi").select("text")
+    return materialise(holders.mapInArrow(_sets, "node binary, shingles array<long>").dropDuplicates(["node"]), name)
 
 
 def _verify(src: DataFrame, facts: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -219,9 +247,7 @@ def _verify(src: DataFrame, facts: DataFrame, pairs: DataFrame) -> DataFrame:
     sized = (pairs.distinct().join(fa, "a").join(fb, "b")
                   .filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * THRESHOLD).select("a", "b", "sa", "sb", "id_a", "id_b"))
     likely = materialise(sized.mapInArrow(_alike, "a binary, b binary, id_a long, id_b long"), "near-pairs")
-    wanted = likely.select(F.explode(F.array("id_a", "id_b")).alias("wid")).distinct()
-    holders = src.join(wanted, F.col("id") == F.col("wid"), "left_semi").select("text")
-    sets = materialise(holders.mapInArrow(_sets, "node binary, shingles array<long>").dropDuplicates(["node"]), "near-sets")
+    sets = _sets_of(src, likely.select(F.explode(F.array("id_a", "id_b")).alias("wid")), "near-sets")
     sa = sets.select(F.col("node").alias("a"), F.col("shingles").alias("xa"))
     sb = sets.select(F.col("node").alias("b"), F.col("shingles").alias("xb"))
     both = F.size(F.array_intersect("xa", "xb"))

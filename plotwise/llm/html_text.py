@@ -49,11 +49,12 @@ NOISE_NAMES = frozenset("""ad ads adv advert adverts advertisement advertising a
     breadcrumbs footer masthead topbar comment comments disqus respond replies reply related recommended share sharing social toolbar pagination
     pager login signup search searchbox widget widgets contentinfo complementary""".split())
 
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/<>]*)((?:[^<>\"']++|\"[^\"]{0,4000}+\"|'[^']{0,4000}+'){0,300}+)>"
-    r"|<[a-zA-Z/!?][^<>]*>?", re.DOTALL)
-_NAMES = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/<>]*)|<[/!?][^<>]*>?", re.DOTALL)
+#: Attributes up to the next quoted value, whose quote is the group, or to the next angle bracket. Only after = does a quote open a value.
+_ATTRIBUTES = re.compile(r"[^<>=]*+(?:=\s*+(?:[^\s\"'<>][^\s<>]*+|(?=>))[^<>=]*+)*+(?:=\s*+([\"']))?")
+_BROKEN = re.compile(r"[^<>]*>?")
+_ATTRIBUTE = re.compile(r"([^\s=/]++)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'<>][^\s<>]*)))?")
+NAMES = frozenset(("class", "id", "role"))
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])", re.IGNORECASE) for t in RAW}
 _TOKEN = re.compile(r"[^a-z0-9]+")
 
@@ -86,6 +87,26 @@ def _closed(stack: list[_Node], tags: set[str] | frozenset[str], until: set[str]
     return keep
 
 
+def _tag_end(html: str, at: int, dead: set[int]) -> int:
+    """Place of the > that ends the tag whose name ends at ``at``, -1 if there is none. ``dead`` holds the
+    quotes that earlier tags without an end went through, so that all tags of a page take linear time."""
+    opened = []
+    while True:
+        m = _ATTRIBUTES.match(html, at)
+        at = m.end()
+        if m.group(1) is None:
+            if html.startswith(">", at):
+                return at
+            break
+        opened.append(at)
+        close = -1 if at in dead else html.find(m.group(1), at)
+        if close < 0:
+            break
+        at = close + 1
+    dead.update(opened)
+    return -1
+
+
 def walk(html: str) -> tuple[list[tuple[str, list[_Node]]], list[_Node]]:
     """Text blocks in page order, each with its open elements, and all block
     elements. Missing end tags are implied as browsers do for p, li, dd, dt and table parts."""
@@ -102,6 +123,7 @@ def walk(html: str) -> tuple[list[tuple[str, list[_Node]]], list[_Node]]:
                 blocks.append((text, list(stack)))
 
     at, n = 0, len(html)
+    dead: set[int] = set()
     while at < n:
         m = _TAG.search(html, at)
         if m is None:
@@ -113,6 +135,11 @@ def walk(html: str) -> tuple[list[tuple[str, list[_Node]]], list[_Node]]:
         tag = m.group(2)
         if tag is None:
             continue
+        end = _tag_end(html, at, dead)
+        if end < 0:
+            at = _BROKEN.match(html, at).end()
+            continue
+        attrs, at = html[at:end], end + 1
         tag, closing = tag.lower(), m.group(1)
         if tag == "br":
             pending.append(" ")
@@ -123,10 +150,9 @@ def walk(html: str) -> tuple[list[tuple[str, list[_Node]]], list[_Node]]:
                 while stack.pop().tag != tag:
                     pass
             continue
-        attrs = m.group(3)
         names = ""
-        if attrs and ("=" in attrs):
-            names = " ".join(a or b or c for _, a, b, c in _NAMES.findall(attrs)).lower()
+        if "=" in attrs:
+            names = " ".join(a or b or c for k, a, b, c in _ATTRIBUTE.findall(attrs) if k.lower() in NAMES).lower()
         if tag in RAW:
             end = _RAW_END[tag].search(html, at)
             at = end.start() if end else n

@@ -234,6 +234,19 @@ def test_main_text():
     assert html_text.main_text("<body><div>One</div>two<div class=sidebar>x</div></body>") == "One\n\ntwo"
 
 
+def test_tags_of_any_length():
+    long = "x > y " * 2000
+    assert html_text.main_text(f"<body><nav data-menu='{long}'><p>Home</p></nav><p>Text</p></body>") == "Text"
+    page = f"<body><div><article><div data-props='{long}'><p>One</p></div><p>Two</p></article></div><p>Out</p></body>"
+    assert html_text.main_text(page) == "One\n\nTwo"
+    many = " ".join(f'data-{i}="{i}"' for i in range(1000))
+    assert html_text.main_text(f"<body><aside {many}>ads</aside><p>Text</p>") == "Text"
+    # a quote that opens no value ends nothing, a class inside another value is none
+    assert html_text.main_text("<p it's>One</p><div data-x='<b class=\"menu\">'>Two</div><p>isn't") == "One\n\nTwo\n\nisn't"
+    for bad in ('<a" ="', "<a ='<b =\"", '<a "'):
+        html_text.main_text(bad * 100_000)
+
+
 def test_style_tree_cuts_repeated_branches(spark):
     """A branch with no telling name that repeats on every page of a host goes; the varying one stays."""
     rng = random.Random(1)

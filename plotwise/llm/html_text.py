@@ -4,12 +4,14 @@ The pages of a host are merged into one tree: a node is a path of tags and
 classes, with the sequences of child tags seen under it (presentation) and the
 text blocks seen in it (content). Presentation counts as important if it varies
 over pages, content if blocks are not the same on many pages: both are entropies in base m, the number of pages
-that have the node. Branches that could be templates and whose
-importance is low are cut from every page of the host; branches that name themselves
+that have the node, drawn to 1 by a prior that weighs as much as one page. A text block belongs
+to the innermost branch that could be a template, and is cut from every page of the host if
+that branch's importance is low: a wrapper never goes with what it wraps. A branch on one page only is
+important. Pages of a host with equal html count once. Branches that name themselves
 as menus, adverts, forms and the like are cut wherever they are; of the rest the article is
 taken, if the page marks one.
 
-Counts travel as hashes, pre-aggregated per task; pages are never grouped by host.
+Counts travel as hashes; pages are never grouped by host.
 """
 
 from __future__ import annotations
@@ -25,9 +27,10 @@ from pyspark.sql import functions as F
 
 from plotwise.llm.common import materialise
 
-#: A branch is judged on hosts with at least this many pages that have it; it goes under this importance.
-LEAST_PAGES = 20
+#: A branch goes under this importance.
 LEAST_IMPORTANCE = 0.5
+#: Pages on which all differs that every branch is taken to have been seen on besides.
+PRIOR_PAGES = 1.0
 DAMPING = 0.9           # weight of content against presentation falls with the number of styles
 
 # Elements by role.
@@ -200,16 +203,20 @@ def _runs(tags: list[str]) -> str:
     return " ".join(t for i, t in enumerate(tags) if i == 0 or t != tags[i - 1])
 
 
+def _branch(stack: list[_Node]) -> _Node | None:
+    """Innermost of the open elements that may be a template branch."""
+    return next((x for x in stack[:0:-1] if not x.plain), None)
+
+
 def page_features(html: str) -> list[tuple[int, int, int]]:
     """(path, kind, value) of one page, each once: kind 0 the node is there, 1 its
-    sequence of child tags, 2 a text block in it. Only branches that may be templates count."""
+    sequence of child tags, 2 a text block of it. Only branches that may be templates count."""
     blocks, nodes = walk(html)
     out = set()
     for text, stack in blocks:
-        h = _hash(text)
-        for node in stack[1:]:
-            if not node.plain:
-                node.features.add(h)
+        node = _branch(stack)
+        if node is not None:
+            node.features.add(_hash(text))
     for node in nodes:
         if not node.plain and node.features:
             p = _hash(node.path)
@@ -225,12 +232,14 @@ def main_text(html: str, cut: set[int] | frozenset[int] = frozenset()) -> str:
     blocks, _ = walk(html)
     known: dict[str, bool] = {}
 
-    def gone(node: _Node) -> bool:
+    def gone(node: _Node | None) -> bool:
+        if node is None:
+            return False
         if node.path not in known:
-            known[node.path] = not node.plain and _hash(node.path) in cut
+            known[node.path] = _hash(node.path) in cut
         return known[node.path]
 
-    kept = [(t, s) for t, s in blocks if not s[-1].noise and not (cut and any(gone(x) for x in s[1:]))]
+    kept = [(t, s) for t, s in blocks if not s[-1].noise and not (cut and gone(_branch(s)))]
     marked = [t for t, s in kept if s[-1].article]
     return "\n\n".join(marked or [t for t, _ in kept])
 
@@ -241,11 +250,13 @@ def low_branches(pages: DataFrame, url_col: str = "url", html_col: str = "html")
         item = pa.struct([("path", pa.int64()), ("kind", pa.int32()), ("value", pa.int64())])
         for b in batches:
             found = [[{"path": p, "kind": k, "value": v} for p, k, v in page_features(h.as_py() or "")] for h in b.column(1)]
-            yield pa.RecordBatch.from_arrays([pa.array([site_of(u.as_py()) for u in b.column(0)], pa.string()), pa.array(found, pa.list_(item))],
-                                             names=["host", "found"])
+            yield pa.RecordBatch.from_arrays([pa.array([site_of(u.as_py()) for u in b.column(0)], pa.string()),
+                                              pa.array([_hash(h.as_py() or "") for h in b.column(1)], pa.int64()), pa.array(found, pa.list_(item))],
+                                             names=["host", "page", "found"])
 
     rows = (pages.select(F.col(url_col), F.col(html_col))
-                 .mapInArrow(features, "host string, found array<struct<path bigint, kind int, value bigint>>")
+                 .mapInArrow(features, "host string, page bigint, found array<struct<path bigint, kind int, value bigint>>")
+                 .dropDuplicates(["host", "page"])
                  .select("host", F.explode("found").alias("f")).select("host", "f.path", "f.kind", "f.value"))
     counted = rows.groupBy("host", "path", "kind", "value").agg(F.count(F.lit(1)).alias("n"))
     sums = counted.groupBy("host", "path").agg(
@@ -258,8 +269,9 @@ def low_branches(pages: DataFrame, url_col: str = "url", html_col: str = "html")
     presentation = F.lit(1.0) - F.col("s") / (F.col("m") * log_m)
     content = F.lit(1.0) - F.col("c") / (F.col("blocks") * log_m)
     damp = F.pow(F.lit(DAMPING), F.col("styles"))
-    importance = (1 - damp) * presentation + damp * content
-    return sums.filter(F.col("m") >= LEAST_PAGES).filter(importance < LEAST_IMPORTANCE).select("host", "path")
+    seen = (1 - damp) * presentation + damp * content
+    importance = (F.col("m") * seen + PRIOR_PAGES) / (F.col("m") + PRIOR_PAGES)
+    return sums.filter(F.col("m") >= 2).filter(importance < LEAST_IMPORTANCE).select("host", "path")
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

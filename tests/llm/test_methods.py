@@ -257,6 +257,18 @@ def test_style_tree_cuts_repeated_branches(spark):
     assert all("Same" not in got[i] and got[i] for i in range(40)) and got[99] == "Same on all pages"
 
 
+def test_style_tree_on_small_hosts(spark):
+    """Two pages are enough for a branch without a telling name; what it is wrapped in and pages that are copies of one stay."""
+    page = "<body><div class=wrap>%s<div class=story><p>%s</p></div></div></body>"
+    zone = "<div class=zone><p>Same one</p><p>Same two</p><p>Same three</p></div>"
+    rows = [(100 * m + i, f"http://h{m}.example/{i}", page % (zone, f"text {m} {i}")) for m in (1, 2, 3, 19, 20) for i in range(m)]
+    rows += [(9000 + i, f"http://copies.example/{i}", page % (zone, "one text")) for i in range(30)]
+    got = {r["page_id"]: r["text"] for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for m in (2, 3, 19, 20):
+        assert all(got[100 * m + i] == f"text {m} {i}" for i in range(m)), m
+    assert "Same" in got[100] and all(got[9000 + i].endswith("one text") for i in range(30))
+
+
 def test_pages_against_regular_expressions(spark):
     from html import unescape
     pages = spark.read.parquet(f"{SF}/pages.parquet").collect()

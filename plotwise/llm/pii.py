@@ -51,9 +51,9 @@ _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _DOTTED = re.compile(r"[0-9][0-9.]*")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_SPELLED = re.compile(r"[A-Za-z0-9._%+-]{1,64} ?(?:\(at\)|\[at\]|\bat\b) ?[A-Za-z0-9-]{1,63}(?: ?(?:\(dot\)|\[dot\]|\bdot\b) ?[A-Za-z0-9-]{1,63}){1,4}", re.IGNORECASE)
+_SPELLED = re.compile(r"[A-Za-z0-9._%+-]{1,64} ?(?:\(at\)|\[at\]|\bat\b) ?[A-Za-z0-9-]{1,63}(?: ?(?:\(dot\)|\[dot\]|\bdot\b) ?[A-Za-z0-9-]{1,63})++", re.IGNORECASE)
 _NATIONAL = re.compile(r"(?<![0-9+.-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9.-])")
-_ASSIGNED = re.compile(r"(?:=|:)[ \t]{0,3}[\"']?([^\s\"',;<>]{6,200})")
+_ASSIGNED = re.compile(rf"(?:{'|'.join(map(re.escape, SECRET_NAMES))})\s*+[=:][ \t]*+[\"']?([^\s\"',;<>]{{6,}}+)", re.IGNORECASE)
 _DIGITS = re.compile(r"[^0-9]")
 
 
@@ -118,8 +118,7 @@ def _loose(t: str) -> list[tuple[int, int, int]]:
     out += [(m.start(), 3, m.end()) for m in _NATIONAL.finditer(t)]
     out += [(a, 1, b) for a, b, _ in _quads(t)]
     if "=" in t or ":" in t:
-        out += [(m.start(1), 4, m.end(1)) for m in _ASSIGNED.finditer(t)
-                if any(t[max(0, m.start() - 16):m.start()].rstrip().lower().endswith(n) for n in SECRET_NAMES)]
+        out += [(m.start(1), 4, m.end(1)) for m in _ASSIGNED.finditer(t)]
     return out
 
 

@@ -357,6 +357,26 @@ def test_weak_labelers_add_spans_and_keep_base_ones(spark):
         assert any(s.startswith("secret:") for s in spans) and not any(s.startswith("ip:") for s in spans)
 
 
+def test_secrets_are_found_whole(spark):
+    def found(t):
+        return [t[a:e] for a, k, e in pii._loose(t) if k in (0, 4)]
+    key = "Ab3_" * 150
+    assert found(f"token={key}, next") == [key] and found("https://host.example/?token=abcdef123456") == ["abcdef123456"]
+    assert found("login: password=hunter2xyz9") == ["hunter2xyz9"] and found("a:b=c:Api_Key :  'k1k2k3k4'") == ["k1k2k3k4"]
+    assert found("jo at a dot b dot c dot d dot e dot example dot org") == ["jo at a dot b dot c dot d dot e dot example dot org"]
+    for t in ("token" * 100_000, "token" + " " * 200_000 + "x", "token=ab;" * 50_000, "a at b" + " dot c" * 50_000):
+        pii._loose(t)
+    rng, rows = random.Random(7), []
+    for i in range(120):
+        secret = "".join(rng.choice("abcdef") + rng.choice("0123456789") for _ in range((8, 300)[i % 2]))
+        rows.append((i, f"see https://host.example/?token={secret} or login: password={secret} of it", secret))
+    df = spark.createDataFrame(rows, "doc_id long, text string, secret string")
+    got = {r["doc_id"]: r["spans"] for r in pii.personal_data(df).collect()}
+    for i, t, secret in rows:
+        at = [m.start() for m in re.finditer(secret, t)]
+        assert len(at) == 2 and set(got[i].split(",")) >= {f"secret:{a}:{a + len(secret)}" for a in at}
+
+
 def test_expectation_maximisation_recovers_reliabilities():
     rng = np.random.default_rng(6)
     truth, right = rng.random(4000) < 0.4, np.array([0.95, 0.9, 0.7, 0.55, 0.6, 0.8, 0.75])

@@ -5,14 +5,14 @@ first i bytes is the encoding of the first j bytes plus one token ending at i, f
 the only token whose pair with the last token before it is left alone by the
 merges. So ``last[i]`` and ``count[i]`` of every prefix follow from shorter ones, and
 no prefix is encoded again. A text's table is the running sum of its
-pre-tokens' counts; counts at a cut inside a pre-token, truncation to a budget and
-the total are read from it.
+pre-tokens' counts; the total is its last entry, and counts at a cut inside a pre-token and the
+longest prefix within a budget come from it and the prefix counts of the pre-token in question.
 """
 
 from __future__ import annotations
 
 import json
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -125,20 +125,59 @@ class PrefixCounter:
         """Last entry of the table."""
         return sum(self.parts(text)[1])
 
+    def inside(self, text: str, table: tuple[list[int], list[int]], i: int) -> list[int]:
+        """Exact tokens of the prefixes of ``text`` that end 1, 2, .. characters into pre-token ``i``, the whole of it included.
+        The prefix may split otherwise than the whole text does: white space at its end is one
+        pre-token, and a special string or contraction that it cuts is plain text."""
+        ends, sums = table
+        start, end = ends[i], ends[i + 1]
+        piece = text[start:end]
+        run = i                                             # first pre-token of the white space that ends here or before this one
+        while run and text[ends[run - 1]:ends[run]].isspace():
+            run -= 1
+        if piece.isspace():
+            return self._char_counts(text[ends[run]:end], sums[run])[start - ends[run]:]
+        if piece in self.specials:
+            if run:
+                run -= 1                                    # its start may join what stands before it
+            while run and text[ends[run - 1]:ends[run]].isspace():
+                run -= 1
+            return [*(sums[run] + self.total(text[ends[run]:k]) for k in range(start + 1, end)), sums[i + 1]]
+        if piece[0] == "'" and piece[1:].isalpha():
+            return [*(sums[i] + self.total(text[start:k]) for k in range(start + 1, end)), sums[i + 1]]
+        counts = self._char_counts(piece, sums[i])
+        if piece[0].isspace() and run < i:
+            counts[0] = self._char_counts(text[ends[run]:start + 1], sums[run])[-1]
+        return counts
+
+    def _char_counts(self, piece: str, before: int) -> list[int]:
+        """``before`` and the tokens of the first 1, 2, .. characters of one pre-token."""
+        counts = self.prefix_counts(piece.encode("utf-8"))
+        return [before + counts[at] for at in accumulate(len(c.encode("utf-8")) for c in piece)]
+
     def count_at(self, text: str, table: tuple[list[int], list[int]], chars: int) -> int:
-        """Exact tokens of the first ``chars`` characters. Only the pre-tokens that the cut
-        can change are split anew: the one it falls in and the white space before it."""
+        """Exact tokens of the first ``chars`` characters."""
         ends, sums = table
-        k = bisect_right(ends, min(chars, ends[-1])) - 1
-        if ends[k] == chars and not (k and text[ends[k - 1]:chars].isspace()):
-            return sums[k]
-        while k and (ends[k] > chars or text[ends[k - 1]:ends[k]].isspace()):
-            k -= 1
-        return sums[k] + self.total(text[ends[k]:chars])
+        if chars <= 0 or chars >= ends[-1]:
+            return sums[0 if chars <= 0 else -1]
+        i = bisect_left(ends, chars) - 1
+        return self.inside(text, table, i)[chars - ends[i] - 1]
 
     def fit(self, text: str, table: tuple[list[int], list[int]], budget: int) -> int:
-        """Characters of the longest run of whole pre-tokens within ``budget`` tokens."""
-        return table[0][bisect_right(table[1], budget) - 1]
+        """Characters of the longest prefix of at most ``budget`` tokens, which may end inside a pre-token."""
+        ends, sums = table
+        if sums[-1] <= budget:
+            return ends[-1]
+        last = max(bisect_right(sums, budget) - 1, 0)
+        # white space, and what a special string is cut from, may take fewer tokens with the next pre-token's start
+        while last + 2 < len(ends) and (text[ends[last]:ends[last + 1]].isspace() or text[ends[last + 1]:ends[last + 2]] in self.specials):
+            last += 1
+        for i in range(last, -1, -1):
+            counts = self.inside(text, table, i)
+            for k in range(len(counts) - 1, -1, -1):
+                if counts[k] <= budget:
+                    return ends[i] + k + 1
+        return 0
 
 
 _COUNTERS: dict[str | None, PrefixCounter] = {}
@@ -186,11 +225,17 @@ def prefix_tables(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return src.mapInArrow(tables, f"id {kind}, ends array<int>, counts array<int>").withColumnRenamed("id", id_col)
 
 
-def truncate(docs: DataFrame, tables: DataFrame, budget: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with each text cut to the pre-tokens that fit ``budget`` tokens, read from
-    the tables: the number of entries within the budget is the place of the cut."""
-    within = F.size(F.filter("_counts", lambda c: c <= budget))
+def truncate(docs: DataFrame, tables: DataFrame, budget: int, id_col: str = "doc_id", text_col: str = "text",
+             path: str | None = None) -> DataFrame:
+    """``docs`` with each text cut to its longest prefix of at most ``budget`` tokens: the tables
+    name the pre-token that crosses the budget, only that one is counted again, at each of its characters."""
+    @F.arrow_udf("int")
+    def cut(texts: pa.Array, ends: pa.Array, counts: pa.Array) -> pa.Array:
+        own = counter(path)
+        return pa.array([own.fit(t.as_py(), (e.as_py(), c.as_py()), budget)
+                         for t, e, c in zip(texts, ends, counts, strict=True)], pa.int32())
+
     t = tables.select(F.col(id_col).alias("_tid"), F.col("ends").alias("_ends"), F.col("counts").alias("_counts"))
     return (docs.join(t, F.col(id_col).eqNullSafe(F.col("_tid")))
-                .withColumn(text_col, F.substring(text_of(text_col), F.lit(1), F.element_at("_ends", within)))
+                .withColumn(text_col, F.substring(text_of(text_col), F.lit(1), cut(text_of(text_col), "_ends", "_counts")))
                 .select(*docs.columns))

@@ -310,6 +310,24 @@ def test_every_prefix(texts, library):
         assert len(library.encode(t[:cut], add_special_tokens=False).ids) <= 51
 
 
+def test_longest_prefix_within_a_budget(spark, texts, library):
+    c, rng = token_counts.counter(), random.Random(8)
+    made = ["".join(rng.choice(["a", "B", "'", "s", " ", " ", "\n", "\t", "!", "7", "\u00e9", "\u65e5", "\U0001f600", "re", "<|endoftext|>", "\u3000"])
+                    for _ in range(rng.randint(1, 40))) for _ in range(300)]
+    for t in [*ODD[:5], "\u65e5\u672c\u8a9e" * 40, "=-" * 150, *made, *[x[:200] for x in list(texts.values())[:10]]]:
+        table = c.table(t)
+        want = [0, *(len(e.ids) for e in library.encode_batch([t[:k] for k in range(1, len(t) + 1)], add_special_tokens=False))]
+        assert [c.count_at(t, table, k) for k in range(len(t) + 1)] == want
+        for budget in (0, 1, 2, 3, 5, 10, 50):
+            assert c.fit(t, table, budget) == max(k for k, n in enumerate(want) if n <= budget)
+    run = "abcdefghij" * 500
+    docs = spark.createDataFrame([(1, run), (2, "one " + run), (3, None)], "doc_id long, text string")
+    out = {r["doc_id"]: r["text"] for r in token_counts.truncate(docs, token_counts.prefix_tables(docs), 50).collect()}
+    for i, t in ((1, run), (2, "one " + run)):
+        assert t.startswith(out[i]) and len(library.encode(out[i], add_special_tokens=False).ids) == 50
+    assert out[3] == ""
+
+
 def test_truncation_from_tables(spark):
     docs = spark.createDataFrame([(1, "one two three four five"), (2, None)], "doc_id long, text string")
     out = {r["doc_id"]: r["text"] for r in token_counts.truncate(docs, token_counts.prefix_tables(docs), 3).collect()}

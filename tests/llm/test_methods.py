@@ -217,6 +217,39 @@ def test_anchors_are_closed_syncmers(spark):
     assert [a["pos"] for a in r["anchors"]] == want
 
 
+def brute_likeness(a, b):
+    """Anchors (hash, place) of two texts: matches of equal rank whose neighbour is shifted as much."""
+    def keyed(x):
+        seen = Counter()
+        for h, at in sorted(x):
+            seen[h] += 1
+            yield (h, seen[h]), at
+    x, y = dict(keyed(a)), dict(keyed(b))
+    off = [d for _, d in sorted((x[k], y[k] - x[k]) for k in x.keys() & y.keys())]
+    n = sum(d in (off[i - 1] if i else None, off[i + 1] if i + 1 < len(off) else None) for i, d in enumerate(off)) if min(len(x), len(y)) > 1 else len(off)
+    return n / (len(x) + len(y) - n)
+
+
+def test_short_passages_in_long_texts(spark):
+    """A passage of one hundredth of two texts is seen, moved and among repeated anchors as well; scattered anchors don't count."""
+    rng = random.Random(9)
+    text = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+    passage, again = text(300), text(100)
+    rows = [(1, text(20_000) + passage + text(9_700)), (2, text(3_000) + passage + text(26_700)), (3, text(30_000)),
+            (4, again * 3 + text(500)), (5, text(77) + again * 3 + text(500)), (6, "short text only one"), (7, "short text only one"), (8, "few"), (9, "few")]
+    got = {r["doc_id"]: r for r in fingerprints.edited_fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    direct = fingerprints.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    held = {r["doc_id"]: sorted((a["hash"], a["pos"]) for a in r["anchors"]) for r in direct}
+    for i in range(1, 6):
+        f = got[i]["fingerprint"]
+        assert [(int(f[k:k + 8], 16), int(f[k + 8:k + 16], 16)) for k in range(0, len(f), 16)] == held[i]
+    assert 0.003 < got[1]["near_next"] < 0.008 and got[2]["near_next"] < 0.0005
+    assert got[4]["near_next"] > 0.15
+    for i in range(1, 5):
+        assert got[i]["near_next"] == pytest.approx(brute_likeness(held[i], held[i + 1]))
+    assert got[6]["near_next"] == got[8]["near_next"] == 1 and got[7]["near_next"] == 0
+
+
 def test_fingerprints_stay_native(spark):
     plan = fingerprints.edited_fingerprints(documents(spark, SF))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)

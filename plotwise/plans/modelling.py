@@ -275,27 +275,25 @@ def q_train_models(spark, sf):
     return spark.createDataFrame(rows, "model string, test_r2_log double, test_rmse_log double, error string")
 
 
-#: The boosted models and the forest take hours at ten folds on one machine (README); the operator takes any name.
-CV_MODELS = ("Linear Regression", "Ridge", "Lasso", "KNeighbors Regressor", "Decision Tree")
-
-
 @query("cv_metrics")
 def q_cv_metrics(spark, sf):
+    """Ten folds of every model, with its own defaults."""
     train, _ = splits(spark, sf)
     prep, _ = preprocessor(spark, sf)
-    rows = [md.cv_metrics(n, prep, train) for n in CV_MODELS]
+    rows = [md.cv_metrics(n, prep, train) for n in md.MODEL_NAMES]
     return spark.createDataFrame(rows)
 
 
+#: The documented grid, in Spark's names; min_samples_split has none and is left out by the operator.
+GRID = {"numTrees": [100, 200, 300], "maxDepth": [20, 25, 30], "minInstancesPerNode": [1, 2, 4]}
+
+
 @query("grid_search")
 def q_grid_search(spark, sf):
-    """Forest grid search by 3-fold R² over a reduced grid (the documented
-    100–300 trees × depth 20–30 × leaf 1–4 grid at 10 folds is 810 forest fits;
-    the operator accepts it unchanged)."""
+    """Forest grid search by R² over the documented grid, at ten folds."""
     train, _ = splits(spark, sf)
     prep, _ = preprocessor(spark, sf)
-    _, rows = md.grid_search(prep, train, {"numTrees": [10, 20], "maxDepth": [5, 10],
-                                           "minInstancesPerNode": [1, 2]}, folds=3)
+    _, rows = md.grid_search(prep, train, GRID)
     return spark.createDataFrame(rows)
 
 

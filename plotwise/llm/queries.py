@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plotwise.llm.common import documents
+from plotwise.llm.conversation_sql import OP11_SQL
+from plotwise.llm.conversations import damaged_report
 from plotwise.llm.fingerprints import edited_fingerprints
 from plotwise.llm.html_text import extract
 from plotwise.llm.line_dedup import drop_repeated_lines
@@ -124,6 +126,12 @@ SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN doc_id > first THEN 1 ELS
 FROM k LEFT JOIN s USING (key) GROUP BY doc_id
 """
 
+
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repair of every damaged conversation."""
+    return damaged_report(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
     "op2_quality": op2_quality,
@@ -135,6 +143,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_mix": op9_mix,
     "op10_line_dedup": op10_line_dedup,
+    "op11_conversations": op11_conversations,
 }
 #: op2: the rules of the cascade are evaluated in any order, so SQL needs none.
 OP2_SQL = f"""
@@ -156,4 +165,4 @@ b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_fail
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT bad AS kept FROM b
 """
 
-ORACLES: dict[str, str] = {"op2_quality": OP2_SQL, "op9_mix": OP9_SQL, "op10_line_dedup": OP10_SQL}
+ORACLES: dict[str, str] = {"op2_quality": OP2_SQL, "op9_mix": OP9_SQL, "op10_line_dedup": OP10_SQL, "op11_conversations": OP11_SQL}

@@ -11,6 +11,7 @@ from plotwise.llm.common import documents
 from plotwise.llm.conversation_sql import OP11_SQL
 from plotwise.llm.conversations import damaged_report
 from plotwise.llm.fingerprints import edited_fingerprints
+from plotwise.llm.hard_negatives import hard_negatives
 from plotwise.llm.html_text import extract
 from plotwise.llm.line_dedup import drop_repeated_lines
 from plotwise.llm.mixing import mix
@@ -132,6 +133,28 @@ def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return damaged_report(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector among all of them; every seventh label is moved on by one."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").withColumn("label", moved)
+    return hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
+OP12_SQL = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+  WHERE label IS NOT NULL AND vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS INTEGER) AS rank,
+  other AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
     "op2_quality": op2_quality,
@@ -144,6 +167,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mix": op9_mix,
     "op10_line_dedup": op10_line_dedup,
     "op11_conversations": op11_conversations,
+    "op12_hard_negatives": op12_hard_negatives,
 }
 #: op2: the rules of the cascade are evaluated in any order, so SQL needs none.
 OP2_SQL = f"""
@@ -165,4 +189,5 @@ b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_fail
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT bad AS kept FROM b
 """
 
-ORACLES: dict[str, str] = {"op2_quality": OP2_SQL, "op9_mix": OP9_SQL, "op10_line_dedup": OP10_SQL, "op11_conversations": OP11_SQL}
+ORACLES: dict[str, str] = {"op2_quality": OP2_SQL, "op9_mix": OP9_SQL, "op10_line_dedup": OP10_SQL, "op11_conversations": OP11_SQL,
+                           "op12_hard_negatives": OP12_SQL}

@@ -21,6 +21,7 @@ from plotwise.llm.pii import personal_data
 from plotwise.llm.quality import quality
 from plotwise.llm.token_counts import token_counts
 from plotwise.llm.toxicity import toxicity
+from plotwise.llm.vector_dedup import near_vectors
 
 #: Word pattern of the contracts, for DuckDB.
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -155,6 +156,11 @@ QUALIFY rank <= 10
 """
 
 
+def op13_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near-duplicate vectors."""
+    return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
     "op2_quality": op2_quality,
@@ -168,6 +174,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_line_dedup": op10_line_dedup,
     "op11_conversations": op11_conversations,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_vector_dedup": op13_vector_dedup,
 }
 #: op2: the rules of the cascade are evaluated in any order, so SQL needs none.
 OP2_SQL = f"""

@@ -1,35 +1,43 @@
 """Regression models, training, cross-validation, persistence and scoring.
 
-Estimators are Spark ML (distributed fits); the target is log1p(price).
-The scikit-learn parameter meanings are mapped explicitly:
+The target is log1p(price). Linear models and, for large tables, boosted trees are Spark ML
+estimators; trees and forests of any depth are ``operators.trees``. Parameter meanings:
 
 * Ridge α → ``regParam = α / n · std_pop(y)`` with the normal-equation solver
   (Spark scales the penalty by the label's standard deviation and by 1/n);
 * Lasso α → ``regParam = α``, ``elasticNetParam = 1``;
-* trees: unlimited depth is capped at Spark's maximum of 30;
-* the forest considers all features per split (``featureSubsetStrategy='all'``).
+* trees: depth None is unlimited; the forest considers all features per split; leaf and split
+  sizes count the copies of a bootstrap sample.
 
 k-nearest-neighbours has no Spark estimator; ``KnnModel`` searches exactly, in
 blocks of queries against blocks of training rows.
+
+Cross-validation and grid search fit all folds together (``linear``, ``trees``) and write
+their scores unit by unit, so a rerun goes on where a lost run stopped.
 """
 
 from __future__ import annotations
 
 import json
 import logging
+import re
 import time
+from dataclasses import replace
+from math import gcd
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
-                                   RandomForestRegressor)
+from pyspark.ml import PipelineModel
+from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plotwise.config import CV_FOLDS, RANDOM_STATE
+from plotwise.operators import linear, trees
+from plotwise.operators.scores import ScoreLog
 
 log = logging.getLogger(__name__)
 
-SPARK_MAX_DEPTH = 30
+#: (depth, learning rate) of the boosted models.
+BOOSTED = {"Gradient Boosting": (3, 0.1), "Gradient Boosting (depth 6)": (6, 0.3), "Gradient Boosting (depth 5)": (5, 0.1)}
 MODEL_NAMES = ["Linear Regression", "Ridge", "Lasso", "KNeighbors Regressor", "Decision Tree",
                "Random Forest", "Gradient Boosting", "Gradient Boosting (depth 6)", "Gradient Boosting (depth 5)"]
 
@@ -48,29 +56,35 @@ def make_regressor(name: str, train: DataFrame | None = None, label: str = "labe
     if name == "Lasso":
         return LinearRegression(regParam=overrides.get("alpha", 0.1), elasticNetParam=1.0, standardization=False,
                                 maxIter=overrides.get("maxIter", 1000), **common)
-    if name == "Decision Tree":
-        return DecisionTreeRegressor(maxDepth=overrides.get("maxDepth", SPARK_MAX_DEPTH), seed=seed,
-                                     maxBins=overrides.get("maxBins", 64), **common)
-    if name == "Random Forest":
-        return RandomForestRegressor(numTrees=overrides.get("numTrees", 100),
-                                     maxDepth=overrides.get("maxDepth", SPARK_MAX_DEPTH),
-                                     featureSubsetStrategy=overrides.get("featureSubsetStrategy", "all"),
-                                     minInstancesPerNode=overrides.get("minInstancesPerNode", 1),
-                                     subsamplingRate=1.0, bootstrap=True, seed=seed,
-                                     maxBins=overrides.get("maxBins", 64), **common)
-    if name.startswith("Gradient Boosting"):
-        depth, rate = {"Gradient Boosting": (3, 0.1), "Gradient Boosting (depth 6)": (6, 0.3),
-                       "Gradient Boosting (depth 5)": (5, 0.1)}[name]
+    if name in BOOSTED:
+        depth, rate = BOOSTED[name]
         return GBTRegressor(maxIter=overrides.get("maxIter", 100), maxDepth=overrides.get("maxDepth", depth),
                             stepSize=rate, seed=seed, **common)
     raise ValueError(f"unknown model {name!r}")
 
 
+def tree_job(name: str, seed: int = RANDOM_STATE, **overrides) -> trees.Job | None:
+    """The ensemble of a tree model's name; None for other models."""
+    leaf = overrides.get("minInstancesPerNode", 1)
+    if name == "Decision Tree":
+        return trees.Job(name, 1, leaf=leaf, depth=overrides.get("maxDepth"), bootstrap=False, seed=seed)
+    if name == "Random Forest":
+        return trees.Job(name, overrides.get("numTrees", 100), leaf=leaf, depth=overrides.get("maxDepth"), seed=seed)
+    if name in BOOSTED:
+        depth, rate = BOOSTED[name]
+        return trees.Job(name, overrides.get("maxIter", 100), leaf=leaf, depth=overrides.get("maxDepth", depth), bootstrap=False, seed=seed, rate=rate)
+    return None
+
+
 def fit(name: str, preprocessor: PipelineModel, train: DataFrame, label: str = "label", **overrides):
     """Fit one named model on preprocessed rows → PipelineModel(preprocess + model)."""
     feats = preprocessor.transform(train)
     if name == "KNeighbors Regressor":
         return KnnModel(preprocessor, feats, label, k=overrides.get("k", 5))
+    job = tree_job(name, **overrides)
+    # boosting is one tree after the other: in a task while the rows fit one, by Spark's estimator beyond
+    if job is not None and (job.rate is None or feats.count() <= trees.TASK_ROWS):
+        return trees.ForestModel.fit(preprocessor, feats, label, job)
     est = make_regressor(name, feats, label, **overrides)
     model = est.fit(feats)
     return PipelineModel(stages=[*preprocessor.stages, model])
@@ -108,52 +122,121 @@ def batch_predict(model, df: DataFrame, price_col: str = "predicted_price") -> D
     return predict(model, df, out=price_col).select(*keep, price_col)
 
 
+def _fold_scores(told: DataFrame) -> DataFrame:
+    """(model, fold, n, r2, mse, mae) of rows (model, fold, y, p)."""
+    e = F.col("y") - F.col("p")
+    return told.groupBy("model", "fold").agg(
+        F.count(F.lit(1)).alias("n"), (1 - F.sum(e * e) / (F.var_pop("y") * F.count("y"))).alias("r2"),
+        F.avg(e * e).alias("mse"), F.avg(F.abs(e)).alias("mae"))
+
+
+_SCORES = "model string, fold int, n long, r2 double, mse double, mae double"
+
+
+def cross_validate(names: list[str], preprocessor: PipelineModel, train: DataFrame, id_col: str = "records_id", label: str = "label",
+                   k: int = CV_FOLDS, seed: int = RANDOM_STATE, scores: ScoreLog | None = None, **overrides) -> list[dict]:
+    """Shuffled k-fold (hash folds) of several models: mean R², population std of R²,
+    sqrt(mean MSE), mean MAE. The fold scores of a model are written before the next begins."""
+    from plotwise.operators.features import fold_column
+    folded = fold_column(train, id_col, k, seed)
+    feats = trees.written(preprocessor.transform(folded).select(F.col(id_col).alias("records_id"), F.col(label).alias("label"), F.col("fold").cast("int").alias("fold"), "features"), "cv-features")
+    scores = scores or ScoreLog.of(feats.selectExpr("records_id", "label", "fold", "cast(features as string) AS features"), "cv", k, seed, tuple(sorted(overrides.items())))
+    binned: list = []
+
+    def told(name: str) -> DataFrame:
+        if name in linear.SOLVERS:
+            return linear.out_of_fold(feats, [name])
+        if name == "KNeighbors Regressor":
+            q, t = _vectors(feats, "records_id", "q", None, "fold"), _vectors(feats, "records_id", "t", "label", "fold")
+            near = _nearest_mean(q, t, overrides.get("k", 5))
+            return near.join(feats.select("records_id", "fold", "label"), F.col("qid") == F.col("records_id")) \
+                       .select(F.lit(name).alias("model"), "fold", F.col("label").alias("y"), F.col("prediction_log").alias("p"))
+        base = tree_job(name, **overrides)
+        if base is None:
+            raise ValueError(f"unknown model {name!r}")
+        if base.rate and feats.count() > trees.TASK_ROWS:
+            return _boosted_by_spark(name, feats, k, **overrides)
+        if not binned:
+            columns = trees.columns_of(preprocessor, feats)
+            binned.extend([columns, trees.written(trees.chunked(feats, columns, "records_id", "label", "fold"), "cv-chunks")])
+        jobs = [replace(base, fold=f) for f in range(k)]
+        held = trees.held_out(binned[1], jobs, binned[0], ((None, 0),))
+        return held.groupBy(F.col("job").alias("fold"), "id").agg(F.first("y").alias("y"), (F.sum("p0") / base.divisor).alias("p")) \
+                   .select(F.lit(name).alias("model"), "fold", "y", "p")
+
+    out = []
+    for name in names:
+        unit = "model=" + re.sub(r"[^A-Za-z0-9]+", "-", name).strip("-")
+        rows = scores.rows(unit, _SCORES, lambda: _fold_scores(told(name)))
+        r2, n = [r["r2"] for r in rows], len(rows)
+        mean = sum(r2) / n
+        out.append({"model": name, "cv_r2_mean": mean, "cv_r2_std": (sum((x - mean) ** 2 for x in r2) / n) ** 0.5,
+                    "cv_rmse_mean": (sum(r["mse"] for r in rows) / n) ** 0.5, "cv_mae_mean": sum(r["mae"] for r in rows) / n})
+    return out
+
+
+def _boosted_by_spark(name: str, feats: DataFrame, k: int, **overrides) -> DataFrame:
+    out = None
+    for f in range(k):
+        model = make_regressor(name, None, "label", **overrides).fit(feats.filter(F.col("fold") != f))
+        part = model.transform(feats.filter(F.col("fold") == f)).select(F.lit(name).alias("model"), "fold", F.col("label").alias("y"), F.col("prediction_log").alias("p"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def cv_metrics(name: str, preprocessor: PipelineModel, train: DataFrame, id_col: str = "records_id",
                label: str = "label", k: int = CV_FOLDS, seed: int = RANDOM_STATE, **overrides) -> dict:
-    """Shuffled k-fold (hash folds): mean R², population std of R²,
-    sqrt(mean MSE), mean MAE — each fold's metrics from one aggregate."""
+    """``cross_validate`` of one model."""
+    return cross_validate([name], preprocessor, train, id_col, label, k, seed, **overrides)[0]
+
+
+def grid_search(preprocessor: PipelineModel, train: DataFrame, grid: dict, label: str = "label", folds: int = CV_FOLDS,
+                seed: int = RANDOM_STATE, scores: ScoreLog | None = None, refit: bool = True, id_col: str = "records_id"):
+    """Forest grid search by mean R² over the folds: (best model or None, one row per setting).
+    Keys: numTrees, maxDepth, minInstancesPerNode, minSamplesSplit.
+
+    Only the leaf size changes how trees grow. The most trees of the greatest depth are grown per fold and
+    leaf size; fewer trees are the first of them, and less depth or larger split
+    sizes stop earlier on the same way down. A fold's scores are written before the next fold begins.
+    """
     from plotwise.operators.features import fold_column
-    folded = fold_column(train, id_col, k, seed).cache()
-    r2s, mses, maes = [], [], []
-    try:
-        for f in range(k):
-            m = fit(name, preprocessor, folded.filter(F.col("fold") != f), label, **overrides)
-            s = predict(m, folded.filter(F.col("fold") == f), log_space=True)
-            e = F.col(label) - F.col("prediction")
-            r = s.agg(F.avg(e * e).alias("mse"), F.avg(F.abs(e)).alias("mae"),
-                      (1 - F.sum(e * e) / (F.var_pop(label) * F.count(label))).alias("r2")).first()
-            r2s.append(r["r2"]); mses.append(r["mse"]); maes.append(r["mae"])
-    finally:
-        folded.unpersist()
-    mean_r2 = sum(r2s) / k
-    return {"model": name, "cv_r2_mean": mean_r2,
-            "cv_r2_std": (sum((x - mean_r2) ** 2 for x in r2s) / k) ** 0.5,
-            "cv_rmse_mean": (sum(mses) / k) ** 0.5, "cv_mae_mean": sum(maes) / k}
-
-
-def grid_search(preprocessor: PipelineModel, train: DataFrame, grid: dict, label: str = "label",
-                folds: int = CV_FOLDS, seed: int = RANDOM_STATE, parallelism: int = 4):
-    """Forest grid search by R² with Spark's CrossValidator. Keys: numTrees,
-    maxDepth, minInstancesPerNode. ``min_samples_split`` has no Spark twin and
-    is left out of the grid, with a log line."""
-    if "min_samples_split" in grid:
-        log.warning("min_samples_split has no Spark twin; the grid is searched without it")
-        grid = {k: v for k, v in grid.items() if k != "min_samples_split"}
-    from pyspark.ml.evaluation import RegressionEvaluator
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-    feats = preprocessor.transform(train).cache()
-    rf = make_regressor("Random Forest", feats, label)
-    b = ParamGridBuilder()
-    for key, values in grid.items():
-        b = b.addGrid(getattr(rf, key), values)
-    ev = RegressionEvaluator(labelCol=label, predictionCol="prediction_log", metricName="r2")
-    cv = CrossValidator(estimator=rf, estimatorParamMaps=b.build(), evaluator=ev, numFolds=folds, seed=seed,
-                        parallelism=parallelism)
-    model = cv.fit(feats)
-    feats.unpersist()
+    unknown = set(grid) - {"numTrees", "maxDepth", "minInstancesPerNode", "minSamplesSplit"}
+    if unknown:
+        raise ValueError(f"no such parameters: {sorted(unknown)}")
+    counts = sorted(grid.get("numTrees", [100]))
+    leaves = grid.get("minInstancesPerNode", [1])
+    cuts = tuple((d, s) for d in grid.get("maxDepth", [None]) for s in grid.get("minSamplesSplit", [0]))
+    deepest = None if any(d is None for d, _ in cuts) else max(d for d, _ in cuts)
+    common = gcd(*counts)
+    step = max(d for d in range(1, trees.BLOCK_TREES + 1) if common % d == 0)
+    feats = trees.written(preprocessor.transform(fold_column(train, id_col, folds, seed))
+                          .select(F.col(id_col).alias("records_id"), F.col(label).alias("label"), F.col("fold").cast("int").alias("fold"), "features"), "grid-features")
+    scores = scores or ScoreLog.of(feats.selectExpr("records_id", "label", "fold", "cast(features as string) AS features"), "grid", sorted(grid.items()), folds, seed)
+    schema = "leaf int, trees int, cut int, fold int, r2 double"
+    columns = trees.columns_of(preprocessor, feats)
+    chunks = trees.written(trees.chunked(feats, columns, "records_id", "label", "fold"), "grid-chunks")
+
+    def fold_rows(f: int) -> DataFrame:
+        jobs = [trees.Job("Random Forest", counts[-1], fold=f, leaf=leaf, depth=deepest, seed=seed, step=step) for leaf in leaves]
+        held = trees.held_out(chunks, jobs, columns, cuts)
+        sums = held.groupBy("job", "id").agg(F.first("y").alias("y"), *[
+            (F.sum(F.when(F.col("tree") < n, F.col(f"p{i}"))) / n).alias(f"p{i}_{n}") for i in range(len(cuts)) for n in counts])
+        square = F.var_pop("y") * F.count("y")
+        wide = sums.groupBy("job").agg(*[(1 - F.sum((F.col("y") - F.col(f"p{i}_{n}")) ** 2) / square).alias(f"s{i}_{n}") for i in range(len(cuts)) for n in counts])
+        each = F.array(*[F.struct(F.lit(n).alias("trees"), F.lit(i).alias("cut"), F.col(f"s{i}_{n}").alias("r2")) for i in range(len(cuts)) for n in counts])
+        leaf = F.element_at(F.array(*[F.lit(x) for x in leaves]), F.col("job") + 1)
+        return wide.select(leaf.alias("leaf"), F.explode(each).alias("e")).select("leaf", "e.trees", "e.cut", F.lit(f).alias("fold"), "e.r2")
+
+    told = [r for f in range(folds) for r in scores.rows(f"fold={f}", schema, lambda: fold_rows(f))]
     rows = []
-    for pm, score in zip(cv.getEstimatorParamMaps(), model.avgMetrics):
-        rows.append({**{p.name: v for p, v in pm.items()}, "cv_r2": float(score)})
+    for n in counts:
+        for i, (d, s) in enumerate(cuts):
+            for leaf in leaves:
+                r2 = [r["r2"] for r in told if (r["leaf"], r["trees"], r["cut"]) == (leaf, n, i)]
+                setting = {"numTrees": n, "maxDepth": d, "minInstancesPerNode": leaf, "minSamplesSplit": s}
+                rows.append({**{key: setting[key] for key in grid}, "cv_r2": sum(r2) / len(r2)})
+    best = max(rows, key=lambda r: r["cv_r2"])
+    model = fit("Random Forest", preprocessor, train, label, **{key: v for key, v in best.items() if key != "cv_r2"}) if refit else None
     return model, rows
 
 
@@ -169,18 +252,20 @@ def feature_importance(model: PipelineModel, names: list[str], top_n: int | None
 
 def save_model(model, path: str, metadata: dict, spark) -> None:
     """Preprocessing and estimator together + one-row JSON metadata."""
-    if isinstance(model, KnnModel):
-        model.save(f"{path}/knn")
+    kind = "knn" if isinstance(model, KnnModel) else "trees" if isinstance(model, trees.ForestModel) else "pipeline"
+    if kind != "pipeline":
+        model.save(f"{path}/{kind}")
     else:
         model.write().overwrite().save(f"{path}/model")
-    metadata = {**metadata, "kind": "knn" if isinstance(model, KnnModel) else "pipeline"}
+    metadata = {**metadata, "kind": kind}
     spark.createDataFrame([(json.dumps(metadata, default=str),)], "metadata string") \
          .write.mode("overwrite").json(f"{path}/metadata")
 
 
 def load_model(path: str, spark):
     meta = json.loads(spark.read.json(f"{path}/metadata").first()["metadata"])
-    model = KnnModel.load(f"{path}/knn", spark) if meta.get("kind") == "knn" else PipelineModel.load(f"{path}/model")
+    own = {"knn": KnnModel, "trees": trees.ForestModel}.get(meta.get("kind"))
+    model = own.load(f"{path}/{meta['kind']}", spark) if own else PipelineModel.load(f"{path}/model")
     return model, meta
 
 
@@ -236,43 +321,59 @@ class KnnModel:
     def transform(self, df: DataFrame) -> DataFrame:
         """``df`` with ``prediction_log``; rows are told apart by the id column."""
         from pyspark.ml.functions import vector_to_array
-        from pyspark.sql import Window
-        k = self.k
-        q = self.preprocessor.transform(df).select(F.col(self.id_col).alias("qid"), vector_to_array(self.features).alias("qv")) \
+        q = self.preprocessor.transform(df).select(F.col(self.id_col).alias("qid"), vector_to_array(self.features).alias("qv"), F.lit(-1).alias("qg")) \
             .dropDuplicates(["qid"]).checkpoint()
-        nq, nt = q.count(), self.train.count()
-        ids = (q.schema["qid"].dataType.simpleString(), self.train.schema["tid"].dataType.simpleString())
-        n_blocks = max(1, -(-nt // KNN_BLOCK_ROWS))
-        queries = _blocks(q, nq, "qid", "qv").select(F.col("rows").alias("queries"), F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"))
-        pairs = queries.join(_blocks(self.train, nt, "tid", "tv", "y"), "block")
-
-        def nearest(batches):
-            import numpy as np
-            import pyarrow as pa
-            for batch in batches:
-                for i in range(batch.num_rows):
-                    qs, ts = batch.column("queries")[i].values, batch.column("rows")[i].values
-                    qid, tid, y = qs.field("qid").to_numpy(zero_copy_only=False), ts.field("tid").to_numpy(zero_copy_only=False), ts.field("y").to_numpy(zero_copy_only=False)
-                    a = qs.field("qv").flatten().to_numpy().reshape(len(qid), -1)
-                    b = ts.field("tv").flatten().to_numpy().reshape(len(tid), -1)
-                    bb, top = (b * b).sum(axis=1), min(k, len(tid))
-                    out_q, out_t, out_d, out_y = [], [], [], []
-                    for row in range(len(qid)):
-                        # the expanded square rounds: it only narrows down, the choice is made on exact differences
-                        rough = bb - 2.0 * (b @ a[row]) + a[row] @ a[row]
-                        limit = np.partition(rough, top - 1)[top - 1] + 1e-9 * (a[row] @ a[row] + bb.max() + 1.0)
-                        near = np.flatnonzero(rough <= limit)
-                        d = ((b[near] - a[row]) ** 2).sum(axis=1)
-                        best = near[np.lexsort((tid[near], d))[:top]]
-                        out_q += [qid[row]] * top
-                        out_t += tid[best].tolist()
-                        out_d += ((b[best] - a[row]) ** 2).sum(axis=1).tolist()
-                        out_y += y[best].tolist()
-                    yield pa.RecordBatch.from_arrays([pa.array(out_q), pa.array(out_t), pa.array(out_d, pa.float64()), pa.array(out_y, pa.float64())],
-                                                     names=["qid", "tid", "d", "y"])
-
-        best = pairs.mapInArrow(nearest, f"qid {ids[0]}, tid {ids[1]}, d double, y double")
-        # row_number <= k is planned as a group limit before the shuffle
-        rank = F.row_number().over(Window.partitionBy("qid").orderBy("d", "tid"))
-        preds = best.withColumn("rn", rank).filter(F.col("rn") <= k).groupBy("qid").agg(F.avg("y").alias("prediction_log"))
+        preds = _nearest_mean(q, self.train.withColumn("tg", F.lit(-2)), self.k)
         return df.join(preds.withColumnRenamed("qid", "_qid"), F.col(self.id_col) == F.col("_qid"), "left").drop("_qid")
+
+
+def _vectors(feats: DataFrame, id_col: str, side: str, label: str | None, group: str) -> DataFrame:
+    from pyspark.ml.functions import vector_to_array
+    cols = [F.col(id_col).alias(f"{side}id"), vector_to_array("features").alias(f"{side}v"), F.col(group).alias(f"{side}g")]
+    return feats.select(*cols, *([F.col(label).cast("double").alias("y")] if label else []))
+
+
+def _nearest_mean(q: DataFrame, train: DataFrame, k: int) -> DataFrame:
+    """(qid, prediction_log): mean y of the k nearest of ``train`` (tid, tv, tg, y) whose group
+    isn't the query's own, for every row of ``q`` (qid, qv, qg)."""
+    from pyspark.sql import Window
+    nq, nt = q.count(), train.count()
+    ids = (q.schema["qid"].dataType.simpleString(), train.schema["tid"].dataType.simpleString())
+    n_blocks = max(1, -(-nt // KNN_BLOCK_ROWS))
+    queries = _blocks(q, nq, "qid", "qv", "qg").select(F.col("rows").alias("queries"), F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"))
+    pairs = queries.join(_blocks(train, nt, "tid", "tv", "y", "tg"), "block")
+
+    def nearest(batches):
+        import numpy as np
+        import pyarrow as pa
+        for batch in batches:
+            for i in range(batch.num_rows):
+                qs, ts = batch.column("queries")[i].values, batch.column("rows")[i].values
+                qid, tid, y = qs.field("qid").to_numpy(zero_copy_only=False), ts.field("tid").to_numpy(zero_copy_only=False), ts.field("y").to_numpy(zero_copy_only=False)
+                a = qs.field("qv").flatten().to_numpy().reshape(len(qid), -1)
+                b = ts.field("tv").flatten().to_numpy().reshape(len(tid), -1)
+                qg, tg = qs.field("qg").to_numpy(zero_copy_only=False), ts.field("tg").to_numpy(zero_copy_only=False)
+                bb = (b * b).sum(axis=1)
+                out_q, out_t, out_d, out_y = [], [], [], []
+                for row in range(len(qid)):
+                    # the expanded square rounds: it only narrows down, the choice is made on exact differences
+                    rough = np.where(tg == qg[row], np.inf, bb - 2.0 * (b @ a[row]) + a[row] @ a[row])
+                    top = min(k, int(np.isfinite(rough).sum()))
+                    if not top:
+                        continue
+                    limit = np.partition(rough, top - 1)[top - 1] + 1e-9 * (a[row] @ a[row] + bb.max() + 1.0)
+                    near = np.flatnonzero(rough <= limit)
+                    d = ((b[near] - a[row]) ** 2).sum(axis=1)
+                    best = near[np.lexsort((tid[near], d))[:top]]
+                    out_q += [qid[row]] * top
+                    out_t += tid[best].tolist()
+                    out_d += ((b[best] - a[row]) ** 2).sum(axis=1).tolist()
+                    out_y += y[best].tolist()
+                yield pa.RecordBatch.from_arrays([pa.array(out_q, qs.field("qid").type), pa.array(out_t, ts.field("tid").type), pa.array(out_d, pa.float64()), pa.array(out_y, pa.float64())],
+                                                 names=["qid", "tid", "d", "y"])
+
+    best = pairs.mapInArrow(nearest, f"qid {ids[0]}, tid {ids[1]}, d double, y double")
+    # row_number <= k is planned as a group limit before the shuffle
+    rank = F.row_number().over(Window.partitionBy("qid").orderBy("d", "tid"))
+    preds = best.withColumn("rn", rank).filter(F.col("rn") <= k).groupBy("qid").agg(F.avg("y").alias("prediction_log"))
+    return preds

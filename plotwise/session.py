@@ -57,6 +57,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A path that stays the same from session to session, in the folder that spark.checkpoint.dir
+    names (without it, this session's own folder): what is written there outlives a lost run."""
+    own = ensure_checkpoint_dir(spark)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    return os.path.join(configured or own, "plotwise", name)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path inside the shared checkpoint directory."""
     base = ensure_checkpoint_dir(spark)

@@ -63,22 +63,3 @@ def test_ols_equals_the_normal_equations(spark, frames):
     beta = np.linalg.lstsq(x, np.array([r[4] for r in rows]), rcond=None)[0]
     assert all(got[r[0]] == pytest.approx(float(x[i] @ beta), abs=1e-6) for i, r in enumerate(rows))
 
-
-def test_registered_searches_are_whole(monkeypatch):
-    """The queries hand the operators the documented grid at ten folds, and all nine models."""
-    from math import prod
-    from types import SimpleNamespace
-
-    from plotwise.plans import modelling as pm
-    seen = []
-    monkeypatch.setattr(pm, "splits", lambda spark, sf: ("train", None))
-    monkeypatch.setattr(pm, "preprocessor", lambda spark, sf: ("prep", None))
-    monkeypatch.setattr(pm.md, "grid_search", lambda prep, train, grid, folds=pm.md.CV_FOLDS: (None, seen.append((grid, folds)) or []))
-    monkeypatch.setattr(pm.md, "cv_metrics", lambda name, prep, train, k=pm.md.CV_FOLDS: {"model": name, "k": k})
-    session = SimpleNamespace(createDataFrame=lambda rows: rows)
-    pm.q_grid_search(session, "")
-    grid, folds = seen[0]
-    assert folds == 10 and prod(map(len, grid.values())) == 27
-    assert grid == {"numTrees": [100, 200, 300], "maxDepth": [20, 25, 30], "minInstancesPerNode": [1, 2, 4]}
-    rows = pm.q_cv_metrics(session, "")
-    assert [r["model"] for r in rows] == pm.md.MODEL_NAMES and len(rows) == 9 and all(r["k"] == 10 for r in rows)

@@ -1,14 +1,20 @@
 """Mixing sources to target weights by entropy balancing.
 
-Every document gets a rate (expected copies). Among all rates that meet the
-token target of each source, entropy balancing takes the one nearest to the
-prior rates in token-weighted relative entropy, with rates capped. Its
-solution is an exponential tilt, rate = min(cap, prior * exp(lambda[source])),
-and lambda solves a convex dual: for each source, the derivative is
-tokens taken - target. Documents of equal source and prior share a rate, so
-they are pre-aggregated into cells; each Newton step is one grouped sum over
-the cells. Rates are then rounded into whole copies: everybody gets the whole
-part, and documents in hash order get one more until the target is met.
+Every document gets a rate (expected copies). Among all rates that meet the token
+target of each source, entropy balancing takes the one of least relative entropy to the
+prior rates, with rates capped. Its solution is an exponential tilt by the constrained quantity, the
+tokens: rate = min(cap, prior * exp(lambda[source] * size / mean size)). Each lambda
+solves a convex dual whose slope is tokens taken - target. Documents of equal
+source, prior and size share a rate, so they are pre-aggregated into cells, and each Newton step
+is one grouped sum over all cells of all sources.
+
+Rates become whole copies: everybody gets the whole part. The fractions are
+added up over a source's cells in order of size, and a cell gets as many further
+copies as the sum passes whole numbers: their tokens then differ from what was asked by no more
+than the largest document. Two repairs per source move the one copy that brings its total nearest to its target.
+In a cell, where all documents are equally long, those of least hash get the copies.
+
+Each step is written and read back, so that every plan holds a join or two.
 """
 
 from __future__ import annotations
@@ -17,162 +23,181 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plotwise.llm.common import materialise, text_of, word_count
+from plotwise.operators.windows import global_index
 
 #: Fixed values of the production mix: weights by source in code-point order, repeating; share of all sizes; most copies.
 WEIGHTS = (3, 1, 2)
 BUDGET = 1.5
 CAP = 2.0
-#: Leading hex digits of the hash that split a source into buckets for the running sum.
-BUCKET_DIGITS = 3
-#: Newton stops when every source is met to this share of its target (a step of a
-#: convex one-dimensional dual converges quadratically, so the loop ends by itself).
-TOLERANCE = 1e-12
+#: A source is met when its tokens are this share of its target from it, or its bracket is this narrow.
+TOLERANCE = 1e-13
+#: Rates are kept in billionths, so that their sums are exact.
+UNITS = 1_000_000_000
 REPAIRS = 2
+#: Documents of a cell that are ranked together.
+RANKED = 1024
+#: Cells with more than one in so many of all documents are joined by broadcast; there are fewer than that many.
+HOT_SHARE = 1000
+
+
+def _same(a: str, b: str) -> Column:
+    return F.col(a).eqNullSafe(F.col(b))
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, budget: float = BUDGET, cap: float = CAP) -> DataFrame:
     """source, source_size, target: ``budget`` times all tokens shared by weight;
     a target stops at ``cap`` times its source and the excess is shared again.
 
-    With sources in order of (cap / weight), those before the first one that
-    the common level does not fill are full; the rest get level * weight.
+    Weights go by the rank of a source. The common level at which the shares add up is found by filling: sources
+    whose cap lies below it are full and leave the rest to the others, until no more are.
+    Only two sums a round come to the driver.
     """
+    by_source = materialise(sizes.groupBy("_source").agg(F.sum("_size").alias("source_size")), "mix-sources")
+    named = by_source.filter("_source is not null")
+    ranked = global_index(named, ["_source"], "_rank").unionByName(
+        by_source.filter("_source is null").withColumn("_rank", F.lit(named.count()).cast("long")))
     w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), (F.col("_rank") % len(weights) + 1).cast("int"))
-    by_source = (sizes.groupBy("_source").agg(F.sum("_size").alias("source_size"))
-                      .withColumn("_rank", F.row_number().over(Window.orderBy(F.col("_source").asc_nulls_last())) - 1)
-                      .withColumn("_w", w).withColumn("_cap", F.col("source_size") * F.lit(float(cap))))
-    order = Window.orderBy(F.col("_cap") / F.col("_w"), "_rank")
-    upto, rest, every = (order.rowsBetween(Window.unboundedPreceding, -1),
-                         order.rowsBetween(Window.currentRow, Window.unboundedFollowing),
-                         Window.partitionBy(F.lit(0)))
-    levels = (by_source.withColumn("_all", F.sum("source_size").over(every))
-                       .withColumn("_level", (F.col("_all") * budget - F.coalesce(F.sum("_cap").over(upto), F.lit(0.0)))
-                                   / F.sum("_w").over(rest))
-                       .withColumn("_fit", F.when(F.col("_cap") / F.col("_w") >= F.col("_level"), F.col("_level")))
-                       .withColumn("_at", F.min(F.when(F.col("_fit").isNotNull(), F.struct(F.col("_cap") / F.col("_w"), "_rank", "_fit"))).over(every)))
-    level = F.col("_at._fit")
-    return levels.select("_source", "source_size",
-                         F.when(level.isNull(), F.col("_cap")).otherwise(F.least("_cap", level * F.col("_w"))).alias("target"))
+    facts = materialise(ranked.select("_source", "source_size", w.alias("_w"), (F.col("source_size") * F.lit(float(cap))).alias("_cap")), "mix-facts")
+    every, weight = facts.agg(F.sum("source_size"), F.sum("_w")).first()
+    level, full = (every * budget / weight if weight else 0.0), -1
+    while True:
+        over = F.col("_cap") <= F.lit(level) * F.col("_w")
+        n, held, open_ = facts.agg(F.count(F.when(over, 1)), F.sum(F.when(over, F.col("_cap"))), F.sum(F.when(~over, F.col("_w")))).first()
+        if n == full or not open_:
+            break
+        level, full = (every * budget - (held or 0.0)) / open_, n
+    return facts.select("_source", "source_size", F.least("_cap", F.lit(level) * F.col("_w")).alias("target"))
 
 
 def balance(cells: DataFrame, targets: DataFrame, cap: float = CAP) -> DataFrame:
-    """Newton on the dual: cells (_source, _prior, _mass) and targets
-    (_source, target) give _source, _lambda. Each source's dual is one-dimensional
-    and convex; an empty source or a target of 0 or of all capped mass has its
-    solution at the border and is set there."""
-    state = (targets.join(cells.groupBy("_source").agg(F.sum("_mass").alias("_all")).withColumnRenamed("_source", "_s"),
-                          F.col("_source").eqNullSafe(F.col("_s")), "left").drop("_s")
-                    .withColumn("_lambda", F.when(F.col("target") <= 0, F.lit(-float("inf")))
-                                .when(F.col("target") >= cap * F.col("_all"), F.lit(float("inf"))).otherwise(F.lit(0.0)))
-                    .withColumn("_open", (F.col("target") > 0) & (F.col("target") < cap * F.col("_all"))))
-    state = (state.withColumn("_lo", F.lit(-float("inf"))).withColumn("_hi", F.lit(float("inf")))
-                  .withColumn("_lambda", F.col("_lambda").cast("double")).checkpoint())
-    c = cells.withColumnRenamed("_source", "_cs")
-    tilt = F.col("_prior") * F.exp("_lambda")
-    gap = F.col("target") - F.col("_taken")
+    """Newton on the dual: cells (_source, _prior, _x, _mass), _x the scaled size and _mass the cell's tokens,
+    and targets (_source, target) give _source, _lambda. Each source's dual is one-dimensional and convex; a
+    target of 0 or of all capped mass has its solution at the border and is set there."""
+    mass = cells.groupBy(F.col("_source").alias("_s")).agg(F.sum("_mass").alias("_all"))
+    state = targets.join(mass, _same("_source", "_s"), "left").select(
+        "_source", "target", F.when((F.col("target") <= 0) | F.col("_all").isNull(), -F.lit(float("inf")))
+        .when(F.col("target") >= cap * F.col("_all") * (1 - 1e-12), F.lit(float("inf"))).otherwise(F.lit(0.0)).alias("_lambda"),
+        F.lit(-float("inf")).alias("_lo"), F.lit(float("inf")).alias("_hi"))
+    state = materialise(state.withColumn("_open", F.abs("_lambda") < float("inf")), "mix-newton")
+    c = cells.select(F.col("_source").alias("_cs"), "_prior", "_x", "_mass")
     while not state.filter("_open").isEmpty():
-        sums = (state.filter("_open").join(c, F.col("_cs").eqNullSafe(F.col("_source")))
-                     .groupBy("_source").agg(F.sum(F.col("_mass") * F.least(tilt, F.lit(cap))).alias("_taken"),
-                                             F.sum(F.when(tilt < cap, F.col("_mass") * tilt).otherwise(0.0)).alias("_slope"))
-                     .withColumnRenamed("_source", "_s"))
-        # the root stays between _lo and _hi: a step out of it (the cap flattens the slope) becomes half of what is left
-        step = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.when(F.col("_slope") > 0, gap / F.col("_slope")).otherwise(F.signum(gap))))
-        held = F.when((F.col("_lambda") + F.col("_step") <= F.col("_lo")) | (F.col("_lambda") + F.col("_step") >= F.col("_hi")),
-                      (F.col("_lo") + F.col("_hi")) / 2).otherwise(F.col("_lambda") + F.col("_step"))
-        state = (state.join(sums, F.col("_source").eqNullSafe(F.col("_s")), "left").drop("_s")
-                      .withColumn("_step", step)
+        rate = F.col("_prior") * F.exp(F.col("_lambda") * F.col("_x"))
+        sums = (c.join(state.filter("_open").select("_source", "_lambda"), _same("_cs", "_source"))
+                 .groupBy(F.col("_cs").alias("_s")).agg(F.sum(F.col("_mass") * F.least(rate, F.lit(cap))).alias("_taken"),
+                                                        F.sum(F.when(rate < cap, F.col("_mass") * F.col("_x") * rate).otherwise(0.0)).alias("_slope")))
+        gap = F.col("target") - F.col("_taken")
+        step = F.when(F.col("_slope") > 0, gap / F.col("_slope")).otherwise(F.signum(gap))
+        bounded = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), step))
+        aim = F.col("_lambda") + F.col("_step")
+        # the root stays between _lo and _hi: a step out of it (the cap bends the slope) becomes half of what is left
+        held = F.when((aim <= F.col("_lo")) | (aim >= F.col("_hi")), (F.col("_lo") + F.col("_hi")) / 2).otherwise(aim)
+        near = (F.abs(gap) <= TOLERANCE * F.col("target")) | (F.col("_hi") - F.col("_lo") <= TOLERANCE * F.abs("_lambda"))
+        moved = (state.join(sums, _same("_source", "_s"), "left").withColumn("_step", bounded)
                       .withColumn("_lo", F.when(F.col("_open") & (gap > 0), F.col("_lambda")).otherwise(F.col("_lo")))
-                      .withColumn("_hi", F.when(F.col("_open") & (gap < 0), F.col("_lambda")).otherwise(F.col("_hi")))
-                      .withColumn("_next", F.when(F.col("_open"), held).otherwise(F.col("_lambda")))
-                      .withColumn("_open", F.col("_open") & (F.abs(F.col("_next") - F.col("_lambda")) > TOLERANCE)
-                                  & (F.abs(gap) > TOLERANCE * F.col("target")))
-                      .withColumn("_lambda", F.col("_next"))
-                      .drop("_taken", "_slope", "_step", "_next").checkpoint())
+                      .withColumn("_hi", F.when(F.col("_open") & (gap < 0), F.col("_lambda")).otherwise(F.col("_hi"))))
+        state = materialise(moved.select("_source", "target", F.when(F.col("_open") & ~near, held).otherwise(F.col("_lambda")).alias("_lambda"),
+                                         "_lo", "_hi", (F.col("_open") & ~near & (held != F.col("_lambda"))).alias("_open")), "mix-newton")
     return state.select("_source", "_lambda")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         prior_col: str | None = None, weights=WEIGHTS, budget: float = BUDGET, cap: float = CAP) -> DataFrame:
-    """One row per row of ``docs``: its id, size, source, source_size, target,
-    copies and taken (copies * size).
+    """One row per row of ``docs``: its id, size, source, source_size, target, copies, taken
+    (copies * size) and text_hash.
 
-    Size is the number of words; null or empty text has size 0 and takes 0
-    words. A null source is a source of its own, last in order. Ties in the
-    hash order are broken by id and size, so reruns agree; rows equal in both are treated
-    alike. Extra columns are not read. An empty table gives an empty table.
+    Size is the number of words; null or empty text has size 0 and takes 0 words and no copy beyond the whole part of
+    its prior. A null source is a source of its own, last in order; a null prior is 1. Rows are told apart by id and
+    text; rows equal in both are ranked as they come, so their copies may be exchanged among them, and reruns agree on all
+    others. Extra columns are not read. An empty table gives an empty table.
     """
     prior = F.lit(1.0) if prior_col is None else F.coalesce(F.col(prior_col).cast("double"), F.lit(1.0))
+    name = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
     slim = materialise(docs.select(
         F.col(id_col).alias("_id"), F.col(source_col).alias("_source"), word_count(text_of(text_col)).alias("_size"),
-        prior.alias("_prior"), F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))).alias("_hash")), "mix-sizes")
-    targets = source_targets(slim, weights, budget, cap).checkpoint()
-    cells = slim.groupBy("_source", "_prior").agg(F.sum("_size").cast("double").alias("_mass"))
-    lam = balance(cells, targets.select("_source", "target"), cap).withColumnRenamed("_source", "_s")
-    per = (targets.join(lam, F.col("_source").eqNullSafe(F.col("_s")), "left").drop("_s")
-                  .withColumnRenamed("_source", "_ts"))
-    rate = F.least(F.lit(float(cap)), F.when(F.col("_lambda") == float("-inf"), F.lit(0.0))
-                   .otherwise(F.col("_prior") * F.exp("_lambda")))
-    rows = (slim.join(per, F.col("_source").eqNullSafe(F.col("_ts")), "left").drop("_ts")
-                .withColumn("_rate", rate)
-                .withColumn("_base", F.floor(F.col("_rate") + 1e-9))
-                .withColumn("_frac", (F.col("_rate") - F.col("_base") > 1e-9) & (F.col("_size") > 0)))
-    rows = _extras(rows)
+        prior.alias("_prior"), F.xxhash64(text_of(text_col)).alias("_text"), F.md5(name).alias("_hash")), "mix-sizes")
+    targets = source_targets(slim, weights, budget, cap)
+    targets = materialise(targets.withColumnRenamed("_source", "_ts"), "mix-targets")
+    counts = slim.groupBy("_source", "_prior", "_size").agg(F.count(F.lit(1)).alias("_n"))
+    # sizes are scaled by their mean in the source, which keeps lambdas near 1
+    means = slim.groupBy(F.col("_source").alias("_ms")).agg(F.avg("_size").alias("_mean"))
+    cells = materialise(counts.join(means, _same("_source", "_ms")).select(
+        "_source", "_prior", "_size", "_n", F.when(F.col("_mean") > 0, F.col("_size") / F.col("_mean")).otherwise(0.0).alias("_x"),
+        (F.col("_n") * F.col("_size")).cast("double").alias("_mass")), "mix-cells")
+    lam = balance(cells.filter("_size > 0"), targets.select(F.col("_ts").alias("_source"), "target"), cap).withColumnRenamed("_source", "_ls")
+    tilt = F.when(F.col("_x") == 0, F.col("_prior")).when(F.col("_lambda") == -float("inf"), F.lit(0.0)).otherwise(F.col("_prior") * F.exp(F.col("_lambda") * F.col("_x")))
+    rated = (cells.join(lam, _same("_source", "_ls")).join(targets, _same("_source", "_ts"))
+                  .withColumn("_rate", F.round(F.least(F.lit(cap), tilt) * UNITS).cast("long"))
+                  .select("_source", "_prior", "_size", "_n", "source_size", "target", F.floor(F.col("_rate") / UNITS).alias("_base"), (F.col("_rate") % UNITS).alias("_part")))
+    rounded = _rounded(materialise(rated, "mix-rates"), cap)
+    return _dealt(slim, rounded).select(
+        F.col("_id").alias(id_col), F.col("_size").alias("size"), F.col("_source").alias(source_col), "source_size", "target",
+        F.col("_copies").cast("int").alias("copies"), (F.col("_copies") * F.col("_size")).cast("long").alias("taken"), F.col("_text").alias("text_hash"))
+
+
+def _rounded(cells: DataFrame, cap: float) -> DataFrame:
+    """Cells with ``_extra``, the number of their documents that get one copy more than ``_base``.
+
+    A source's cells, one per size and prior, are summed in one window each; documents don't enter."""
+    order = Window.partitionBy("_source").orderBy("_size", "_prior").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    parts = F.when(F.col("_size") > 0, F.col("_n") * F.col("_part")).otherwise(0).cast("decimal(38,0)")
+    upto = F.sum(parts).over(order)
+    half = F.lit(UNITS // 2)
+    passed = F.floor((upto + half) / UNITS) - F.floor((upto - parts + half) / UNITS)
+    c = materialise(cells.withColumn("_extra", F.least(passed.cast("long"), F.col("_n"))), "mix-extras")
+    taken = F.sum((F.col("_n") * F.col("_base") + F.col("_extra")) * F.col("_size"))
     for _ in range(REPAIRS):
-        rows = _repair(rows)
-    return rows.select(F.col("_id").alias(id_col), F.col("_size").alias("size"), F.col("_source").alias(source_col),
-                       "source_size", "target", (F.col("_base") + F.col("_extra")).cast("int").alias("copies"),
-                       ((F.col("_base") + F.col("_extra")) * F.col("_size")).cast("long").alias("taken"))
-
-
-def _missing(rows: DataFrame, taken: Column) -> DataFrame:
-    """Per source: words still missing from its target."""
-    return (rows.groupBy("_source", "target").agg(F.sum(taken).alias("_sum"))
-                .select(F.col("_source").alias("_ms"), (F.col("target") - F.col("_sum")).alias("_missing")))
-
-
-def _extras(rows: DataFrame) -> DataFrame:
-    """One more copy in hash order until the target is met. Running sums come in
-    two steps, over buckets of the hash and inside the one bucket per source
-    where the target is crossed, so no window holds a whole source."""
-    need = _missing(rows, F.col("_base") * F.col("_size"))
-    bucket = F.substring("_hash", 1, BUCKET_DIGITS)
-    sums = rows.filter("_frac").withColumn("_b", bucket).groupBy("_source", "_b").agg(F.sum("_size").alias("_in"))
-    before = (sums.withColumn("_before", F.sum("_in").over(Window.partitionBy("_source").orderBy("_b")) - F.col("_in"))
-                  .join(need, F.col("_source").eqNullSafe(F.col("_ms"))).drop("_ms")
-                  .select(F.col("_source").alias("_bs"), F.col("_b").alias("_bb"), "_before", "_missing",
-                          (F.col("_before") + F.col("_in") <= F.col("_missing")).alias("_whole"),
-                          ((F.col("_before") < F.col("_missing")) & (F.col("_before") + F.col("_in") > F.col("_missing"))).alias("_cut")))
-    r = (rows.withColumn("_b", bucket)
-             .join(before, F.col("_source").eqNullSafe(F.col("_bs")) & (F.col("_b") == F.col("_bb")), "left")
-             .drop("_bs", "_bb"))
-    cut = r.filter(F.col("_frac") & F.col("_cut"))
-    inside = F.sum("_size").over(Window.partitionBy("_source", "_b").orderBy("_hash", "_id", "_size")
-                                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    # the row that crosses the target comes in when that leaves less missing
-    cut = cut.withColumn("_extra", (F.col("_before") + inside - F.col("_size") / 2 <= F.col("_missing")).cast("int"))
-    plain = (r.filter(~(F.col("_frac") & F.coalesce("_cut", F.lit(False))))
-              .withColumn("_extra", (F.col("_frac") & F.coalesce("_whole", F.lit(False))).cast("int")))
-    return materialise(plain.unionByName(cut).drop("_b", "_before", "_missing", "_whole", "_cut"), "mix-extras")
-
-
-def _repair(rows: DataFrame) -> DataFrame:
-    """Toggle, per source, the one extra copy that leaves least missing."""
-    miss = _missing(rows, (F.col("_base") + F.col("_extra")) * F.col("_size")).filter(F.abs("_missing") >= 1)
-    after = F.abs(F.col("_missing") + F.when(F.col("_extra") == 1, F.col("_size")).otherwise(-F.col("_size")))
-    best = (rows.filter("_frac").join(miss, F.col("_source").eqNullSafe(F.col("_ms")))
-                .filter(after < F.abs("_missing"))
-                .groupBy("_source").agg(F.min(F.struct(after.alias("a"), "_hash", "_id", "_size")).alias("_best"))
-                .select(F.col("_source").alias("_xs"), F.col("_best._id").alias("_xid"), F.col("_best._size").alias("_xsize")))
-    hit = (F.col("_source").eqNullSafe(F.col("_xs")) & F.col("_id").eqNullSafe(F.col("_xid"))
-           & (F.col("_size") == F.col("_xsize")))
-    return (rows.join(best, hit, "left")
-                .withColumn("_extra", F.when(F.col("_xsize").isNotNull() & F.col("_frac"), 1 - F.col("_extra")).otherwise(F.col("_extra")))
-                .drop("_xs", "_xid", "_xsize"))
-
-
-def apply_mix(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` repeated as often as ``mixed`` says (0 drops them)."""
-    copies = mixed.groupBy(F.col(id_col).alias("mid")).agg(F.max("copies").alias("copies")).filter("copies > 0")
-    return (docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("rid"))
-                .join(copies, F.col("rid").eqNullSafe(F.col("mid")))
-                .withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*"))
+        missing = c.groupBy(F.col("_source").alias("_ms")).agg((F.first("target") - taken).alias("_missing"))
+        # one copy more where a document still has room, one less where one was added
+        tries = c.join(missing, _same("_source", "_ms")).filter("_part > 0 and _size > 0").withColumn(
+            "_move", F.explode(F.array(F.when(F.col("_extra") < F.col("_n"), F.lit(1)), F.when(F.col("_extra") > 0, F.lit(-1))))).filter("_move is not null")
+        after = F.abs(F.col("_missing") - F.col("_move") * F.col("_size"))
+        best = (tries.filter(after < F.abs("_missing")).groupBy(F.col("_source").alias("_bs"))
+                     .agg(F.min(F.struct(after.alias("a"), "_size", "_prior", "_move")).alias("_best"))
+                     .select("_bs", F.col("_best._size").alias("_bsize"), F.col("_best._prior").alias("_bprior"), F.col("_best._move").alias("_bmove")))
+        hit = _same("_source", "_bs") & (F.col("_size") == F.col("_bsize")) & (F.col("_prior") == F.col("_bprior"))
+        c = materialise(c.join(best, hit, "left").withColumn("_extra", F.col("_extra") + F.coalesce("_bmove", F.lit(0))).drop("_bs", "_bsize", "_bprior", "_bmove"), "mix-repair")
+    return c
+
+
+def _with_cells(rows: DataFrame, cells: DataFrame) -> DataFrame:
+    """Rows with their cell's facts. Cells that hold more than one in ``HOT_SHARE`` of all rows, fewer than that many, are broadcast."""
+    total = cells.agg(F.sum("_n")).first()[0] or 0
+    c = cells.select(F.struct("_source", "_prior", "_size").alias("_k"), "_n", "source_size", "target", "_base", "_extra")
+    keyed = rows.withColumn("_rk", F.struct("_source", "_prior", "_size"))
+    hot, cold = c.filter(F.col("_n") * HOT_SHARE > total), c.filter(F.col("_n") * HOT_SHARE <= total)
+    same = F.col("_rk").eqNullSafe(F.col("_k"))
+    out = keyed.join(F.broadcast(hot), same).unionByName(
+        keyed.join(F.broadcast(hot.select(F.col("_k").alias("_h"))), F.col("_rk").eqNullSafe(F.col("_h")), "left_anti").join(cold, same))
+    return out.drop("_k", "_rk")
+
+
+def _dealt(slim: DataFrame, cells: DataFrame) -> DataFrame:
+    """Rows with ``_copies``. Cells of which only some documents get the further copy are cut by hash into buckets of about
+    ``RANKED``; counts say in which bucket the last copy falls, and only there documents are ranked."""
+    share = F.conv(F.substring("_hash", 1, 12), 16, 10).cast("double") / float(1 << 48)
+    rows = _with_cells(slim, cells).withColumn("_all", F.when(F.col("_extra") == F.col("_n"), 1).when(F.col("_extra") == 0, 0))
+    rows = materialise(rows.withColumn("_bucket", F.floor(share * F.ceil(F.col("_n") / RANKED))), "mix-rows")
+    some = rows.filter("_all is null")
+    per = some.groupBy("_source", "_prior", "_size", "_bucket").agg(F.count(F.lit(1)).alias("_in"), F.first("_extra").alias("_want"))
+    before = F.sum("_in").over(Window.partitionBy("_source", "_prior", "_size").orderBy("_bucket")) - F.col("_in")
+    left = per.select(F.struct("_source", "_prior", "_size", "_bucket").alias("_k"), (F.col("_want") - before).alias("_left"))
+    placed = some.withColumn("_rk", F.struct("_source", "_prior", "_size", "_bucket")).join(left, F.col("_rk").eqNullSafe(F.col("_k")))
+    rank = F.row_number().over(Window.partitionBy("_rk").orderBy("_hash", F.col("_id").asc_nulls_first(), "_text"))
+    ranked = placed.withColumn("_all", (rank <= F.col("_left")).cast("int")).drop("_rk", "_k", "_left")
+    return rows.filter("_all is not null").unionByName(ranked).withColumn("_copies", F.col("_base") + F.col("_all"))
+
+
+def apply_mix(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` repeated as often as ``mixed`` says (0 drops them).
+
+    Rows are matched by id and text. Where several rows share both, they get together
+    as many copies as ``mix`` gave them together, spread evenly. Null ids match each other; an empty table stays empty."""
+    copies = mixed.groupBy(F.struct(F.col(id_col).alias("id"), F.col("text_hash").alias("text")).alias("mk")).agg(
+        F.sum("copies").alias("together"), F.count(F.lit(1)).alias("rows"))
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), F.struct(F.col(id_col).alias("id"), F.xxhash64(text_of(text_col)).alias("text")).alias("rk"))
+    met = keyed.join(copies.filter("together > 0"), F.col("rk").eqNullSafe(F.col("mk")))
+    nth = F.row_number().over(Window.partitionBy("rk").orderBy("row"))
+    alone = met.filter("rows = 1").withColumn("copies", F.col("together"))
+    shared = met.filter("rows > 1").withColumn("copies", F.floor(F.col("together") / F.col("rows")) + (nth <= F.col("together") % F.col("rows")).cast("long"))
+    return (alone.unionByName(shared).filter("copies > 0")
+                 .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies").cast("long")))).select("row.*"))

@@ -75,40 +75,49 @@ def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _MIX_REPAIR = """
-m{i} AS (SELECT source, target, target - sum((base + extra) * size) AS missing FROM x{i} GROUP BY source, target),
-b{i} AS (SELECT r.source, r.hash, r.doc_id, r.size FROM x{i} r JOIN m{i} ON r.source IS NOT DISTINCT FROM m{i}.source
-  WHERE r.frac AND abs(m{i}.missing) >= 1
-    AND abs(m{i}.missing + CASE WHEN extra = 1 THEN size ELSE -size END) < abs(m{i}.missing)
-  QUALIFY row_number() OVER (PARTITION BY r.source ORDER BY abs(m{i}.missing + CASE WHEN extra = 1 THEN size ELSE -size END),
-    r.hash, r.doc_id, r.size) = 1),
-x{j} AS (SELECT r.doc_id, r.source, r.size, r.hash, r.source_size, r.target, r.base, r.frac,
-    CASE WHEN r.frac AND b.doc_id IS NOT NULL THEN 1 - r.extra ELSE r.extra END AS extra
-  FROM x{i} r LEFT JOIN b{i} b ON r.source IS NOT DISTINCT FROM b.source AND r.doc_id = b.doc_id AND r.size = b.size)"""
+m{i} AS (SELECT source, min(target) - sum((n * base + extra) * size) AS missing FROM x{i} GROUP BY source),
+b{i} AS (SELECT x.source, x.size, v.move FROM x{i} x JOIN m{i} m ON x.source IS NOT DISTINCT FROM m.source, (VALUES (1), (-1)) v(move)
+  WHERE part > 0 AND size > 0 AND ((move = 1 AND extra < n) OR (move = -1 AND extra > 0)) AND abs(missing - move * size) < abs(missing)
+  QUALIFY row_number() OVER (PARTITION BY x.source ORDER BY abs(missing - move * size), size, move) = 1),
+x{j} AS (SELECT x.source, x.size, x.n, x.source_size, x.target, x.base, x.part, x.extra + coalesce(b.move, 0) AS extra
+  FROM x{i} x LEFT JOIN b{i} b ON x.source IS NOT DISTINCT FROM b.source AND x.size = b.size)"""
+
+#: Newton's root by halving: the dual's slope rises with lambda.
+_MIX_TAKEN = "list_sum(list_transform(xs, lambda x, i: ms[i] * least(2.0::DOUBLE, exp(least(({0}) * x, 700.0::DOUBLE)))))"
 
 OP9_SQL = f"""
-WITH d AS (SELECT doc_id, source, md5(CAST(doc_id AS VARCHAR)) AS hash,
+WITH RECURSIVE d AS (SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS hash,
     CAST(len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS BIGINT) AS size FROM documents),
-s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rk
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, avg(size) AS mean, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rk
   FROM d GROUP BY source),
 w AS (SELECT *, CAST([3, 1, 2][1 + rk % 3] AS DOUBLE) AS w, source_size * 2.0::DOUBLE AS cap FROM s),
 v AS (SELECT *, (CAST(sum(source_size) OVER () AS BIGINT) * 1.5::DOUBLE
     - coalesce(sum(cap) OVER (ORDER BY cap / w, rk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0::DOUBLE))
     / sum(w) OVER (ORDER BY cap / w, rk ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
 f AS (SELECT level AS fit FROM v WHERE cap / w >= level ORDER BY cap / w, rk LIMIT 1),
-t AS (SELECT source, source_size, CASE WHEN fit IS NULL THEN cap ELSE least(cap, fit * w) END AS target FROM v LEFT JOIN f ON true),
-r AS (SELECT d.*, t.source_size, t.target,
-    CASE WHEN t.target <= 0 THEN 0 WHEN t.target >= 2.0::DOUBLE * t.source_size THEN 2 ELSE CAST(floor(t.target / t.source_size + 1e-9) AS BIGINT) END AS base,
-    t.target > 0 AND t.target < 2.0::DOUBLE * t.source_size AND d.size > 0
-      AND t.target / t.source_size - floor(t.target / t.source_size + 1e-9) > 1e-9 AS frac
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
-m AS (SELECT source, target - sum(base * size) AS missing FROM r GROUP BY source, target),
-x0 AS (SELECT r.*, CASE WHEN frac AND
-    sum(CASE WHEN frac THEN size ELSE 0 END) OVER (PARTITION BY r.source ORDER BY hash, doc_id, size ROWS UNBOUNDED PRECEDING)
-      - size / 2.0::DOUBLE <= m.missing THEN 1 ELSE 0 END AS extra
-  FROM r JOIN m ON r.source IS NOT DISTINCT FROM m.source),
+t AS (SELECT source, source_size, mean, CASE WHEN fit IS NULL THEN cap ELSE least(cap, fit * w) END AS target FROM v LEFT JOIN f ON true),
+c AS (SELECT d.source, d.size, count(*) AS n, min(source_size) AS source_size, min(target) AS target,
+    CASE WHEN min(mean) > 0 THEN d.size / min(mean) ELSE 0.0::DOUBLE END AS x FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source GROUP BY d.source, d.size),
+g AS (SELECT source, min(target) AS target, list(x) AS xs, list(CAST(n * size AS DOUBLE)) AS ms, sum(n * size) AS mass FROM c WHERE size > 0 GROUP BY source),
+h AS (SELECT source, target, xs, ms, -1e6::DOUBLE AS lo, 1e6::DOUBLE AS hi, 0 AS i FROM g WHERE target > 0 AND target < 2.0::DOUBLE * mass * (1 - 1e-12::DOUBLE)
+  UNION ALL
+  SELECT source, target, xs, ms, CASE WHEN low THEN (lo + hi) / 2 ELSE lo END, CASE WHEN low THEN hi ELSE (lo + hi) / 2 END, i + 1
+  FROM (SELECT *, {_MIX_TAKEN.format("(lo + hi) / 2")} < target AS low FROM h WHERE i < 130)),
+l AS (SELECT source, CASE WHEN target <= 0 THEN -1e6::DOUBLE ELSE 1e6::DOUBLE END AS lam FROM g WHERE target <= 0 OR target >= 2.0::DOUBLE * mass * (1 - 1e-12::DOUBLE)
+  UNION ALL SELECT source, (lo + hi) / 2 FROM h WHERE i = 130),
+r AS (SELECT c.source, c.size, c.n, source_size, target, CASE WHEN x = 0 THEN 1000000000
+    ELSE CAST(round(least(2.0::DOUBLE, exp(least(coalesce(lam, 0) * x, 700.0::DOUBLE))) * 1000000000) AS BIGINT) END AS rate
+  FROM c LEFT JOIN l ON c.source IS NOT DISTINCT FROM l.source),
+y AS (SELECT *, rate // 1000000000 AS base, rate % 1000000000 AS part,
+    CAST(sum(CASE WHEN size > 0 THEN n * (rate % 1000000000) ELSE 0 END) OVER (PARTITION BY source ORDER BY size ROWS UNBOUNDED PRECEDING) AS HUGEINT) AS upto FROM r),
+x0 AS (SELECT source, size, n, source_size, target, base, part, least(n, CASE WHEN size > 0
+    THEN (upto + 500000000) // 1000000000 - (upto - n * part + 500000000) // 1000000000 ELSE 0 END) AS extra FROM y),
 {_MIX_REPAIR.format(i=0, j=1)},
 {_MIX_REPAIR.format(i=1, j=2)}
-SELECT doc_id, size, source_size, target, CAST((base + extra) * size AS BIGINT) AS taken, CAST(base + extra AS INTEGER) AS copies FROM x2
+SELECT doc_id, size, source_size, target, CAST(copies * size AS BIGINT) AS taken, CAST(copies AS INTEGER) AS copies FROM (
+  SELECT d.doc_id, d.size, source_size, target,
+    base + CASE WHEN row_number() OVER (PARTITION BY d.source, d.size ORDER BY hash, doc_id NULLS FIRST) <= extra THEN 1 ELSE 0 END AS copies
+  FROM d JOIN x2 ON d.source IS NOT DISTINCT FROM x2.source AND d.size = x2.size)
 """
 
 

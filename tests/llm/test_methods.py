@@ -450,13 +450,79 @@ def test_targets_are_met(spark):
         assert abs(taken[name] - t) <= max(0.03 * t, 5) and t <= 2 * size + 1e-6
 
 
+def newton_by_hand(prior, x, mass, target, cap=2.0):
+    """The root of tokens taken - target, by plain bisection in numpy."""
+    lo, hi = -1e3, 1e3
+    for _ in range(200):
+        lam = (lo + hi) / 2
+        lo, hi = (lam, hi) if (mass * np.minimum(cap, prior * np.exp(np.minimum(lam * x, 700)))).sum() < target else (lo, lam)
+    return (lo + hi) / 2
+
+
 def test_newton_solves_the_capped_dual(spark):
-    cells = spark.createDataFrame([("a", 1.0, 100.0), ("a", 0.1, 300.0), ("b", 1.0, 50.0), ("c", 1.0, 10.0), ("d", 1.0, 10.0)], "_source string, _prior double, _mass double")
-    targets = spark.createDataFrame([("a", 260.0), ("b", 20.0), ("c", 0.0), ("d", 20.0)], "_source string, target double")
-    lam = {r["_source"]: r["_lambda"] for r in mixing.balance(cells, targets).collect()}
-    took = sum(m * min(2.0, p * np.exp(lam["a"])) for p, m in ((1.0, 100.0), (0.1, 300.0)))
-    assert took == pytest.approx(260) and np.exp(lam["b"]) == pytest.approx(0.4)
+    rng = np.random.default_rng(4)
+    rows, targets, want = [], [], {}
+    for name, share in (("a", 1.3), ("b", 0.4), ("c", 0.0), ("d", 2.0), ("e", 1.97), (None, 0.9)):
+        x, prior = rng.exponential(1.0, 40), rng.choice([0.3, 1.0, 1.5], 40)
+        mass = np.round(x * 100 * rng.integers(1, 9, 40))
+        rows += [(name, float(p), float(a), float(m)) for p, a, m in zip(prior, x, mass)]
+        targets.append((name, float(share * mass.sum())))
+        want[name] = (prior, x, mass, share * mass.sum())
+    cells = spark.createDataFrame(rows, "_source string, _prior double, _x double, _mass double")
+    lam = {r["_source"]: r["_lambda"] for r in mixing.balance(cells, spark.createDataFrame(targets, "_source string, target double")).collect()}
     assert lam["c"] == -np.inf and lam["d"] == np.inf
+    for name in ("a", "b", "e", None):
+        prior, x, mass, target = want[name]
+        assert (mass * np.minimum(2.0, prior * np.exp(lam[name] * x))).sum() == pytest.approx(target, rel=1e-11)
+        assert lam[name] == pytest.approx(newton_by_hand(*want[name]), rel=1e-9)
+
+
+def test_mix_equals_its_definition(spark):
+    """Rates by bisection in numpy, then whole copies: the tilt differs with size, and the nearest entropy is kept."""
+    rows = [r for r in mixing.mix(documents(spark, SF)).collect()]
+    by = {}
+    for r in rows:
+        by.setdefault(r["source"], []).append(r)
+    tilted = 0
+    for group in by.values():
+        size = np.array([r["size"] for r in group], dtype=float)
+        target, copies = group[0]["target"], np.array([r["copies"] for r in group])
+        if not 0 < target < 2 * size.sum() * (1 - 1e-9):
+            continue
+        x = size / size.mean()
+        rate = np.minimum(2.0, np.exp(newton_by_hand(np.ones(len(x)), x, size, target) * x))
+        assert (size * rate).sum() == pytest.approx(target, rel=1e-9)
+        tilted += len(np.unique(np.round(rate[size > 0], 6))) > 1
+        # what a document gets is its rate rounded up or down, but for two repairs, and totals along the sizes stay with the rates
+        assert (np.abs(copies - rate)[size > 0] < 1 + 1e-9).all()
+        order = np.argsort(size, kind="stable")
+        ends = np.append(size[order][1:] != size[order][:-1], True)
+        assert np.abs(np.cumsum((copies - rate)[order])[ends]).max() <= 0.5 + 2 + 1e-6
+    assert tilted >= 1
+
+
+def test_rows_that_share_an_id(spark):
+    """Copies go to rows by id and text; equal rows share theirs."""
+    docs = spark.createDataFrame([(1, "a b c", "s"), (1, "a b c", "s"), (1, "other words are here", "t"), (2, "x y", "s"), (None, "n n", "t"), (3, None, "s")],
+                                 "doc_id long, text string, source string")
+    mixed = mixing.mix(docs)
+    assert mixed.count() == 6
+    got = Counter((r["doc_id"], r["text"]) for r in mixing.apply_mix(docs, mixed).collect())
+    want = Counter()
+    for r in mixed.collect():
+        text = {("s", 3): "a b c", ("t", 4): "other words are here", ("s", 2): "x y", ("t", 2): "n n", ("s", 0): None}[r["source"], r["size"]]
+        want[r["doc_id"], text] += r["copies"]
+    assert got == +want
+
+
+def test_large_cells_are_cut_by_hash(spark, monkeypatch):
+    """One size held by two thirds of all documents, ranked in small buckets: as many copies as with one bucket, by least hash."""
+    docs = spark.range(600).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, F.concat(F.lit("w "), F.repeat(F.lit("v "), (F.col("id") % 50).cast("int"))))
+                                   .otherwise("one two three").alias("text"), F.lit("s").alias("source"))
+    whole = sorted(map(tuple, mixing.mix(docs, budget=0.7).collect()))
+    monkeypatch.setattr(mixing, "RANKED", 8)
+    assert sorted(map(tuple, mixing.mix(docs, budget=0.7).collect())) == whole
+    assert 0 < sum(r[4 + 1] for r in whole if r[1] == 3) < 400 * 2
 
 
 def test_excess_is_shared_again(spark):
@@ -472,7 +538,8 @@ def test_excess_is_shared_again(spark):
 def test_sql_twin(spark, key):
     import duckdb
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    for table in ("documents", "conversations", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
     res = con.execute(q.ORACLES[key])
     names = [d[0] for d in res.description]
     want = sorted(str(sorted(zip(names, r, strict=True))) for r in res.fetchall())

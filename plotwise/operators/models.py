@@ -112,6 +112,8 @@ def predict(model, df: DataFrame, out: str = "prediction", log_space: bool = Fal
     scored = scored.withColumn(out, F.expm1("prediction_log"))
     if clip:
         from plotwise.operators.clean import clip_prediction
+        # clipping asks for the least score of all: scores are written, so no row is scored twice
+        scored = trees.written(scored.select(*df.columns, "prediction_log", out), "scores")
         scored = clip_prediction(scored, out, mode="reference")
     return scored
 

@@ -265,6 +265,40 @@ def q_train_models(spark, sf):
     return spark.createDataFrame(rows, "model string, test_r2_log double, test_rmse_log double, error string")
 
 
+def prediction_table(spark, sf):
+    """Prices and predictions of every trained model, written once per session as a table
+    partitioned by model and split: records_id, y, p."""
+    def build():
+        path = scratch_path(spark, "predictions")
+        for name in md.MODEL_NAMES:
+            model = trained(spark, sf, name)
+            for split, rows in zip(("train", "test", "holdout"), three_splits(spark, sf)):
+                scored = md.predict(model, rows.select("records_id", *CONTINUOUS, *CATEGORICAL, "label"))
+                scored.select("records_id", F.expm1("label").alias("y"), F.col("prediction").alias("p"), F.lit(name).alias("model"), F.lit(split).alias("split")) \
+                    .write.mode("append").partitionBy("model", "split").parquet(path)
+        return path
+    return _memo(spark, ("predictions", sf), build)
+
+
+@query("trained_evaluation")
+def q_trained_evaluation(spark, sf):
+    """Every trained model on the rows it learned from, on those kept back and on the last year, in prices and in logs."""
+    from plotwise.operators import evaluate as ev
+    preds = spark.read.parquet(prediction_table(spark, sf))
+    original = ev.regression_metrics(preds, prefix="", include_mape=True, group_by=["model", "split"]).withColumn("scale", F.lit("original"))
+    logs = preds.withColumns({"y": F.log1p("y"), "p": F.log1p("p")})
+    return original.unionByName(ev.regression_metrics(logs, prefix="", include_mape=False, group_by=["model", "split"]).withColumn("scale", F.lit("log")), allowMissingColumns=True)
+
+
+@query("trained_comparison")
+def q_trained_comparison(spark, sf):
+    """The trained models ranked by R² on the last year."""
+    from plotwise.operators import evaluate as ev
+    from plotwise.operators.windows import model_ranking
+    holdout = spark.read.parquet(prediction_table(spark, sf)).filter("split = 'holdout'")
+    return model_ranking(ev.regression_metrics(holdout, prefix="test", include_mape=True, group_by=["model"]), "test_r2", "model")
+
+
 @query("cv_metrics")
 def q_cv_metrics(spark, sf):
     """Ten folds of every model, with its own defaults."""

@@ -14,7 +14,7 @@ from plotwise.sources import proxies
 from plotwise.sources.proxies import ALL_STATIONS
 
 SINCE = "1996-01-01"
-RADIUS_KM = 5.0  # proxy stations are sparse: no property lies within 1 km of one
+RADIUS_KM = 1.0
 EXCLUDE_IDS = ["3", "17"]
 
 

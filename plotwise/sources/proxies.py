@@ -29,6 +29,7 @@ PTYPE_TO_AMENITY = {
 }
 ALL_STATIONS = "A0: All Stations"
 NODE_SPREAD = 0.01
+STATION_SPREAD = 0.006      # a station stands up to 0.67 km north and east of the sales of every 15th customer
 HIGHWAY_CLASSES = ["motorway", "trunk", "primary", "secondary", "tertiary",
                    "residential", "service", "footway", "cycleway", "path"]
 
@@ -100,7 +101,8 @@ def amenities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    k = F.col("s_suppkey") * 37 + 4321
+    k = F.col("s_suppkey") * 15
+    north, east = (((F.col("s_suppkey") * m) % 1000).cast("double") / 1000.0 * STATION_SPREAD for m in (7919, 104729))
     return s.select(
         F.col("s_suppkey").alias("osm_id"),
         F.col("s_suppkey").cast("string").alias("station_id"),
@@ -108,8 +110,8 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("rail station").alias("feature_type"),
         F.concat(F.lit("Line "), (F.col("s_nationkey") % 3).cast("string")).alias("line_name"),
         (F.col("s_nationkey") % 3).alias("train_id"),
-        lat_of(k).alias("lat"),
-        lon_of(k).alias("lon"),
+        (lat_of(k) + north).alias("lat"),
+        (lon_of(k) + east).alias("lon"),
     )
 
 
@@ -331,8 +333,8 @@ SELECT s_suppkey AS osm_id, CAST(s_suppkey AS VARCHAR) AS station_id, s_name AS
        'rail station' AS feature_type,
        'Line ' || CAST(s_nationkey % 3 AS VARCHAR) AS line_name,
        s_nationkey % 3 AS train_id,
-       {_lat_sql('s_suppkey * 37 + 4321')} AS lat,
-       {_lon_sql('s_suppkey * 37 + 4321')} AS lon
+       {_lat_sql('s_suppkey * 15')} + CAST((s_suppkey * 7919) % 1000 AS DOUBLE) / 1000.0 * {_d(STATION_SPREAD)} AS lat,
+       {_lon_sql('s_suppkey * 15')} + CAST((s_suppkey * 104729) % 1000 AS DOUBLE) / 1000.0 * {_d(STATION_SPREAD)} AS lon
 FROM supplier
 """
 

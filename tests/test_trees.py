@@ -291,3 +291,27 @@ def test_registered_searches_are_whole(spark):
         pm.GRID = whole
     rows = pm.q_cv_metrics(spark, "/root/testdata/sf0.001").collect()
     assert [r["model"] for r in rows] == models.MODEL_NAMES and all(r["cv_rmse_mean"] > 0 for r in rows)
+
+
+def test_trained_models_are_evaluated_on_their_predictions(spark):
+    """The written table, read by DuckDB with the metrics' SQL; splits are those that the models were fitted with."""
+    import duckdb
+
+    from plotwise.plans import evaluation as pe, modelling as pm
+    sf = "/root/testdata/sf0.001"
+    got = {(r["model"], r["split"], r["scale"]): r for r in pm.q_trained_evaluation(spark, sf).collect()}
+    path = pm.prediction_table(spark, sf)
+    duck = duckdb.connect()
+    duck.sql(f"CREATE VIEW t AS SELECT * FROM read_parquet('{path}/**/*.parquet', hive_partitioning = true)")
+    for scale, y, p in (("original", "y", "p"), ("log", "ln(1 + y)", "ln(1 + p)")):
+        rel = duck.sql(f"SELECT model, split, {pe._metrics_sql(y, p)} FROM t GROUP BY model, split")
+        rows = [dict(zip(rel.columns, r)) for r in rel.fetchall()]
+        assert len(rows) == 27 and {r["model"] for r in rows} == set(models.MODEL_NAMES)
+        for r in rows:
+            mine = got[r["model"], r["split"], scale]
+            assert all(mine[k] == pytest.approx(r[k], rel=1e-8) for k in ("mse", "rmse", "mae", "r2", "n"))
+    best = duck.sql(f"SELECT model FROM (SELECT model, {pe._metrics_sql()} FROM t WHERE split = 'holdout' GROUP BY model) ORDER BY r2 DESC, model").fetchall()
+    assert [r["model"] for r in pm.q_trained_comparison(spark, sf).orderBy("rank").collect()] == [m for m, in best]
+    n = {s: f.count() for s, f in zip(("train", "test", "holdout"), pm.three_splits(spark, sf))}
+    assert all(got[m, s, "log"]["n"] == n[s] for m in models.MODEL_NAMES for s in n)
+    assert got["Decision Tree", "train", "log"]["r2"] > 0.9 > got["Lasso", "train", "log"]["r2"]

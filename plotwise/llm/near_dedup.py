@@ -8,10 +8,11 @@ bucket, and a pair becomes a link only by exact Jaccard of the full shingle
 sets, 100 * |A & B| >= 75 * |A | B|.
 
 Copies with equal shingle sets are one node from the start. Buckets of up to
-eight nodes are compared in full; a larger one is searched from its hub, the member that
-meets most others. Members that don't join the hub's component are compared further only
-where that can matter: what two of them share lies in the hub or beyond it, the first part is
-bounded by what each has of the hub, and where that is too little they must share a shingle
+eight nodes are compared in full; a larger one belongs to the group of its hub, the member that
+meets most others. A group's core is what most of its members hold, and its representative
+the member that has most of it; all members are held against that one. Those that don't join its component are compared
+further only where that can matter: what two of them share lies in the core or beyond it, the first part is
+bounded by what each has of the core, and where that is too little they must share a shingle
 beyond it, by which they are joined. So a group of near copies costs one pair per member, and
 every pair that shares a band and could link is verified unless other links join it.
 """
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plotwise.llm.common import materialise
@@ -38,6 +39,7 @@ COORDS = ROWS * BANDS
 LEAST_EQUAL = 72
 FEW = 8                 # buckets of up to this size are compared in full
 HOPS = 3                # links that a label travels between rounds
+CLASSES = 1 << 20       # hash classes of ids that a broadcast may name
 BLOCK = 512             # shingles per block of the signature's inner loop
 
 _U64 = np.uint64
@@ -194,19 +196,19 @@ def _links(src: DataFrame, heads: DataFrame) -> DataFrame:
     score = many.groupBy("node").agg(F.sum("n").alias("score"))
     hubs = many.join(score, "node").groupBy("bucket").agg(F.max(F.struct("score", "node")).alias("h")) \
                .select(F.col("bucket").alias("hb"), F.col("h.node").alias("hub"))
-    star = _star(src, facts, many.join(hubs, F.col("bucket") == F.col("hb")).filter("node != hub").select("hub", "node").distinct())
+    star = _star(src, facts, many.join(hubs, F.col("bucket") == F.col("hb")).select("hub", "node").distinct())
     links = materialise(_verify(src, facts, small).unionByName(
-        star.filter(F.col("common") * 7 >= (F.col("size") + F.col("hub_size")) * 3).select(F.col("hub").alias("src"), F.col("node").alias("dst"))), "near-links")
+        star.filter("node != rep").filter(F.col("common") * 7 >= (F.col("size") + F.col("rep_size")) * 3).select(F.col("rep").alias("src"), F.col("node").alias("dst"))), "near-links")
     labels = _labels(links)
-    of_hub = labels.select(F.col("labelled").alias("f"), F.col("label").alias("hub_label"))
-    placed = (star.join(labels, F.col("node") == F.col("labelled"), "left").join(of_hub, F.col("hub") == F.col("f"), "left")
-                  .select("hub", "node", "size", "common", "beyond", F.coalesce("label", "node").alias("label"),
-                          (F.coalesce("label", "node") != F.coalesce("hub_label", "hub")).alias("apart")))
+    of_rep = labels.select(F.col("labelled").alias("f"), F.col("label").alias("rep_label"))
+    placed = (star.join(labels, F.col("node") == F.col("labelled"), "left").join(of_rep, F.col("rep") == F.col("f"), "left")
+                  .select("hub", "node", "size", "core", "beyond", F.coalesce("label", "node").alias("label"),
+                          (F.coalesce("label", "node") != F.coalesce("rep_label", "rep")).alias("apart")))
     placed = materialise(placed, "near-placed")
-    ahead = placed.filter("apart").select(*[F.col(c).alias("l" + c) for c in ("hub", "node", "size", "common", "beyond", "label")])
-    # pairs that the hub's shingles alone could link, then pairs that need others in common and so share one of the least
-    within = (placed.join(ahead.filter("lcommon * 100 >= lsize * 75"), (F.col("hub") == F.col("lhub")) & (F.col("label") != F.col("llabel"))
-                          & (F.least("common", "lcommon") * 7 >= (F.col("size") + F.col("lsize")) * 3)))
+    ahead = placed.filter("apart").select(*[F.col(c).alias("l" + c) for c in ("hub", "node", "size", "core", "beyond", "label")])
+    # pairs that the core's shingles alone could link, then pairs that need others in common and so share one of the least
+    within = (placed.join(ahead.filter("lcore * 100 >= lsize * 75"), (F.col("hub") == F.col("lhub")) & (F.col("label") != F.col("llabel"))
+                          & (F.least("core", "lcore") * 7 >= (F.col("size") + F.col("lsize")) * 3)))
     beyond = (placed.select("hub", "node", "label", F.explode("beyond").alias("s"))
                     .join(ahead.select("lhub", "lnode", "llabel", F.explode("lbeyond").alias("ls")),
                           (F.col("hub") == F.col("lhub")) & (F.col("s") == F.col("ls")) & (F.col("label") != F.col("llabel"))))
@@ -216,27 +218,42 @@ def _links(src: DataFrame, heads: DataFrame) -> DataFrame:
 
 
 def _star(src: DataFrame, facts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(hub, node) with size, hub_size, common (shingles of the node in the hub) and beyond, some of its others.
-
-    Two members x, y of a bucket have in common at most min(common_x, common_y)
-    of the hub's shingles; a link asks for 3/7 of the sum of their sizes, so for at
-    least 3/4 size_x - common_x shingles beyond the hub. Two sets that share k elements
-    meet within the first size - k + 1 of each in any order: ``beyond`` holds these.
+    """(hub, node): a group by its hub and its members, with rep, its member that has most of the core; size, rep_size,
+    common (the node's shingles that rep has), core (those in the core) and beyond, some of the others.
+
+    The core of a group is what more than half of its members hold, so at most twice their mean size; shingles that an
+    edit of one member destroyed are still in it. Two members x, y have at most min(core_x, core_y) core
+    shingles in common; a link asks for 3/7 of the sum of their sizes, so for at least 3/4 size_x - core_x
+    beyond the core. Two sets that share k elements meet within the first size - k + 1 of each in any order:
+    ``beyond`` holds these.
     """
-    ids = facts.select("id", "node").join(pairs.select("node").unionByName(pairs.select(F.col("hub").alias("node"))).distinct(), "node", "left_semi")
+    ids = facts.select("id", "node").join(pairs.select("node").distinct(), "node", "left_semi")
     sets = _sets_of(src, ids.select(F.col("id").alias("wid")), "near-star-sets")
-    own, hub = sets.select("node", F.col("shingles").alias("x")), sets.select(F.col("node").alias("hub"), F.col("shingles").alias("h"))
-    least = F.greatest(F.lit(1), F.ceil(F.col("size") * 0.75 - F.col("common"))).cast("int")
-    return materialise(pairs.join(own, "node").join(hub, "hub")
-                       .select("hub", "node", F.size("x").alias("size"), F.size("h").alias("hub_size"), F.array_except("x", "h").alias("others"))
-                       .withColumn("common", F.col("size") - F.size("others"))
-                       .select("hub", "node", "size", "hub_size", "common",
-                               F.slice(F.sort_array("others"), F.lit(1), F.greatest(F.size("others") - least + 1, F.lit(0))).alias("beyond")), "near-star")
+    own = pairs.join(sets, "node").select("hub", "node", F.col("shingles").alias("x"))
+    held = own.select("hub", F.explode("x").alias("s")).groupBy("hub", "s").agg(F.count(F.lit(1)).alias("n"))
+    members = pairs.groupBy(F.col("hub").alias("mh")).agg(F.count(F.lit(1)).alias("all"))
+    cores = (held.filter("n > 1").join(members, F.col("hub") == F.col("mh")).filter(F.col("n") * 2 > F.col("all"))
+                 .groupBy(F.col("hub").alias("ch")).agg(F.collect_list("s").alias("c")))
+    least = F.greatest(F.lit(1), F.ceil(F.col("size") * 0.75 - F.col("core"))).cast("int")
+    parts = (own.join(cores, F.col("hub") == F.col("ch"), "left").withColumn("others", F.when(F.col("c").isNull(), F.col("x")).otherwise(F.array_except("x", "c")))
+                .select("hub", "node", F.size("x").alias("size"), "others").withColumn("core", F.col("size") - F.size("others"))
+                .select("hub", "node", "size", "core", F.slice(F.sort_array("others"), F.lit(1), F.greatest(F.size("others") - least + 1, F.lit(0))).alias("beyond")))
+    parts = materialise(parts, "near-core")
+    reps = parts.groupBy(F.col("hub").alias("rh")).agg(F.max(F.struct(F.col("core") * 2 - F.col("size"), "node")).alias("r")).select("rh", F.col("r.node").alias("rep"))
+    of_rep = reps.join(sets, F.col("rep") == F.col("node")).select("rh", "rep", F.col("shingles").alias("h"))
+    met = own.select("hub", F.col("node").alias("n"), "x").join(of_rep, F.col("hub") == F.col("rh"))
+    common = met.select(F.col("hub").alias("g"), "n", "rep", F.size("h").alias("rep_size"), F.size(F.array_intersect("x", "h")).alias("common"))
+    return materialise(parts.join(common, (F.col("hub") == F.col("g")) & (F.col("node") == F.col("n"))).drop("g", "n"), "near-star")
 
 
 def _sets_of(src: DataFrame, ids: DataFrame, name: str) -> DataFrame:
-    """node, shingles of the texts of these ids, each set once."""
-    holders = src.join(ids.distinct(), F.col("id") == F.col("wid"), "left_semi").select("text")
+    """node, shingles of the texts of these ids, each set once. Before texts are shuffled, those whose id falls
+    in none of the wanted ids' hash classes go: there are at most ``CLASSES``, a proven bound for the broadcast."""
+    def cls(c: str) -> Column:
+        return F.pmod(F.xxhash64(c), F.lit(CLASSES))
+    wanted = ids.distinct()
+    likely = src.join(F.broadcast(wanted.select(cls("wid").alias("c")).distinct()), cls("id") == F.col("c"), "left_semi")
+    holders = likely.join(wanted, F.col("id") == F.col("wid"), "left_semi").select("text")
     return materialise(holders.mapInArrow(_sets, "node binary, shingles array<long>").dropDuplicates(["node"]), name)
 
 

@@ -40,6 +40,7 @@ LEAST_EQUAL = 72
 FEW = 8                 # buckets of up to this size are compared in full
 HOPS = 3                # links that a label travels between rounds
 CLASSES = 1 << 20       # hash classes of ids that a broadcast may name
+SIZE_CLASSES = 32       # classes of sizes a factor e: steps of 3 per cent
 BLOCK = 512             # shingles per block of the signature's inner loop
 
 _U64 = np.uint64
@@ -202,16 +203,14 @@ def _links(src: DataFrame, heads: DataFrame) -> DataFrame:
     labels = _labels(links)
     of_rep = labels.select(F.col("labelled").alias("f"), F.col("label").alias("rep_label"))
     placed = (star.join(labels, F.col("node") == F.col("labelled"), "left").join(of_rep, F.col("rep") == F.col("f"), "left")
-                  .select("hub", "node", "size", "core", "beyond", F.coalesce("label", "node").alias("label"),
+                  .select("hub", "node", "size", "core", "others", F.coalesce("label", "node").alias("label"),
                           (F.coalesce("label", "node") != F.coalesce("rep_label", "rep")).alias("apart")))
     placed = materialise(placed, "near-placed")
-    ahead = placed.filter("apart").select(*[F.col(c).alias("l" + c) for c in ("hub", "node", "size", "core", "beyond", "label")])
+    ahead = placed.filter("apart").select(*[F.col(c).alias("l" + c) for c in ("hub", "node", "size", "core", "others", "label")])
     # pairs that the core's shingles alone could link, then pairs that need others in common and so share one of the least
     within = (placed.join(ahead.filter("lcore * 100 >= lsize * 75"), (F.col("hub") == F.col("lhub")) & (F.col("label") != F.col("llabel"))
                           & (F.least("core", "lcore") * 7 >= (F.col("size") + F.col("lsize")) * 3)))
-    beyond = (placed.select("hub", "node", "label", F.explode("beyond").alias("s"))
-                    .join(ahead.select("lhub", "lnode", "llabel", F.explode("lbeyond").alias("ls")),
-                          (F.col("hub") == F.col("lhub")) & (F.col("s") == F.col("ls")) & (F.col("label") != F.col("llabel"))))
+    beyond = _beyond(placed, ahead)
     rest = within.select("node", "lnode").unionByName(beyond.select("node", "lnode")) \
                  .select(F.least("node", "lnode").alias("a"), F.greatest("node", "lnode").alias("b"))
     return links.unionByName(_verify(src, facts, rest))
@@ -219,13 +218,10 @@ def _links(src: DataFrame, heads: DataFrame) -> DataFrame:
 
 def _star(src: DataFrame, facts: DataFrame, pairs: DataFrame) -> DataFrame:
     """(hub, node): a group by its hub and its members, with rep, its member that has most of the core; size, rep_size,
-    common (the node's shingles that rep has), core (those in the core) and beyond, some of the others.
+    common (the node's shingles that rep has), core (those in the core) and the others.
 
     The core of a group is what more than half of its members hold, so at most twice their mean size; shingles that an
-    edit of one member destroyed are still in it. Two members x, y have at most min(core_x, core_y) core
-    shingles in common; a link asks for 3/7 of the sum of their sizes, so for at least 3/4 size_x - core_x
-    beyond the core. Two sets that share k elements meet within the first size - k + 1 of each in any order:
-    ``beyond`` holds these.
+    edit of one member destroyed are still in it.
     """
     ids = facts.select("id", "node").join(pairs.select("node").distinct(), "node", "left_semi")
     sets = _sets_of(src, ids.select(F.col("id").alias("wid")), "near-star-sets")
@@ -234,10 +230,8 @@ def _star(src: DataFrame, facts: DataFrame, pairs: DataFrame) -> DataFrame:
     members = pairs.groupBy(F.col("hub").alias("mh")).agg(F.count(F.lit(1)).alias("all"))
     cores = (held.filter("n > 1").join(members, F.col("hub") == F.col("mh")).filter(F.col("n") * 2 > F.col("all"))
                  .groupBy(F.col("hub").alias("ch")).agg(F.collect_list("s").alias("c")))
-    least = F.greatest(F.lit(1), F.ceil(F.col("size") * 0.75 - F.col("core"))).cast("int")
     parts = (own.join(cores, F.col("hub") == F.col("ch"), "left").withColumn("others", F.when(F.col("c").isNull(), F.col("x")).otherwise(F.array_except("x", "c")))
-                .select("hub", "node", F.size("x").alias("size"), "others").withColumn("core", F.col("size") - F.size("others"))
-                .select("hub", "node", "size", "core", F.slice(F.sort_array("others"), F.lit(1), F.greatest(F.size("others") - least + 1, F.lit(0))).alias("beyond")))
+                .select("hub", "node", F.size("x").alias("size"), (F.size("x") - F.size("others")).alias("core"), F.sort_array("others").alias("others")))
     parts = materialise(parts, "near-core")
     reps = parts.groupBy(F.col("hub").alias("rh")).agg(F.max(F.struct(F.col("core") * 2 - F.col("size"), "node")).alias("r")).select("rh", F.col("r.node").alias("rep"))
     of_rep = reps.join(sets, F.col("rep") == F.col("node")).select("rh", "rep", F.col("shingles").alias("h"))
@@ -246,6 +240,35 @@ def _star(src: DataFrame, facts: DataFrame, pairs: DataFrame) -> DataFrame:
     return materialise(parts.join(common, (F.col("hub") == F.col("g")) & (F.col("node") == F.col("n"))).drop("g", "n"), "near-star")
 
 
+def _beyond(placed: DataFrame, ahead: DataFrame) -> DataFrame:
+    """(node, lnode) that must be tested for what they share beyond the core.
+
+    Two members x, y have at most min(core_x, core_y) core shingles in common; a link asks for 3/7 of the sum of their sizes,
+    so for k >= 3/7 (size_x + size_y) - core_x others in common. Two sets that share k elements meet within the first
+    size - k + 1 of each in any order. Sizes come in classes, and each member sends as many of its others as
+    the least size of a partner's class asks for, to every class of its group that may hold partners.
+    """
+    def cls(size: Column) -> Column:
+        return F.floor(F.log(size.cast("double")) * SIZE_CLASSES).cast("int")
+
+    held = placed.groupBy(F.col("hub").alias("zh"), cls(F.col("size")).alias("class")).agg(F.min("size").alias("low"), F.max("size").alias("high"))
+
+    def sides(rows: DataFrame, p: str) -> DataFrame:
+        """Others of a member per class of partners, with the member's own class."""
+        size, core = F.col(p + "size"), F.col(p + "core")
+        met = rows.join(held, F.col(p + "hub") == F.col("zh")).filter((F.col("high") * 100 >= size * 75) & (F.col("low") * 75 <= size * 100))
+        k = F.greatest(F.lit(1), F.ceil((size + F.greatest(F.col("low").cast("double"), size * 0.75)) * 3 / 7 - 1e-9 - core)).cast("int")
+        first = F.slice(p + "others", F.lit(1), F.greatest(F.size(p + "others") - k + 1, F.lit(0)))
+        return met.select(F.col(p + "hub").alias(p + "h"), F.col(p + "node"), F.col(p + "label"), size.alias(p + "n"), core.alias(p + "c"),
+                          cls(size).alias(p + "own"), F.col("class").alias(p + "other"), F.explode(first).alias(p + "s"))
+
+    x, y = sides(placed, ""), sides(ahead, "l")
+    # the most that they can share at all: the lesser core, and the fewer others
+    most = F.least("c", "lc") + F.least(F.col("n") - F.col("c"), F.col("ln") - F.col("lc"))
+    return x.join(y, (F.col("h") == F.col("lh")) & (F.col("s") == F.col("ls")) & (F.col("own") == F.col("lother")) & (F.col("other") == F.col("lown"))
+                  & (F.col("label") != F.col("llabel")) & (most * 7 >= (F.col("n") + F.col("ln")) * 3)).select("node", "lnode")
+
+
 def _sets_of(src: DataFrame, ids: DataFrame, name: str) -> DataFrame:
     """node, shingles of the texts of these ids, each set once. Before texts are shuffled, those whose id falls
     in none of the wanted ids' hash classes go: there are at most ``CLASSES``, a proven bound for the broadcast."""

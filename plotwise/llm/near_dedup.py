@@ -40,7 +40,6 @@ LEAST_EQUAL = 72
 FEW = 8                 # buckets of up to this size are compared in full
 HOPS = 3                # links that a label travels between rounds
 CLASSES = 1 << 20       # hash classes of ids that a broadcast may name
-SIZE_CLASSES = 32       # classes of sizes a factor e: steps of 3 per cent
 BLOCK = 512             # shingles per block of the signature's inner loop
 
 _U64 = np.uint64
@@ -245,28 +244,19 @@ def _beyond(placed: DataFrame, ahead: DataFrame) -> DataFrame:
 
     Two members x, y have at most min(core_x, core_y) core shingles in common; a link asks for 3/7 of the sum of their sizes,
     so for k >= 3/7 (size_x + size_y) - core_x others in common. Two sets that share k elements meet within the first
-    size - k + 1 of each in any order. Sizes come in classes, and each member sends as many of its others as
-    the least size of a partner's class asks for, to every class of its group that may hold partners.
+    size - k + 1 of each in any order: at a place i (from 0) of x's others only if size_y <= (4 size_x - 7 i) / 3. As
+    size_y is 3/4 size_x at least, places beyond a quarter of the size never count.
     """
-    def cls(size: Column) -> Column:
-        return F.floor(F.log(size.cast("double")) * SIZE_CLASSES).cast("int")
-
-    held = placed.groupBy(F.col("hub").alias("zh"), cls(F.col("size")).alias("class")).agg(F.min("size").alias("low"), F.max("size").alias("high"))
-
     def sides(rows: DataFrame, p: str) -> DataFrame:
-        """Others of a member per class of partners, with the member's own class."""
-        size, core = F.col(p + "size"), F.col(p + "core")
-        met = rows.join(held, F.col(p + "hub") == F.col("zh")).filter((F.col("high") * 100 >= size * 75) & (F.col("low") * 75 <= size * 100))
-        k = F.greatest(F.lit(1), F.ceil((size + F.greatest(F.col("low").cast("double"), size * 0.75)) * 3 / 7 - 1e-9 - core)).cast("int")
-        first = F.slice(p + "others", F.lit(1), F.greatest(F.size(p + "others") - k + 1, F.lit(0)))
-        return met.select(F.col(p + "hub").alias(p + "h"), F.col(p + "node"), F.col(p + "label"), size.alias(p + "n"), core.alias(p + "c"),
-                          cls(size).alias(p + "own"), F.col("class").alias(p + "other"), F.explode(first).alias(p + "s"))
-
-    x, y = sides(placed, ""), sides(ahead, "l")
+        size = F.col(p + "size")
+        place = F.posexplode(F.slice(p + "others", F.lit(1), F.floor(size / 4).cast("int") + 1)).alias(p + "i", p + "s")
+        return rows.select(F.col(p + "hub").alias(p + "h"), F.col(p + "node"), F.col(p + "label"), size.alias(p + "n"), F.col(p + "core").alias(p + "c"), place)
+
     # the most that they can share at all: the lesser core, and the fewer others
     most = F.least("c", "lc") + F.least(F.col("n") - F.col("c"), F.col("ln") - F.col("lc"))
-    return x.join(y, (F.col("h") == F.col("lh")) & (F.col("s") == F.col("ls")) & (F.col("own") == F.col("lother")) & (F.col("other") == F.col("lown"))
-                  & (F.col("label") != F.col("llabel")) & (most * 7 >= (F.col("n") + F.col("ln")) * 3)).select("node", "lnode")
+    return sides(placed, "").join(sides(ahead, "l"), (F.col("h") == F.col("lh")) & (F.col("s") == F.col("ls")) & (F.col("label") != F.col("llabel"))
+                                  & (F.col("ln") * 3 <= F.col("n") * 4 - F.col("i") * 7) & (F.col("n") * 3 <= F.col("ln") * 4 - F.col("li") * 7)
+                                  & (most * 7 >= (F.col("n") + F.col("ln")) * 3)).select("node", "lnode")
 
 
 def _sets_of(src: DataFrame, ids: DataFrame, name: str) -> DataFrame:

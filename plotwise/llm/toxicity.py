@@ -241,32 +241,39 @@ def train(texts: list[str], labels: list[int], weights: list[float]) -> Model:
     rng = np.random.default_rng(SEED)
     grams, words_t = np.zeros((FOLDS, 2, TABLE), np.float32), np.zeros((FOLDS, 2, TABLE), np.float32)
     fold = np.arange(len(y)) % FOLDS
-    split = [words_of(t) for t in texts]
     prior = float(np.average(y, weights=weights)) if len(y) else 0.0
     if not len(y) or y.min() == y.max():
         return Model(np.zeros(TABLE, np.float32), np.zeros(TABLE, np.float32), _new_weights(rng), 0.0,
                      float(np.log((prior + 1e-3) / (1 - prior + 1e-3))), prior)
-    for i, ws in enumerate(split):
+    # words are read off a text whenever they are needed: those of all texts at once would take ten times the texts
+    lens_all = np.zeros(len(y), dtype=np.int64)
+    for i, t in enumerate(texts):
+        ws = words_of(t)
+        lens_all[i] = len(ws)
         if ws:
             _, own, gr = _slots(list(dict.fromkeys(ws)))
             words_t[fold[i], int(y[i]), np.unique(own)] += 1
             grams[fold[i], int(y[i]), np.unique(np.concatenate([s for _, s in gr]))] += 1
     size = lambda f, c: float(((fold != f) & (y == c)).sum())
-    inputs: list[np.ndarray] = [np.zeros((0, INPUTS), np.float32)] * len(y)
+    has = np.flatnonzero(lens_all)
+    if not len(has):
+        return Model(np.zeros(TABLE, np.float32), np.zeros(TABLE, np.float32), _new_weights(rng), 0.0,
+                     float(np.log((prior + 1e-3) / (1 - prior + 1e-3))), prior)
+    lens = lens_all[has].tolist()
+    first = np.concatenate([[0], np.cumsum(lens_all)[:-1]])
+    flat = np.zeros((int(lens_all.sum()), INPUTS), np.float32)
     for f in range(FOLDS):
         g = _odds(grams.sum(0)[1] - grams[f, 1], grams.sum(0)[0] - grams[f, 0], size(f, 1), size(f, 0))
         o = _odds(words_t.sum(0)[1] - words_t[f, 1], words_t.sum(0)[0] - words_t[f, 0], size(f, 1), size(f, 0))
-        for i in np.flatnonzero(fold == f):
-            if split[i]:
-                inputs[i] = evidence(split[i], g, o)
+        for i in has[fold[has] == f]:
+            flat[first[i]:first[i] + lens_all[i]] = evidence(words_of(texts[i]), g, o)
     w = _new_weights(rng)
-    has = [i for i in range(len(y)) if len(inputs[i])]
-    flat, lens = np.concatenate([inputs[i] for i in has]), [len(inputs[i]) for i in has]
     starts, ends, owner = _windows(lens)
     target = y[has][owner]
-    at = starts[None, :] + np.arange(WINDOW)[:, None]
-    hint = np.partition(np.where(at < ends, flat[np.minimum(at, len(flat) - 1), 0], 0), -3, axis=0)[-3:].sum(axis=0)
-    del at, split, inputs
+    hint = np.empty(len(starts), np.float32)
+    for a in range(0, len(starts), BLOCK_WINDOWS):
+        at, end = starts[None, a:a + BLOCK_WINDOWS] + np.arange(WINDOW)[:, None], ends[a:a + BLOCK_WINDOWS]
+        hint[a:a + BLOCK_WINDOWS] = np.partition(np.where(at < end, flat[np.minimum(at, len(flat) - 1), 0], 0), -3, axis=0)[-3:].sum(axis=0)
     m1, m2 = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
     step = 0
     for turn in range(TURNS):
@@ -329,8 +336,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     # at most n_toxic + n_clean ids: a proven bound for the broadcast and for what reaches the driver
     rows = (docs.join(F.broadcast(ids), F.col(id_col) == F.col("_lid")).groupBy("_lid", "_y").agg(F.min(text_of(text_col)).alias("text"))
                 .orderBy(F.xxhash64("_lid"), "_lid").collect())
-    got = {v: max(1, sum(r["_y"] == v for r in rows)) for v in (0, 1)}
-    return train([r["text"] for r in rows], [r["_y"] for r in rows], [counts.get(r["_y"], 0) / got[r["_y"]] for r in rows])
+    texts, y = [r["text"] for r in rows], [r["_y"] for r in rows]
+    del rows
+    got = {v: max(1, y.count(v)) for v in (0, 1)}
+    return train(texts, y, [counts.get(v, 0) / got[v] for v in y])
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

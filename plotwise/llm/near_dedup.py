@@ -230,8 +230,13 @@ def _star(src: DataFrame, facts: DataFrame, pairs: DataFrame) -> DataFrame:
     cores = (held.filter("n > 1").join(members, F.col("hub") == F.col("mh")).filter(F.col("n") * 2 > F.col("all"))
                  .groupBy(F.col("hub").alias("ch")).agg(F.collect_list("s").alias("c")))
     parts = (own.join(cores, F.col("hub") == F.col("ch"), "left").withColumn("others", F.when(F.col("c").isNull(), F.col("x")).otherwise(F.array_except("x", "c")))
-                .select("hub", "node", F.size("x").alias("size"), (F.size("x") - F.size("others")).alias("core"), F.sort_array("others").alias("others")))
-    parts = materialise(parts, "near-core")
+                .select("hub", "node", F.size("x").alias("size"), (F.size("x") - F.size("others")).alias("core"), "others"))
+    # the others rarest in the group first: what many members share stands last, beyond the places that count
+    counted = held.select(F.col("hub").alias("oh"), F.col("s").alias("os"), "n")
+    ordered = (parts.select("hub", "node", "size", "core", F.explode_outer("others").alias("s"))
+                    .join(counted, (F.col("hub") == F.col("oh")) & (F.col("s") == F.col("os")), "left")
+                    .groupBy("hub", "node", "size", "core").agg(F.sort_array(F.collect_list(F.when(F.col("s").isNotNull(), F.struct("n", "s")))).alias("o")))
+    parts = materialise(ordered.select("hub", "node", "size", "core", F.transform("o", lambda x: x["s"]).alias("others")), "near-core")
     reps = parts.groupBy(F.col("hub").alias("rh")).agg(F.max(F.struct(F.col("core") * 2 - F.col("size"), "node")).alias("r")).select("rh", F.col("r.node").alias("rep"))
     of_rep = reps.join(sets, F.col("rep") == F.col("node")).select("rh", "rep", F.col("shingles").alias("h"))
     met = own.select("hub", F.col("node").alias("n"), "x").join(of_rep, F.col("hub") == F.col("rh"))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plotwise.config import AMENITY_RADIUS_KM, AMENITY_TYPES, KM_PER_DEGREE, TRAIN_TYPE_NAME
+from plotwise.operators.shapes import shape_join
 from plotwise.operators.spatial import nearest, radius_join
 
 
@@ -46,6 +47,38 @@ def _distinct_points(props: DataFrame, lat: str, lon: str) -> DataFrame:
                 .withColumn("_pt", F.struct(lat, lon))
 
 
+def _counts(pairs: DataFrame, by: list[str], types: list[str], train_type: str) -> DataFrame:
+    """Per group of pairs: ``{type}_count``, ``total_amenity_count`` and ``train_ids``."""
+    aggs = [F.count_if(F.col("a_type") == ty).cast("int").alias(f"{type_slug(ty)}_count") for ty in types]
+    aggs.append(F.count(F.lit(1)).cast("int").alias("total_amenity_count"))
+    train = F.array_sort(F.collect_set(F.when(F.lower(F.col("a_type")) == train_type.lower(), F.col("a_id"))))
+    aggs.append(F.array_join(F.transform(train, lambda x: x.cast("string")), ", ").alias("train_ids"))
+    return pairs.groupBy(*by).agg(*aggs)
+
+
+def _no_counts(types: list[str]) -> dict:
+    return {**{f"{type_slug(ty)}_count": 0 for ty in types}, "total_amenity_count": 0, "train_ids": ""}
+
+
+def shape_pairs(roads: DataFrame, amenities: DataFrame, radius_km: float = AMENITY_RADIUS_KM, road_id: str = "way_id",
+                amen_id: str = "osm_id", type_col: str = "feature_type") -> DataFrame:
+    """(road_id, a_id, a_type, dist) of amenity shapes (points, lines, areas;
+    see ``shapes``) within radius_km/111 degrees of a road's line. Amenity ids are unique."""
+    a = amenities.select(F.col(amen_id).alias("a_id"), F.col(type_col).alias("a_type"), "parts", "is_area")
+    near = shape_join(roads, a, radius_km / KM_PER_DEGREE, road_id, "a_id")
+    return near.join(a.select("a_id", "a_type"), "a_id").select(road_id, "a_id", "a_type", "dist")
+
+
+def shape_count(props: DataFrame, roads: DataFrame, amenities: DataFrame, radius_km: float = AMENITY_RADIUS_KM,
+                types: list[str] | None = None, road_id: str = "way_id", amen_id: str = "osm_id",
+                type_col: str = "feature_type", train_type: str = TRAIN_TYPE_NAME) -> DataFrame:
+    """``radius_count`` from the line of each sale's road to whole amenity
+    shapes. Sales of a road share its counts; a sale whose road has no line counts nothing."""
+    types = AMENITY_TYPES if types is None else types
+    per_road = _counts(shape_pairs(roads, amenities, radius_km, road_id, amen_id, type_col), [road_id], types, train_type)
+    return props.join(per_road, road_id, "left").fillna(_no_counts(types))
+
+
 def radius_count(props: DataFrame, amenities: DataFrame, radius_km: float = AMENITY_RADIUS_KM,
                  metric: str = "degrees", types: list[str] | None = None, prop_id: str = "records_id",
                  amen_id: str = "osm_id", type_col: str = "feature_type", train_type: str = TRAIN_TYPE_NAME,
@@ -57,17 +90,8 @@ def radius_count(props: DataFrame, amenities: DataFrame, radius_km: float = AMEN
     radius = radius_km / KM_PER_DEGREE if metric == "degrees" else radius_km
     pairs = radius_join(pts, _amenity_side(amenities, amen_id, type_col, a_lat, a_lon), radius, metric,
                         lat, lon, "r_lat", "r_lon")
-    t = F.lower(F.col("a_type"))
-    aggs = [F.count_if(F.col("a_type") == ty).cast("int").alias(f"{type_slug(ty)}_count") for ty in types]
-    aggs.append(F.count(F.lit(1)).cast("int").alias("total_amenity_count"))
-    train = F.array_sort(F.collect_set(F.when(t == train_type.lower(), F.col("a_id"))))
-    aggs.append(F.array_join(F.transform(train, lambda x: x.cast("string")), ", ").alias("train_ids"))
-    per_pt = pairs.groupBy(lat, lon).agg(*aggs)
-    out = props.join(per_pt, [lat, lon], "left")
-    fills = {f"{type_slug(ty)}_count": 0 for ty in types}
-    fills["total_amenity_count"] = 0
-    fills["train_ids"] = ""
-    return out.fillna(fills)
+    per_pt = _counts(pairs, [lat, lon], types, train_type)
+    return props.join(per_pt, [lat, lon], "left").fillna(_no_counts(types))
 
 
 def amenity_pivot(props: DataFrame, amenities: DataFrame, types: list[str] | None = None,

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plotwise.config import EXCLUDED_STATION_ID
-from plotwise.functions.geo import utm_xy
+from plotwise.functions.geo import utm_sql, utm_xy
+from plotwise.operators.shapes import points_as_shapes, shape_join
 from plotwise.operators.spatial import radius_join
 from plotwise.sources.proxies import ALL_STATIONS
 
@@ -95,6 +96,31 @@ def ridership_near(props: DataFrame, stations: DataFrame, station_totals: DataFr
     return props.join(sums, here, "left").drop("_plat", "_plon", "_pmonth").fillna(0, subset=RIDERSHIP_OUT)
 
 
+def _projected(shapes: DataFrame, zone: int) -> DataFrame:
+    """Shapes with every vertex in UTM metres."""
+    x, y = utm_sql("v.lat", "v.lon", zone)
+    return shapes.withColumn("parts", F.expr(f"transform(parts, p -> transform(p, v -> named_struct('lon', {x}, 'lat', {y})))"))
+
+
+def ridership_near_roads(props: DataFrame, roads: DataFrame, stations: DataFrame, station_totals: DataFrame,
+                         radius_km: float = 1.0, road_id: str = "way_id", station: str = "osm_id",
+                         prop_date: str = "date", zone: int = 48) -> DataFrame:
+    """``ridership_near`` from the line (``parts``) of each sale's road, in
+    projected metres. Roads meet stations once, whatever the months; sales of a
+    road in one month share their sums. A sale whose road has no line gets 0."""
+    sx, sy = utm_xy("lat", "lon", zone)
+    rail = (stations.filter(F.col("feature_type") == "rail station")
+                    .select(F.col(station).alias("_station"), "station_id", sx.alias("s_x"), sy.alias("s_y")))
+    near = shape_join(_projected(roads, zone), points_as_shapes(rail, "s_y", "s_x"), radius_km * 1000.0, road_id, "_station")
+    at = near.join(rail.select("_station", "station_id"), "_station").select(road_id, "station_id")
+    wanted = props.select(road_id, F.col(prop_date).cast("date").alias("_pmonth")).distinct()
+    totals = station_totals.select("station_id", F.col("date").alias("_pmonth"), "incoming", "outgoing", "total_ridership")
+    sums = (wanted.join(at, road_id).join(totals, ["station_id", "_pmonth"]).groupBy(road_id, "_pmonth")
+                  .agg(*[F.sum(c).alias(name) for c, name in zip(("incoming", "outgoing", "total_ridership"), RIDERSHIP_OUT)]))
+    return (props.withColumn("_pmonth", F.col(prop_date).cast("date")).join(sums, [road_id, "_pmonth"], "left")
+                 .drop("_pmonth").fillna(0, subset=RIDERSHIP_OUT))
+
+
 def ridership_profile(df: DataFrame) -> DataFrame:
     """Count and share of properties with ridership; avg/max among them."""
     t = F.col(RIDERSHIP_OUT[2])

@@ -10,7 +10,7 @@ from plotwise.plans.registry import ORACLES, QUERIES
 
 _MODULES = (
     "flagship", "scans", "cleaning", "validation", "joins", "aggregates",
-    "windows", "geometry", "transit", "graph", "clustering",
+    "windows", "geometry", "transit", "shapes", "graph", "clustering",
     "modelling", "evaluation",
 )
 

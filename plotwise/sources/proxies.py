@@ -99,6 +99,38 @@ def amenities(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# FIXED VALUES: vertex formulas of amenities with an extent, as SQL text that both engines read
+LINE_TYPES, AREA_TYPES = ("river",), ("lake", "park")
+
+
+def _river_xy(k: str, i: str) -> tuple[str, str]:
+    return f"(lon + {i} * 1e-2)", f"(lat + CAST(({k} * 7919 * ({i} + 1)) % 1000 AS DOUBLE) / 1e3 * 2e-2)"
+
+
+def _corner_xy(k: str, i: str, hole: bool = False) -> tuple[str, str]:
+    east, north = (f"(CASE WHEN {i} IN ({at}) THEN 1e0 ELSE 0e0 END)" for at in ("1, 2", "2, 3"))
+    if hole:
+        east, north = f"(25e-2 + 5e-1 * {east})", f"(25e-2 + 5e-1 * {north})"
+    return (f"(lon + CAST({k} * 31 % 50 + 10 AS DOUBLE) / 1e3 * {east})",
+            f"(lat + CAST({k} * 37 % 50 + 10 AS DOUBLE) / 1e3 * {north})")
+
+
+def amenity_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amenities with their extent: rivers are lines of four vertices, lakes
+    and parks rectangles (every third lake with an island), others points."""
+    def part(last: int, xy: tuple[str, str]) -> str:
+        return f"transform(sequence(0, {last}), i -> named_struct('lon', {xy[0]}, 'lat', {xy[1]}))"
+
+    k = "osm_id"
+    ring, island = part(4, _corner_xy(k, "i")), part(4, _corner_xy(k, "i", hole=True))
+    parts = (f"CASE WHEN feature_type IN {AREA_TYPES!r} THEN IF(feature_type = 'lake' AND {k} % 3 = 0, array({ring}, {island}), array({ring})) "
+             f"WHEN feature_type = '{LINE_TYPES[0]}' THEN array({part(3, _river_xy(k, 'i'))}) "
+             f"ELSE array(array(named_struct('lon', lon, 'lat', lat))) END")
+    return amenities(spark, sf_dir).select(
+        "osm_id", "feature_type", F.expr(parts).alias("parts"),
+        F.coalesce(F.col("feature_type").isin(*AREA_TYPES), F.lit(False)).alias("is_area"))
+
+
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     k = F.col("s_suppkey") * 15
@@ -328,6 +360,23 @@ SELECT p_partkey AS osm_id, 'node' AS osm_type, p_name AS name,
 FROM part
 """
 
+
+def _shape_edges_sql() -> str:
+    def edges(n: int, area: bool, xy, where: str) -> str:
+        (x1, y1), (x2, y2) = xy("i"), xy("(i + 1)")
+        return (f"SELECT osm_id, feature_type, {str(area).lower()} AS is_area, {x1} AS x1, {y1} AS y1, {x2} AS x2, {y2} AS y2 "
+                f"FROM amenities, range({n}) t(i) WHERE {where}")
+
+    return "\nUNION ALL\n".join([
+        f"SELECT osm_id, feature_type, false AS is_area, lon AS x1, lat AS y1, lon AS x2, lat AS y2 FROM amenities "
+        f"WHERE feature_type IS NULL OR feature_type NOT IN {LINE_TYPES + AREA_TYPES!r}",
+        edges(3, False, lambda i: _river_xy("osm_id", i), f"feature_type = '{LINE_TYPES[0]}'"),
+        edges(4, True, lambda i: _corner_xy("osm_id", i), f"feature_type IN {AREA_TYPES!r}"),
+        edges(4, True, lambda i: _corner_xy("osm_id", i, hole=True), "feature_type = 'lake' AND osm_id % 3 = 0")])
+
+
+SQL["shape_edges"] = _shape_edges_sql()
+
 SQL["stations"] = f"""
 SELECT s_suppkey AS osm_id, CAST(s_suppkey AS VARCHAR) AS station_id, s_name AS name,
        'rail station' AS feature_type,

@@ -18,6 +18,7 @@ from plotwise.config import (CLUSTER_PREFIXES, DBSCAN_EPS_PERCENTILE_MAX, DBSCAN
                              DBSCAN_MAX_NOISE_THRESHOLD, DBSCAN_MIN_SAMPLES, EARTH_RADIUS_KM,
                              KMEANS_N_CLUSTERS, NOISE_LABEL, RANDOM_STATE, UNKNOWN_PREFIX)
 from plotwise.functions.geo import KM_PER_DEG_LAT, haversine_sql
+from plotwise.operators.kmeans import assign, fit_restarts
 from plotwise.operators.spatial import radius_join
 
 
@@ -231,23 +232,16 @@ def dbscan(points: DataFrame, eps_km: float, id_col: str = "road_id", min_sample
 
 def kmeans(points: DataFrame, k: int = KMEANS_N_CLUSTERS, id_col: str = "road_id", lat: str = "lat",
            lon: str = "lon", seed: int = RANDOM_STATE, n_init: int = 10) -> DataFrame:
-    """K-means on raw (lat, lon) degrees; ``n_init`` seeded restarts, the fit
-    with the least training cost wins; k clamped to the distinct points."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import VectorAssembler
-    distinct = points.select(lat, lon).distinct().count()
-    k = max(1, min(k, distinct))
-    vec = VectorAssembler(inputCols=[lat, lon], outputCol="_f").transform(points.select(id_col, lat, lon)).cache()
-    best, best_cost = None, None
-    for i in range(n_init):
-        model = KMeans(k=k, seed=seed + i, featuresCol="_f", predictionCol="market_cluster").fit(vec)
-        cost = model.summary.trainingCost
-        if best_cost is None or cost < best_cost:
-            best, best_cost = model, cost
-    out = best.transform(vec).select(id_col, F.col("market_cluster").cast("int"),
-                                     F.lit(False).alias("is_core"), F.lit(False).alias("is_noise"))
-    vec.unpersist()
-    return out
+    """K-means on raw (lat, lon) degrees; of ``n_init`` restarts, run together
+    (see ``kmeans``), the one of least cost wins, the first among equals. k is held to the distinct
+    points; points without a place get cluster -1 and count as noise."""
+    fits = fit_restarts(points, k, lat, lon, seed, n_init)
+    cols = [F.lit(False).alias("is_core"), F.col("market_cluster").eqNullSafe(-1).alias("is_noise")]
+    if not fits:
+        return points.select(id_col, F.lit(-1).alias("market_cluster")).select(id_col, "market_cluster", *cols)
+    best = min(fits, key=lambda f: f.cost)
+    told = assign(points.select(id_col, lat, lon), best.centres, lat, lon, "market_cluster")
+    return told.fillna(-1, subset=["market_cluster"]).select(id_col, "market_cluster", *cols)
 
 
 def cluster_roads(roads: DataFrame, method: str = "auto", id_col: str = "road_id",
@@ -256,7 +250,7 @@ def cluster_roads(roads: DataFrame, method: str = "auto", id_col: str = "road_id
     threshold; 'dbscan' / 'kmeans' force one. Adds market_cluster,
     clustering_method, is_noise (and is_core)."""
     if method not in ("auto", "dbscan", "kmeans"):
-        raise ValueError(f"Unknown clustering method: {method}. Must be 'auto', 'dbscan', or 'kmeans'")
+        raise ValueError(f"method is {method!r}; it can be auto, dbscan or kmeans")
     if method == "kmeans":
         lab = kmeans(roads, id_col=id_col, n_init=n_init).withColumn("clustering_method", F.lit("kmeans"))
     else:

@@ -104,16 +104,16 @@ SELECT * FROM cleaned_features UNION ALL SELECT * FROM cleaned_features WHERE re
                         OR price_m2 < (SELECT avg(price_m2) - 3 * stddev_samp(price_m2) FROM with_dupes)) AS outliers
         FROM with_dupes)
 SELECT 'with_features' AS stage, 'warning' AS severity, 'duplicate_ids' AS "check", dup_ids AS n,
-       format('Found {:d} duplicate record IDs', dup_ids) AS message FROM s WHERE dup_ids > 0
+       format('{:d} rows repeat an earlier record id', dup_ids) AS message FROM s WHERE dup_ids > 0
 UNION ALL
 SELECT 'with_features', 'error', 'missing_way_id', missing_way,
-       format('{:d} properties missing way_id (geocoding incomplete)', missing_way) FROM s WHERE missing_way > 0
+       format('{:d} properties without a way id', missing_way) FROM s WHERE missing_way > 0
 UNION ALL
 SELECT 'with_features', 'error', 'negative_price', neg_price,
-       format('Found {:d} negative prices', neg_price) FROM s WHERE neg_price > 0
+       format('{:d} prices below zero', neg_price) FROM s WHERE neg_price > 0
 UNION ALL
 SELECT 'with_features', 'warning', 'price_outliers', outliers,
-       format('Found {:d} extreme price outliers (>3 std from mean)', outliers) FROM s WHERE outliers > 0
+       format('{:d} prices over three standard deviations from the mean', outliers) FROM s WHERE outliers > 0
 """, "properties", "distances", "cleaned_features", "with_dupes"))
 def q_dataset_report(spark, sf):
     return validate.dataset_report(_with_dupes(spark, sf), stage="with_features")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plotwise.config import AMENITY_TAGS
+from plotwise.operators.rings import valid_polygons
 
 
 def tag_category(elements: DataFrame, categories: dict | None = None, tags: str = "tags",
@@ -130,16 +131,18 @@ def _assemble(pdf: pd.DataFrame) -> pd.DataFrame:
     ways = {role: [[(float(p["lon"]), float(p["lat"])) for p in pts] for pts in grp["pts"]]
             for role, grp in pdf.groupby("role")}
     (outers, open_outer), (inners, open_inner) = _stitch(ways.get("outer", [])), _stitch(ways.get("inner", []))
-    rows, free = [], list(inners)
+    # rings that cross or touch themselves fall into valid ones; what a hole leaves out is land again
+    polygons = [p for ring in outers for p in valid_polygons(ring)]
+    holes_of = [p for ring in inners for p in valid_polygons(ring)]
+    polygons += [(island[::-1], []) for _, islands in holes_of for island in islands]
+    rows, free = [], [hole for hole, _ in holes_of]
 
     def row(polygon, ring_no, role, area, ring):
         rows.append((rid, polygon, ring_no, role, len(ring), area, [{"lon": x, "lat": y} for x, y in ring]))
 
-    for pi, outer in enumerate(outers):
-        if _signed_area(outer) < 0:
-            outer = outer[::-1]  # outer rings counter-clockwise
+    for pi, (outer, own) in enumerate(polygons):
         row(pi, 0, "outer", abs(_signed_area(outer)), outer)
-        holes = [h for h in free if all(_inside(p, outer) for p in h)]
+        holes = own + [h for h in free if all(_inside(p, outer) for p in h)]
         free = [h for h in free if h not in holes]      # a hole belongs to the first outer ring that holds it wholly
         for hi, hole in enumerate(holes, start=1):
             row(pi, hi, "inner", -abs(_signed_area(hole)), hole if _signed_area(hole) <= 0 else hole[::-1])  # holes clockwise
@@ -152,7 +155,7 @@ def _assemble(pdf: pd.DataFrame) -> pd.DataFrame:
 def polygon_assembly(members: DataFrame) -> DataFrame:
     """Member ways (relation_id, role, pts) → one row per ring: outer rings
     counter-clockwise, holes clockwise with negative area, each hole in the
-    first outer ring that holds it wholly. What can't be used is reported as
+    first outer ring that holds it wholly. Rings that cross or touch themselves are made valid first (see ``rings``). What can't be used is reported as
     rows of polygon -1 without area: lines that no member way closes
     (``unclosed outer`` / ``unclosed inner``) and holes in no outer ring (``stray inner``)."""
     return members.select("relation_id", "role", "pts").groupBy("relation_id").applyInPandas(_assemble, ASSEMBLY_SCHEMA)

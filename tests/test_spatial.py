@@ -111,3 +111,59 @@ def test_nearest_road_takes_no_excluded_class_and_long_segments(spark):
     got = {r["records_id"]: (r["near_way_id"], r["near_road_name"]) for r in nearest_road(points, ways, nodes, roads).collect()}
     # 33 m from the middle of a segment of 11 km, whose vertices are far off; a footway is nearer but no road
     assert got == {1: (10, "long road"), 2: (30, ""), 3: (None, None)}
+
+
+def test_exploded_side_is_never_broadcast(spark):
+    p = spark.createDataFrame([(1, 3.0, 101.0)], "pid long, lat double, lon double")
+    t = spark.createDataFrame([(9, 3.0, 101.0)], "tid long, r_lat double, r_lon double")
+    for metric in ("degrees", "haversine"):
+        plan = radius_join(p, t, 1.0, metric)._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in plan and "SortMergeJoin" in plan
+
+
+def test_nearest_searches_stacked_places_once(spark):
+    p = spark.createDataFrame([(1, 3.0, 101.0), (2, 3.0, 101.0), (3, 3.01, 101.0), (3, 3.2, 101.0), (4, None, 101.0)], "pid long, lat double, lon double")
+    t = spark.createDataFrame([(9, 3.0, 101.0), (7, 3.0, 101.0), (8, 3.02, 101.0), (5, None, None)], "tid long, r_lat double, r_lon double")
+    got = {r.pid: (round(r.dist, 6), r.tid) for r in nearest(p, t, "pid", start_radius=0.1, target_id="tid").collect()}
+    assert got[1] == got[2] == (0.0, 7)
+    assert got[3] == (round(hav(3.01, 101.0, 3.02, 101.0), 6), 8) or got[3][1] == 7
+    assert set(got) == {1, 2, 3}
+    stacked = spark.range(400).selectExpr("id AS pid", "3.0D AS lat", "101.0D AS lon")
+    onto = stacked.selectExpr("pid AS tid", "lat AS r_lat", "lon AS r_lon")
+    joined = []
+    from plotwise.operators import spatial
+    was = spatial.radius_join
+
+    def seen(left, right, *args, **kw):
+        joined.append((left.count(), right.count()))
+        return was(left, right, *args, **kw)
+    spatial.radius_join = seen
+    try:
+        rows = nearest(stacked, onto, "pid", start_radius=0.1, target_id="tid").collect()
+    finally:
+        spatial.radius_join = was
+    assert joined == [(1, 1)] and {(r.pid, r.dist, r.tid) for r in rows} == {(i, 0.0, 0) for i in range(400)}
+
+
+def test_ids_near_and_pivot_share_points(spark):
+    from plotwise.operators.amenities import amenity_pivot, ids_near
+    p = spark.createDataFrame([(1, 3.0, 101.0), (2, 3.0, 101.0), (2, 3.1, 101.0), (3, 4.0, 101.0), (4, None, None), (5, 3.0, 101.0), (5, 3.0, 101.0)],
+                              "records_id long, lat double, lon double")
+    a = spark.createDataFrame([(10, "mall", 3.0, 101.001), (2, "mall", 3.0, 101.0), (30, "park", 3.1, 101.0), (10, "mall", 3.1, 101.0)],
+                              "osm_id long, feature_type string, lat double, lon double")
+    assert {r.records_id: r.ids for r in ids_near(p, a, 1.0).collect()} == {1: "2, 10", 2: "2, 10, 30", 5: "2, 10"}
+    got = {r.records_id: (r.mall, r.park) for r in amenity_pivot(p, a, ["mall", "park"], 1.0).collect()}
+    assert got == {1: (2, 0), 2: (3, 1), 5: (4, 0)}
+    from plotwise.operators import amenities as am
+    joined, was = [], am.radius_join
+
+    def seen(left, *args, **kw):
+        joined.append(left.count())
+        return was(left, *args, **kw)
+    am.radius_join = seen
+    try:
+        stacked = spark.range(50).selectExpr("id AS records_id", "3.0D AS lat", "101.0D AS lon")
+        assert ids_near(stacked, a, 1.0).count() == amenity_pivot(stacked, a, ["mall"], 1.0).count() == 50
+    finally:
+        am.radius_join = was
+    assert joined == [1, 1]

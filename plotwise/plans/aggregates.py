@@ -55,8 +55,7 @@ GROUP BY p.records_id""", "properties", "amenities"))
 def q_distinct_ids_concat(spark, sf):
     p = proxies.properties(spark, sf).select("records_id", "lat", "lon")
     a = proxies.amenities(spark, sf).filter(F.col("feature_type") == "rail station")
-    pairs = am.amenity_pairs(p, a, 2.0, "degrees")
-    return ag.distinct_ids_concat(pairs, "records_id", "a_id")
+    return am.ids_near(p, a, 2.0, "degrees")
 
 
 @query("drop_duplicates_key", with_views("""

@@ -19,3 +19,16 @@ def test_exact_percentiles_hot_group_with_ties(spark):
         vs = [x for x in vs if x is not None]
         want = tuple(float(np.percentile(vs, q * 100)) for q in qs) if vs else (None, None, None)
         assert got[g] == want or all(abs(a - b) < 1e-12 for a, b in zip(got[g], want))
+
+
+def test_targets_are_broadcast_to_the_values(spark, monkeypatch):
+    """A group's values must not be dealt by their group before the bracket is small."""
+    from plotwise.operators import quantiles
+    sent, was = [], quantiles.F.broadcast
+    monkeypatch.setattr(quantiles.F, "broadcast", lambda d: sent.append(d.columns) or was(d))
+    df = spark.range(3000).selectExpr("id % 2 AS g", "cast(id AS double) AS v")
+    for by in (None, ["g"]):
+        sent.clear()
+        rows = exact_percentiles(df, "v", [0.5], by, limit=100, accuracy=1000).collect()
+        assert sorted(r.p0 for r in rows) == ([1499.5] if by is None else [1499.0, 1500.0])
+        assert [c[-1] for c in sent if "_lo" not in c].count("_below") >= 4      # small and large brackets, twice at least

@@ -118,6 +118,34 @@ def test_large_nodes_are_split_in_spark(frame, monkeypatch):
     assert p == pytest.approx(predictions(one, df), abs=1e-12)
 
 
+def test_growth_searches_a_few_columns_at_a_time(monkeypatch):
+    import tracemalloc
+    rng = np.random.default_rng(4)
+    bins = rng.integers(0, 50, (60_000, 40)).astype(np.uint16)
+    y = np.round((bins[:, 3] * 0.1 + rng.normal(size=60_000)) * 2 ** 20) / 2 ** 20
+    grouped = np.arange(40) >= 37
+    want = trees.grow(bins, y, np.ones(60_000), grouped, 1, 5)
+    monkeypatch.setattr(trees, "CELLS", 1 << 17, raising=False)
+    tracemalloc.start()
+    got = trees.grow(bins, y, np.ones(60_000), grouped, 1, 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert all(np.array_equal(a, b) for a, b in zip(got, want))
+    assert peak < 64e6          # all columns at once: 2.4 million cells of 50 bytes and more
+
+
+def test_a_model_keeps_one_tree_a_row(frame, monkeypatch):
+    """No row of a model holds a block of trees, and groups of few rows give the scores of one group."""
+    x, y, df, prep = frame
+    m = models.fit("Random Forest", prep, df, numTrees=12, maxDepth=8)
+    assert m.subtrees.count() == 12
+    p = predictions(m, df)
+    monkeypatch.setattr(trees, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(trees, "CHUNK_ROWS", 50)
+    monkeypatch.setattr(trees, "SCORED_ROWS", 120, raising=False)
+    assert p == pytest.approx(predictions(m, df), abs=1e-12)
+
+
 def test_held_out_scores_of_split_trees(frame, monkeypatch):
     from plotwise.operators.features import fold_column
     x, y, df, prep = frame

@@ -195,8 +195,8 @@ def _links(src: DataFrame, heads: DataFrame) -> DataFrame:
     # a text's bands agree with most of its copies' where it has few edits: the member whose buckets are fullest is the hub
     score = many.groupBy("node").agg(F.sum("n").alias("score"))
     hubs = many.join(score, "node").groupBy("bucket").agg(F.max(F.struct("score", "node")).alias("h")) \
-               .select(F.col("bucket").alias("hb"), F.col("h.node").alias("hub"))
-    star = _star(src, facts, many.join(hubs, F.col("bucket") == F.col("hb")).select("hub", "node").distinct())
+               .select(F.col("bucket").alias("hb"), "h")
+    star = _star(src, facts, _grouped(many.join(hubs, F.col("bucket") == F.col("hb"))))
     links = materialise(_verify(src, facts, small).unionByName(
         star.filter("node != rep").filter(F.col("common") * 7 >= (F.col("size") + F.col("rep_size")) * 3).select(F.col("rep").alias("src"), F.col("node").alias("dst"))), "near-links")
     labels = _labels(links)
@@ -205,16 +205,47 @@ def _links(src: DataFrame, heads: DataFrame) -> DataFrame:
                   .select("hub", "node", "size", "core", "others", F.coalesce("label", "node").alias("label"),
                           (F.coalesce("label", "node") != F.coalesce("rep_label", "rep")).alias("apart")))
     placed = materialise(placed, "near-placed")
-    ahead = placed.filter("apart").select(*[F.col(c).alias("l" + c) for c in ("hub", "node", "size", "core", "others", "label")])
+
+    def other(rows: DataFrame) -> DataFrame:
+        return rows.filter("apart").select(*[F.col(c).alias("l" + c) for c in ("hub", "node", "size", "core", "others", "label")])
+
     # pairs that the core's shingles alone could link, then pairs that need others in common and so share one of the least
-    within = (placed.join(ahead.filter("lcore * 100 >= lsize * 75"), (F.col("hub") == F.col("lhub")) & (F.col("label") != F.col("llabel"))
+    within = (placed.join(other(placed).filter("lcore * 100 >= lsize * 75"), (F.col("hub") == F.col("lhub")) & (F.col("label") != F.col("llabel"))
                           & (F.least("core", "lcore") * 7 >= (F.col("size") + F.col("lsize")) * 3)))
-    beyond = _beyond(placed, ahead)
+    ordered = materialise(_rarest_first(_in_reach(placed)), "near-ordered")
+    beyond = _beyond(ordered, other(ordered))
     rest = within.select("node", "lnode").unionByName(beyond.select("node", "lnode")) \
                  .select(F.least("node", "lnode").alias("a"), F.greatest("node", "lnode").alias("b"))
     return links.unionByName(_verify(src, facts, rest))
 
 
+def _grouped(met: DataFrame) -> DataFrame:
+    """(hub, node), each once, of (bucket, node, h: the score and node of the bucket's hub). A bucket belongs to the group of the best
+    hub that its own hub meets, so that the many small buckets beside a large group's lie in that group. All members of a
+    bucket are in one group."""
+    best = met.groupBy(F.col("node").alias("n")).agg(F.max("h").alias("b")).select("n", F.col("b.node").alias("hub"))
+    return met.select(F.col("h.node").alias("own"), "node").distinct().join(best, F.col("own") == F.col("n")).select("hub", "node").distinct()
+
+
+def _in_reach(placed: DataFrame) -> DataFrame:
+    """Members of a group that could link with one that is apart by shingles beyond the core: at most the lesser core and the
+    fewer others are shared, and a link asks for 3/7 of both sizes. Groups without any apart have none."""
+    far = (placed.filter("apart").groupBy(F.col("hub").alias("fh"))
+                 .agg(F.max("core").alias("fc"), F.max(F.size("others")).alias("fo"), F.min("size").alias("fs")))
+    enough = (F.least("core", "fc") + F.least(F.size("others"), F.col("fo"))) * 7 >= (F.col("size") + F.col("fs")) * 3
+    return placed.join(far, F.col("hub") == F.col("fh")).filter(F.col("apart") | enough).select(*placed.columns)
+
+
+def _rarest_first(rows: DataFrame) -> DataFrame:
+    """The others in order of the members here that hold them: what many members share stands last, beyond the places that count."""
+    keys = [c for c in rows.columns if c != "others"]
+    each = rows.select(*keys, F.explode_outer("others").alias("s"))
+    counted = each.groupBy(F.col("hub").alias("oh"), F.col("s").alias("os")).agg(F.count(F.lit(1)).alias("n"))
+    met = (each.join(counted, (F.col("hub") == F.col("oh")) & (F.col("s") == F.col("os")), "left")
+               .groupBy(*keys).agg(F.sort_array(F.collect_list(F.when(F.col("s").isNotNull(), F.struct("n", "s")))).alias("o")))
+    return met.select(*keys, F.transform("o", lambda x: x["s"]).alias("others"))
+
+
 def _star(src: DataFrame, facts: DataFrame, pairs: DataFrame) -> DataFrame:
     """(hub, node): a group by its hub and its members, with rep, its member that has most of the core; size, rep_size,
     common (the node's shingles that rep has), core (those in the core) and the others.
@@ -231,12 +262,7 @@ def _star(src: DataFrame, facts: DataFrame, pairs: DataFrame) -> DataFrame:
                  .groupBy(F.col("hub").alias("ch")).agg(F.collect_list("s").alias("c")))
     parts = (own.join(cores, F.col("hub") == F.col("ch"), "left").withColumn("others", F.when(F.col("c").isNull(), F.col("x")).otherwise(F.array_except("x", "c")))
                 .select("hub", "node", F.size("x").alias("size"), (F.size("x") - F.size("others")).alias("core"), "others"))
-    # the others rarest in the group first: what many members share stands last, beyond the places that count
-    counted = held.select(F.col("hub").alias("oh"), F.col("s").alias("os"), "n")
-    ordered = (parts.select("hub", "node", "size", "core", F.explode_outer("others").alias("s"))
-                    .join(counted, (F.col("hub") == F.col("oh")) & (F.col("s") == F.col("os")), "left")
-                    .groupBy("hub", "node", "size", "core").agg(F.sort_array(F.collect_list(F.when(F.col("s").isNotNull(), F.struct("n", "s")))).alias("o")))
-    parts = materialise(ordered.select("hub", "node", "size", "core", F.transform("o", lambda x: x["s"]).alias("others")), "near-core")
+    parts = materialise(parts, "near-core")
     reps = parts.groupBy(F.col("hub").alias("rh")).agg(F.max(F.struct(F.col("core") * 2 - F.col("size"), "node")).alias("r")).select("rh", F.col("r.node").alias("rep"))
     of_rep = reps.join(sets, F.col("rep") == F.col("node")).select("rh", "rep", F.col("shingles").alias("h"))
     met = own.select("hub", F.col("node").alias("n"), "x").join(of_rep, F.col("hub") == F.col("rh"))

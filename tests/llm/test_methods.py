@@ -153,6 +153,23 @@ def test_near_duplicates_equal_brute_force(spark, texts):
     assert got == want
 
 
+def test_buckets_beside_a_large_group_belong_to_it(spark):
+    """Twelve members once each, not once more for the side bucket whose hub is in the large one."""
+    rows = [(1, n, (90, 0)) for n in range(10)] + [(2, n, (60, 3)) for n in range(3, 12)]
+    met = spark.createDataFrame(rows, "bucket int, node int, h struct<score:int,node:int>")
+    assert sorted(map(tuple, near_dedup._grouped(met).collect())) == [(0, n) for n in range(12)]
+
+
+def test_only_members_in_reach_of_one_apart_are_ordered(spark):
+    few, many = list(range(5)), list(range(80))
+    rows = [("g", "copy", 100, 95, few, "l", False), ("g", "far", 100, 20, many, "far", True), ("g", "like", 100, 20, many, "l", False),
+            ("linked", "a", 100, 95, few, "l", False), ("linked", "b", 100, 20, many, "l", False)]
+    placed = spark.createDataFrame(rows, "hub string, node string, size int, core int, others array<long>, label string, apart boolean")
+    assert {r["node"] for r in near_dedup._in_reach(placed).collect()} == {"far", "like"}
+    order = {r["node"]: r["others"] for r in near_dedup._rarest_first(placed.filter("node in ('copy', 'far')")).collect()}
+    assert sorted(order["far"]) == many and set(order["far"][-5:]) == set(few)
+
+
 def test_chains_and_hot_groups(spark):
     """A drifting chain (neighbours linked, ends not), a large group around one text, and texts sharing a passage only."""
     rng = random.Random(5)

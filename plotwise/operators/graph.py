@@ -12,6 +12,11 @@ when no distance improves (exact, Bellman–Ford on a frontier). Every round's
 frontier, and every fourth round's distance table, are checkpointed to the
 shared checkpoint dir, so lineage stays a few rounds deep and a lost
 executor costs at most four rounds.
+
+Chains of streets would take a round per hop. So nodes with at most two neighbours
+are taken out first, a third of a chain a round: their edges are added up across them, and
+their neighbours learn the distances they know. When the distances of the rest are known, they
+are put back in reverse order. Both steps are exact on any graph.
 """
 
 from __future__ import annotations
@@ -45,19 +50,67 @@ def snap_to_nodes(points: DataFrame, nodes: DataFrame, point_id: str, lat: str =
     return best
 
 
+#: Chains are shortened until no more nodes than this could be taken out.
+CHAIN_NODES = 100
+
+
+def _shorten(edges: DataFrame, dist: DataFrame, near) -> tuple[DataFrame, DataFrame, list[tuple[DataFrame, DataFrame]]]:
+    """(edges, dist, steps) without the inner nodes of chains: of ``edges(src, dst, length_m)``, each pair once, those between the nodes
+    that are left; the distances that these know by way of the others; and per round the edges (node, to, length_m) that led
+    out of the nodes taken out, with the distances those knew. No two neighbours go in one round: of neighbours that
+    could go, the one of least hash does."""
+    steps = []
+    for rnd in count():
+        both = edges.select(F.col("src").alias("node"), F.col("dst").alias("other")) \
+                    .unionByName(edges.select(F.col("dst").alias("node"), F.col("src").alias("other"))).distinct()
+        thin = (both.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.count("other").alias("known"), F.min("other").alias("a"), F.max("other").alias("b"))
+                    .filter("n <= 2 and n = known and node is not null").select("node", "a", "b")).checkpoint()
+        if thin.count() <= CHAIN_NODES:
+            return edges, dist, steps
+        rank = [F.struct(F.xxhash64(c, F.lit(rnd)), F.col(c)) for c in ("node", "other")]
+        behind = (thin.select("node", F.explode(F.array_distinct(F.array("a", "b"))).alias("other"))
+                      .join(thin.select(F.col("node").alias("other")), "other").filter(rank[1] < rank[0]).select("node"))
+        gone = thin.select("node").join(behind, "node", "left_anti").checkpoint()
+        src, dst, own = (gone.select(F.col("node").alias(c)) for c in ("src", "dst", "node_id"))
+        out = edges.join(src, "src").select(F.col("src").alias("node"), F.col("dst").alias("to"), "length_m").checkpoint()
+        told = dist.join(own, "node_id").checkpoint()
+        into = edges.join(dst, "dst").select(F.col("dst").alias("node"), F.col("src").alias("from"), F.col("length_m").alias("_in"))
+        across = (into.join(out, "node").filter(F.col("from") != F.col("to"))
+                      .select(F.col("from").alias("src"), F.col("to").alias("dst"), (F.col("_in") + F.col("length_m")).alias("length_m")))
+        left = edges.join(src, "src", "left_anti").join(dst, "dst", "left_anti")
+        edges = collapse_edges(left.select("src", "dst", "length_m").unionByName(across)).checkpoint()
+        by_way = into.join(told, F.col("node") == F.col("node_id")).select(F.col("from").alias("node_id"), "grp", (F.col("dist_m") + F.col("_in")).alias("dist_m"))
+        dist = near(dist.join(own, "node_id", "left_anti").unionByName(by_way)).checkpoint()
+        steps.append((out, told))
+
+
 def multi_source_distances(edges: DataFrame, sources: DataFrame, cutoff_m: float | None = None) -> DataFrame:
     """Shortest directed distance (m) from every node TO the nearest source of
     each group: ``sources(node_id, grp)`` → ``(node_id, grp, dist_m)``. Rounds end
     when no distance improves, which any graph with lengths ≥ 0 reaches."""
-    e = collapse_edges(edges).select(F.col("src").alias("_u"), F.col("dst").alias("_w"), "length_m")
+    def near(dist: DataFrame) -> DataFrame:
+        least = dist.groupBy("node_id", "grp").agg(F.min("dist_m").alias("dist_m"))
+        return least if cutoff_m is None else least.filter(F.col("dist_m") <= cutoff_m)
+
     dist = sources.select("node_id", "grp").distinct().withColumn("dist_m", F.lit(0.0)).checkpoint()
+    short, dist, steps = _shorten(collapse_edges(edges).filter(~F.col("src").eqNullSafe(F.col("dst"))).checkpoint(), dist, near)
+    dist = _relaxed(short, dist, near)
+    for i, (out, told) in enumerate(reversed(steps)):
+        back = out.join(dist, F.col("to") == F.col("node_id")).select(F.col("node").alias("node_id"), "grp", (F.col("length_m") + F.col("dist_m")).alias("dist_m"))
+        dist = dist.unionByName(near(back.unionByName(told)).checkpoint())
+        if i % 4 == 3:
+            dist = dist.checkpoint()
+    return dist
+
+
+def _relaxed(edges: DataFrame, dist: DataFrame, near) -> DataFrame:
+    """``dist(node_id, grp, dist_m)``, relaxed along ``edges`` until nothing improves."""
+    e = edges.select(F.col("src").alias("_u"), F.col("dst").alias("_w"), "length_m")
     frontier = dist
     for rnd in count():
         cand = (frontier.join(e, frontier["node_id"] == e["_w"])
                         .select(F.col("_u").alias("node_id"), "grp", (F.col("dist_m") + F.col("length_m")).alias("dist_m")))
-        if cutoff_m is not None:
-            cand = cand.filter(F.col("dist_m") <= cutoff_m)
-        cand = cand.groupBy("node_id", "grp").agg(F.min("dist_m").alias("dist_m"))
+        cand = near(cand)
         old = dist.select("node_id", "grp", F.col("dist_m").alias("_old"))
         improved = (cand.join(old, ["node_id", "grp"], "left")
                         .filter(F.col("_old").isNull() | (F.col("dist_m") < F.col("_old")))

@@ -84,6 +84,32 @@ def test_shortest_paths_are_consistent(spark):
             assert d[e.src] <= e.length_m + d[e.dst] + 1e-9
 
 
+def test_long_chains_take_few_rounds(spark, monkeypatch):
+    """A street of 120 nodes with side streets and one-way pieces, three groups of sources: equal to Dijkstra, in rounds far below its hops."""
+    import heapq
+    rng = np.random.default_rng(5)
+    rows = [(i, i + 1, float(rng.integers(1, 50))) for i in range(120)] + [(i + 1, i, float(rng.integers(1, 50))) for i in range(120) if i % 41]
+    rows += [(i, 1000 + i, 7.0) for i in range(0, 120, 13)] + [(1000 + i, i, 2.0) for i in range(0, 120, 26)] + [(5, 5, 1.0), (5, 6, 0.5), (110, 20, 3.0)]
+    at = [(0, "a"), (120, "b"), (60, "b"), (1026, "c"), (77, "c"), (9999, "c")]
+    into, want = {}, {}
+    for u, v, w in rows:
+        into.setdefault(v, []).append((u, w))
+    for g in "abc":
+        heap = [(0.0, n) for n, grp in at if grp == g]
+        while heap:
+            d, v = heapq.heappop(heap)
+            if want.setdefault((v, g), d) == d:
+                for u, w in into.get(v, []):
+                    if (u, g) not in want and d + w <= 1500.0:
+                        heapq.heappush(heap, (d + w, u))
+    monkeypatch.setattr(gr, "CHAIN_NODES", 12)
+    rounds, relaxed = [], gr._relaxed
+    monkeypatch.setattr(gr, "_relaxed", lambda e, d, near: (rounds.append(e.count()), relaxed(e, d, near))[1])
+    got = gr.multi_source_distances(spark.createDataFrame(rows, "src long, dst long, length_m double"), spark.createDataFrame(at, "node_id long, grp string"), 1500.0).collect()
+    assert {(r.node_id, r.grp): r.dist_m for r in got} == want and len(got) == len(want)
+    assert rounds[0] < 80
+
+
 def test_dbscan_with_stacked_points(spark):
     """A third of the points on one spot: weighted locations keep the
     definition (core = ≥ min_samples within ε, self counted)."""

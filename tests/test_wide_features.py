@@ -3,12 +3,13 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from plotwise.functions.vectors import length, slot
 from plotwise.operators import models as md
-from plotwise.operators import trees
+from plotwise.operators import linear, trees
 from plotwise.operators.validate import feature_guard
 
 
@@ -62,3 +63,31 @@ def test_linear_models_beyond_the_normal_solver(spark):
         want = y.mean() + zc @ w
         got = md.make_regressor(name, df).fit(df).transform(df).orderBy("records_id").select(F.col("prediction_log")).toPandas()["prediction_log"]
         assert np.abs(got - want).max() < 1e-4
+
+
+def _hot_rows(spark, wide, n=400):
+    rng = np.random.default_rng(7)
+    x, hot = rng.normal(size=n), rng.integers(0, 3, n)
+    y = 2 * x + 1.5 * hot + rng.normal(scale=0.1, size=n)
+    rows = [(i, i % 4, float(y[i]), Vectors.sparse(wide, {0: float(x[i]), 1 + int(hot[i]): 1.0})) for i in range(n)]
+    return spark.createDataFrame(rows, ["records_id", "fold", "label", "features"]).cache()
+
+
+def test_wide_lasso_is_fitted_on_the_columns_in_use(spark):
+    """Equal to the lasso of the same rows with four columns; of 400,000,000 columns the solver sees four at most."""
+    stages = md.fit_lasso(_hot_rows(spark, 400_000_000))
+    wide = PipelineModel(stages=stages).transform(_hot_rows(spark, 400_000_000)).orderBy("records_id").toPandas()["prediction_log"]
+    narrow = md.fit_lasso(_hot_rows(spark, 4))[0].transform(_hot_rows(spark, 4)).orderBy("records_id").toPandas()["prediction_log"]
+    assert len(stages[0].getIndices()) <= 4 and np.abs(wide - narrow).max() < 1e-4
+
+
+def test_wide_lasso_without_any_column_in_use(spark):
+    assert not md.fit_lasso(_hot_rows(spark, 600), alpha=1e3)[-1].coefficients.toArray().any()
+
+
+def test_folds_of_wide_rows_share_no_matrix(spark):
+    df = _hot_rows(spark, 6)
+    for name in ("Linear Regression", "Ridge", "Lasso"):
+        want = linear.out_of_fold(df, [name]).toPandas().sort_values(["fold", "y"])
+        got = md._fold_by_fold(name, df, 4).toPandas().sort_values(["fold", "y"])
+        assert (want["fold"].to_numpy() == got["fold"].to_numpy()).all() and np.abs(want["p"].to_numpy() - got["p"].to_numpy()).max() < 1e-3

@@ -36,6 +36,22 @@ def test_knn_equals_brute_force_with_ties(frames, monkeypatch, block):
     assert got.keys() == want.keys() and all(got[i] == pytest.approx(want[i], abs=1e-12) for i in got)
 
 
+def test_knn_shuffles_queries_once_a_shelf(spark, frames, monkeypatch):
+    """Blocks of 20 rows, 15 of training rows: on shelves of up to 4 a query is sent 4 times, not 15, and the results stay exact."""
+    monkeypatch.setattr(models, "KNN_BLOCK_ROWS", 20)
+    monkeypatch.setattr(models, "KNN_SHELF", 4)
+    monkeypatch.setattr(models, "KNN_KEYS", 1)
+    rows, df, prep = frames
+    train, queries = [r for r in rows if r[0] % 4], [r for r in rows if r[0] % 4 == 0]
+    met = []
+    taken = models.F.sequence
+    monkeypatch.setattr(models.F, "sequence", lambda a, b: (met.append(b), taken(a, b))[1])
+    got = {r["records_id"]: r["prediction_log"] for r in models.KnnModel(prep, prep.transform(df.filter("records_id % 4 != 0")), "label").transform(df.filter("records_id % 4 = 0")).collect()}
+    want = brute(train, queries)
+    assert got.keys() == want.keys() and all(got[i] == pytest.approx(want[i], abs=1e-12) for i in got)
+    assert [spark.range(1).select(c).first()[0] + 1 for c in met] == [4, 2]
+
+
 def test_knn_is_saved_and_loaded(spark, frames, tmp_path):
     rows, df, prep = frames
     m = models.KnnModel(prep, prep.transform(df), "label", k=3)

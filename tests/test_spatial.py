@@ -110,6 +110,14 @@ def test_long_chains_take_few_rounds(spark, monkeypatch):
     assert rounds[0] < 80
 
 
+def test_distances_of_a_null_group_end(spark):
+    """On a cycle a null group once counted as improved in every round up to the cutoff."""
+    edges = spark.createDataFrame([(0, 1, 1.0), (1, 2, 1.0), (2, 0, 1.0)], "src long, dst long, length_m double")
+    at = spark.createDataFrame([(0, None)], "node_id long, grp string")
+    got = gr.multi_source_distances(edges, at, 40.0).collect()
+    assert sorted((r.node_id, r.dist_m) for r in got) == [(0, 0.0), (1, 2.0), (2, 1.0)]
+
+
 def test_dbscan_with_stacked_points(spark):
     """A third of the points on one spot: weighted locations keep the
     definition (core = ≥ min_samples within ε, self counted)."""

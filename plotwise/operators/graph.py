@@ -111,15 +111,14 @@ def _relaxed(edges: DataFrame, dist: DataFrame, near) -> DataFrame:
         cand = (frontier.join(e, frontier["node_id"] == e["_w"])
                         .select(F.col("_u").alias("node_id"), "grp", (F.col("dist_m") + F.col("length_m")).alias("dist_m")))
         cand = near(cand)
-        old = dist.select(F.col("node_id").alias("_n"), F.col("grp").alias("_g"), F.col("dist_m").alias("_old"))
-        # a group may be null: it is one like the others, or its distances would count as new for ever
-        same = F.col("node_id").eqNullSafe(F.col("_n")) & F.col("grp").eqNullSafe(F.col("_g"))
-        improved = (cand.join(old, same, "left")
-                        .filter(F.col("_old").isNull() | (F.col("dist_m") < F.col("_old")))
-                        .select("node_id", "grp", "dist_m")).checkpoint()
+        # grouped, not joined: a group may be null, and is one like the others
+        both = dist.select("node_id", "grp", F.col("dist_m").alias("_old"), F.lit(None).cast("double").alias("dist_m")) \
+                   .unionByName(cand.withColumn("_old", F.lit(None).cast("double")))
+        improved = (both.groupBy("node_id", "grp").agg(F.min("_old").alias("_old"), F.min("dist_m").alias("dist_m"))
+                        .filter("dist_m is not null and (_old is null or dist_m < _old)").select("node_id", "grp", "dist_m")).checkpoint()
         if improved.isEmpty():
             return dist
-        dist = dist.join(improved.select(F.col("node_id").alias("_n"), F.col("grp").alias("_g")), same, "left_anti").unionByName(improved)
+        dist = near(dist.unionByName(improved))
         if rnd % 4 == 3:  # the frontier is checkpointed every round; the full table every 4th
             dist = dist.checkpoint()
         frontier = improved

@@ -343,3 +343,33 @@ def test_trained_models_are_evaluated_on_their_predictions(spark):
     n = {s: f.count() for s, f in zip(("train", "test", "holdout"), pm.three_splits(spark, sf))}
     assert all(got[m, s, "log"]["n"] == n[s] for m in models.MODEL_NAMES for s in n)
     assert got["Decision Tree", "train", "log"]["r2"] > 0.9 > got["Lasso", "train", "log"]["r2"]
+
+
+def test_boosting_beyond_a_task_grows_the_same_trees(frame, monkeypatch):
+    """Level by level over chunks of rows, what is left written every three trees: the model of one task, its held-out scores too."""
+    from plotwise.operators.features import fold_column
+    x, y, df, prep = frame
+    want = models.fit("Gradient Boosting (depth 5)", prep, df, maxIter=8)
+    feats = prep.transform(fold_column(df, "records_id", 2)).repartition(3)
+    columns = trees.columns_of(prep, feats)
+    chunks = trees.written(trees.chunked(feats, columns, "records_id", "label", "fold"), "t")
+    jobs = [trees.Job("b", 4, fold=f, depth=3, bootstrap=False, rate=0.1) for f in range(2)]
+
+    def told():
+        return [tuple(r) for r in trees.held_out(chunks, jobs, columns, ((None, 0), (1, 0))).select("job", "id", "y", "p0", "p1").orderBy("id").collect()]
+    whole = told()
+    monkeypatch.setattr(trees, "TASK_ROWS", 90)
+    monkeypatch.setattr(trees, "CHUNK_ROWS", 70)
+    monkeypatch.setattr(trees, "REWRITE", 3)
+    got = models.fit("Gradient Boosting (depth 5)", prep, df, maxIter=8)
+    assert isinstance(got, trees.ForestModel) and got.subtrees.count() == 9
+    assert predictions(got, df) == pytest.approx(predictions(want, df), abs=1e-12)
+    assert np.array(got.featureImportances) == pytest.approx(np.array(want.featureImportances), abs=1e-12)
+    assert len(whole) == 600 and np.array(told()) == pytest.approx(np.array(whole), abs=1e-12)
+
+
+def test_groups_of_many_indicators_keep_their_codes():
+    n = 70_000
+    columns = trees.Columns((0,), ((0.5,),), ((1, n + 1),))
+    got = columns.bins_of([np.array([0, n]), np.array([1])], [np.array([1.0, 1.0]), np.array([1.0])])
+    assert got.tolist() == [[1, n], [0, 1]]

@@ -91,3 +91,16 @@ def test_folds_of_wide_rows_share_no_matrix(spark):
         want = linear.out_of_fold(df, [name]).toPandas().sort_values(["fold", "y"])
         got = md._fold_by_fold(name, df, 4).toPandas().sort_values(["fold", "y"])
         assert (want["fold"].to_numpy() == got["fold"].to_numpy()).all() and np.abs(want["p"].to_numpy() - got["p"].to_numpy()).max() < 1e-3
+
+
+def test_nearest_neighbours_read_entries_only(spark):
+    """Vectors of 300 million slots, sparse and dense alike: the neighbours of brute force, ties by id."""
+    n = 300_000_000         # as an array: 2.4 GB a row
+    rng = np.random.default_rng(5)
+    rows = [(i, {0: float(rng.integers(0, 3)), 1: float(rng.integers(0, 3)), int(rng.integers(2, 40)) * 7_000_000: 1.0}, float(rng.normal())) for i in range(240)]
+    df = spark.createDataFrame([(i, Vectors.sparse(n, e), y) for i, e, y in rows], ["records_id", "features", "label"])
+    got = {r["records_id"]: r["prediction_log"] for r in md.KnnModel(PipelineModel(stages=[]), df.filter("records_id % 3 != 0"), "label").transform(df.filter("records_id % 3 = 0")).collect()}
+    train = [r for r in rows if r[0] % 3]
+    for i, e, _ in rows[::3]:
+        d = sorted((sum((e.get(c, 0.0) - o.get(c, 0.0)) ** 2 for c in e.keys() | o.keys()), j, y) for j, o, y in train)
+        assert got[i] == pytest.approx(np.mean([y for *_, y in d[:5]]), abs=1e-12)

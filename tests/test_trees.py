@@ -70,6 +70,38 @@ def test_leaves_of_one_row_and_of_equal_rows():
     assert len(trees.grow(bins, np.ones(400), np.ones(400), grouped)[0]) == 1
 
 
+def peeled(n, seed=3):
+    """Rows of many codes, each with a mean of its own far from the others', so that splits take a code off at a time."""
+    rng = np.random.default_rng(seed)
+    code = rng.integers(0, n // 10, n)
+    bins = np.column_stack([*[rng.integers(0, 64, n) for _ in range(20)], code]).astype(np.uint16)
+    y = np.round((np.exp(rng.normal(size=n // 10) * 2)[code] + 0.01 * bins[:, 0]) * 2 ** 16) / 2 ** 16
+    return bins, y, np.arange(21) == 20
+
+
+@pytest.mark.parametrize("leaf,depth", [(1, None), (2, 9), (4, None)])
+def test_sums_and_sorted_positions_choose_the_same_splits(leaf, depth, monkeypatch):
+    bins, y, grouped = peeled(3000)
+    w = trees.weights(5, 1, np.arange(3000))
+    want = trees.grow(bins, y, w, grouped, leaf, depth)
+    for few, together in ((8, 100), (10_000, 8192)):        # sums down to a few rows, sorted positions from the root on
+        monkeypatch.setattr(trees, "FEW_ROWS", few, raising=False)
+        monkeypatch.setattr(trees, "ORDERED", together, raising=False)
+        assert all(np.array_equal(a, b) and a.dtype == b.dtype for a, b in zip(trees.grow(bins, y, w, grouped, leaf, depth), want))
+
+
+def test_a_code_is_split_off_without_sorting_all_rows_again():
+    import time
+    bins, y, grouped = peeled(30_000)
+
+    def seconds(work):
+        t = time.process_time()
+        work()
+        return time.process_time() - t
+    sort = min(seconds(lambda: np.argsort(bins.T.astype(np.int64), axis=1, kind="stable")) for _ in range(3))
+    assert seconds(lambda: trees.grow(bins, y, np.ones(30_000), grouped, 1, 400)) < 150 * sort
+
+
 def test_cuts_equal_growth_with_limits():
     bins, y, grouped = rows(800)
     tree = trees.grow(bins, y, np.ones(800), grouped, 2)

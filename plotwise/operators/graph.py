@@ -17,12 +17,17 @@ Chains of streets would take a round per hop. So nodes with at most two neighbou
 are taken out first, a third of a chain a round: their edges are added up across them, and
 their neighbours learn the distances they know. When the distances of the rest are known, they
 are put back in reverse order. Both steps are exact on any graph.
+
+A graph, or what is left of one, of at most ``TASK_EDGES`` edges takes no rounds: a task per group finds its distances.
 """
 
 from __future__ import annotations
 
+import heapq
 from itertools import count
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,8 +55,10 @@ def snap_to_nodes(points: DataFrame, nodes: DataFrame, point_id: str, lat: str =
     return best
 
 
-#: Chains are shortened until no more nodes than this could be taken out.
-CHAIN_NODES = 100
+#: Chains are shortened until no more nodes than this could be taken out, or than ``FEW_NODES`` if what is left is too large for a task.
+CHAIN_NODES, FEW_NODES = 100_000, 100
+#: Edges that one task holds at most, and edges sent to the tasks of all groups.
+TASK_EDGES, SENT_EDGES = 2_000_000, 32_000_000
 
 
 def _shorten(edges: DataFrame, dist: DataFrame, near) -> tuple[DataFrame, DataFrame, list[tuple[DataFrame, DataFrame]]]:
@@ -65,7 +72,8 @@ def _shorten(edges: DataFrame, dist: DataFrame, near) -> tuple[DataFrame, DataFr
                     .unionByName(edges.select(F.col("dst").alias("node"), F.col("src").alias("other"))).distinct()
         thin = (both.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.count("other").alias("known"), F.min("other").alias("a"), F.max("other").alias("b"))
                     .filter("n <= 2 and n = known and node is not null").select("node", "a", "b")).checkpoint()
-        if thin.count() <= CHAIN_NODES:
+        left = thin.count()
+        if left <= min(CHAIN_NODES, FEW_NODES) or (left <= CHAIN_NODES and _fits(edges, dist)):
             return edges, dist, steps
         rank = [F.struct(F.xxhash64(c, F.lit(rnd)), F.col(c)) for c in ("node", "other")]
         behind = (thin.select("node", F.explode(F.array_distinct(F.array("a", "b"))).alias("other"))
@@ -103,8 +111,58 @@ def multi_source_distances(edges: DataFrame, sources: DataFrame, cutoff_m: float
     return dist
 
 
+def _fits(edges: DataFrame, dist: DataFrame) -> bool:
+    """Whether a task holds all edges, and all groups' tasks can have them."""
+    n = edges.count()
+    return n <= TASK_EDGES and n * dist.select("grp").distinct().count() <= SENT_EDGES
+
+
+def _in_tasks(edges: DataFrame, dist: DataFrame, near) -> DataFrame:
+    """``_relaxed`` of few edges: Dijkstra's search, a task per group. Nodes that no edge leads to stay where they are."""
+    node, grp = (dist.schema[c].dataType.simpleString() for c in ("node_id", "grp"))
+    ends = edges.filter("dst is not null and length_m is not null") \
+                .select(F.col("src").cast(node).alias("src"), F.col("dst").cast(node).alias("dst"), F.col("length_m").cast("double").alias("length_m"))
+    known = ends.filter("src is not null")
+    from_here = dist.join(ends.select(F.col("dst").alias("node_id")).distinct(), "node_id", "left_semi").select("node_id", "grp", "dist_m").checkpoint()
+    sent = known.crossJoin(from_here.select(F.col("grp").alias("of")).distinct())
+
+    def search(own: pd.DataFrame, e: pd.DataFrame) -> pd.DataFrame:
+        if not len(own) or not len(e):
+            return own
+        code, ids = pd.factorize(pd.concat([e["src"], e["dst"]], ignore_index=True))
+        src, dst = code[:len(e)], code[len(e):]
+        order = np.argsort(dst, kind="stable")
+        ends = np.searchsorted(dst[order], np.arange(len(ids) + 1)).tolist()
+        src, length = src[order].tolist(), e["length_m"].to_numpy()[order].tolist()
+        best = [float("inf")] * len(ids)
+        for at, d in zip(pd.Index(ids).get_indexer(own["node_id"]).tolist(), own["dist_m"].tolist()):
+            if at >= 0:
+                best[at] = min(best[at], d)
+        heap = [(d, at) for at, d in enumerate(best) if d < float("inf")]
+        heapq.heapify(heap)
+        while heap:
+            d, at = heapq.heappop(heap)
+            if d > best[at]:
+                continue
+            for i in range(ends[at], ends[at + 1]):
+                to, far = src[i], d + length[i]
+                if far < best[to]:
+                    best[to] = far
+                    heapq.heappush(heap, (far, to))
+        far = np.array(best)
+        found = np.flatnonzero(np.isfinite(far))
+        return pd.DataFrame({"node_id": np.asarray(ids)[found], "grp": own["grp"].iloc[0], "dist_m": far[found]})
+    told = from_here.groupBy("grp").cogroup(sent.groupBy("of")).applyInPandas(search, f"node_id {node}, grp {grp}, dist_m double").checkpoint()
+    dist = dist.unionByName(told)
+    # a missing start is reached like a node, but nothing leads to it further
+    nowhere = ends.filter("src is null").join(dist, F.col("dst") == F.col("node_id")).select(F.col("src").alias("node_id"), "grp", (F.col("dist_m") + F.col("length_m")).alias("dist_m"))
+    return near(dist.unionByName(nowhere)).checkpoint()
+
+
 def _relaxed(edges: DataFrame, dist: DataFrame, near) -> DataFrame:
     """``dist(node_id, grp, dist_m)``, relaxed along ``edges`` until nothing improves."""
+    if _fits(edges, dist):
+        return _in_tasks(edges, dist, near)
     e = edges.select(F.col("src").alias("_u"), F.col("dst").alias("_w"), "length_m")
     frontier = dist
     for rnd in count():

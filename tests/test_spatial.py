@@ -110,6 +110,29 @@ def test_long_chains_take_few_rounds(spark, monkeypatch):
     assert rounds[0] < 80
 
 
+@pytest.mark.parametrize("task_edges", [0, 1000])
+def test_distances_in_rounds_and_in_tasks_are_equal(spark, monkeypatch, task_edges):
+    """Parallel, missing and unknown ends and lengths, a null group, sources off the graph; a cutoff that ends some ways. A graph that
+    a task holds takes no rounds, whatever its hops."""
+    rng = np.random.default_rng(11)
+    rows = [(int(a), int(b), float(d)) for a, b, d in zip(rng.integers(0, 60, 150), rng.integers(0, 60, 150), rng.integers(1, 40, 150))]
+    rows += [(60 + i, 61 + i, 1.0) for i in range(40)] + [(None, 3, 1.0), (4, None, 1.0), (7, 8, None)]
+    edges = spark.createDataFrame(rows, "src long, dst long, length_m double")
+    at = spark.createDataFrame([(3, "a"), (9, "a"), (9, None), (100, "b"), (None, "b"), (5000, "c")], "node_id long, grp string")
+    monkeypatch.setattr(gr, "TASK_EDGES", task_edges, raising=False)
+    checkpoints, own = [], type(edges).checkpoint
+    monkeypatch.setattr(type(edges), "checkpoint", lambda df, *a, **k: (checkpoints.append(1), own(df, *a, **k))[1])
+    got = {(r.node_id, r.grp): r.dist_m for r in gr.multi_source_distances(edges, at, 60.0).collect()}
+    want = {(n, g): 0.0 for n, g in [(3, "a"), (9, "a"), (9, None), (100, "b"), (None, "b"), (5000, "c")]}
+    for _ in range(200):
+        for u, v, d in rows:
+            for g in ("a", "b", "c", None):
+                if None not in (v, d) and (v, g) in want and want[v, g] + d <= min(60.0, want.get((u, g), 1e9)):
+                    want[u, g] = want[v, g] + d
+    assert got == want
+    assert not task_edges or len(checkpoints) < 8
+
+
 def test_distances_of_a_null_group_end(spark):
     """On a cycle a null group once counted as improved in every round up to the cutoff."""
     edges = spark.createDataFrame([(0, 1, 1.0), (1, 2, 1.0), (2, 0, 1.0)], "src long, dst long, length_m double")
